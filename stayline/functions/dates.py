@@ -15,14 +15,14 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _div(c: Column, by: int) -> Column:
+    return F.call_function("div", c, F.lit(by)).cast("int")
+
+
 def int_to_date(c: ColumnOrName) -> Column:
-    """YYYYMMDD integer to date, by arithmetic; an impossible date raises."""
+    """YYYYMMDD integer to date, by integer arithmetic; an impossible date raises."""
     c = _col(c).cast("int")
-    return F.make_date(
-        F.floor(c / F.lit(10000)).cast("int"),
-        (F.floor(c / F.lit(100)) % 100).cast("int"),
-        (c % 100).cast("int"),
-    )
+    return F.make_date(_div(c, 10000), _div(c, 100) % 100, c % 100)
 
 
 def try_int_to_date(c: ColumnOrName) -> Column:

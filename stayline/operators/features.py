@@ -60,7 +60,11 @@ def until(facts: DataFrame, column: str, last_cutoff: int | None) -> DataFrame:
 
 
 def txn_features(
-    txn: DataFrame, cohort: DataFrame, drop_backdated: bool = True, last_cutoff: int | None = None
+    txn: DataFrame,
+    cohort: DataFrame,
+    drop_backdated: bool = True,
+    last_cutoff: int | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """The transaction features, in one aggregate.
 
@@ -84,7 +88,7 @@ def txn_features(
             "plan_list_price", "is_auto_renew", "is_cancel",
         )
     )
-    agg = join_as_of(rows, cohort, "txn_dt").groupBy(*KEY).agg(
+    agg = join_as_of(rows, cohort, "txn_dt", small).groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("n_txn"),
         F.sum("is_cancel").alias("n_cancel"),
         F.max(F.col("is_cancel").cast("int")).alias("ever_cancelled"),
@@ -116,6 +120,7 @@ def log_features(
     p99_secs: float | Column,
     null_secs: str = "cap",
     last_cutoff: int | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """The usage features, in one aggregate of fixed-size sums."""
     plays = total_plays(PLAY_COUNTERS)
@@ -126,7 +131,7 @@ def log_features(
         ratio(F.col("num_100"), plays).alias("completion"),
         F.col("num_unq").cast("double").alias("unq"),
     )
-    agg = join_as_of(rows, cohort, "log_dt").groupBy(*KEY).agg(
+    agg = join_as_of(rows, cohort, "log_dt", small).groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("log_days"),
         F.avg("secs").alias("_secs_avg"),
         F.sum("secs").alias("_secs_sum"),
@@ -179,22 +184,29 @@ def feature_matrix(
     p99_secs: float | Column,
     last_cutoff: int | None = None,
     null_secs: str = "cap",
+    small: bool = False,
 ) -> DataFrame:
     """All features for every cohort row; other cohort columns are kept in front.
 
     Training, scoring and drift all call this, so they cannot disagree. The two aggregates
-    leave their rows partitioned by the key that the assembly joins on.
+    leave their rows partitioned by the key that the assembly joins on. ``small`` (the cohort
+    was counted and may be broadcast) comes from ``pit.staged_cohort``.
     """
     require_columns(cohort, KEY, "cohort")
     out = (
         with_member_features(cohort, members)
-        .join(txn_features(txn, cohort, last_cutoff=last_cutoff), KEY, "left")
-        .join(log_features(logs, cohort, p99_secs, null_secs, last_cutoff), KEY, "left")
+        .join(txn_features(txn, cohort, last_cutoff=last_cutoff, small=small), KEY, "left")
+        .join(log_features(logs, cohort, p99_secs, null_secs, last_cutoff, small), KEY, "left")
     )
     return out.select(*cohort.columns, *FEATURES)
 
 
-def p99_secs(logs: DataFrame, cohort: DataFrame | None = None, last_cutoff: int | None = None) -> DataFrame:
+def p99_secs(
+    logs: DataFrame,
+    cohort: DataFrame | None = None,
+    last_cutoff: int | None = None,
+    small: bool = False,
+) -> DataFrame:
     """One row ``p99_secs``: the 99th percentile of seconds capped at a day.
 
     With a cohort only logs up to each user's cutoff count; one day's worth of seconds is
@@ -204,16 +216,19 @@ def p99_secs(logs: DataFrame, cohort: DataFrame | None = None, last_cutoff: int
     capped = F.least(F.col("total_secs").cast("double"), F.lit(float(DAY_SECS))).alias("secs")
     rows = until(logs, "date", last_cutoff).select("msno", int_to_date("date").alias("log_dt"), capped)
     if cohort is not None:
-        rows = join_as_of(rows, cohort, "log_dt")
+        rows = join_as_of(rows, cohort, "log_dt", small)
     return quantile_row(rows, "secs", {"p99_secs": 0.99}).select(
         F.coalesce("p99_secs", F.lit(float(DAY_SECS))).alias("p99_secs")
     )
 
 
-def training_set(labels: DataFrame, features: DataFrame) -> DataFrame:
-    """Features with label, cohort month and the log-availability flag."""
-    meta = labels.select(*KEY, "anchor_expiry_date", "is_churn")
-    return features.select(*KEY, *FEATURES).join(meta, KEY, "left").select(
+def training_rows(features: DataFrame) -> DataFrame:
+    """Labeled features in training layout: key, features, label, month, log availability.
+
+    ``features`` carries ``is_churn`` and ``anchor_expiry_date``, which ``feature_matrix``
+    passes through from its cohort.
+    """
+    return features.select(
         *KEY,
         *FEATURES,
         "is_churn",
@@ -222,6 +237,12 @@ def training_set(labels: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
+def attach_labels(labels: DataFrame, features: DataFrame) -> DataFrame:
+    """Training layout for features and labels that were computed apart: a left join by key."""
+    meta = labels.select(*KEY, "anchor_expiry_date", "is_churn")
+    return training_rows(meta.join(features.select(*KEY, *FEATURES), KEY, "left"))
+
+
 def null_rates(df: DataFrame, columns: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
     """Share of NULLs per feature and its group, in one pass."""
     columns = columns or FEATURES

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stayline.functions.numbers import ratio
-from stayline.operators.running import cut_points, running_sums
-from stayline.session import stage
+from stayline.operators.running import ROWS_PER_TASK, cut_points, parts_for, running_sums
+from stayline.session import stage_counted
 
 
 def top_k(scored: DataFrame, k: int = 100) -> DataFrame:
@@ -16,18 +16,20 @@ def top_k(scored: DataFrame, k: int = 100) -> DataFrame:
     return scored.orderBy(F.desc("score"), F.asc("msno")).limit(k)
 
 
-def ranking_metrics(scored: DataFrame, k: int = 100) -> DataFrame:
+def ranking_metrics(scored: DataFrame, k: int = 100, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """One row: auc_pr, auc_roc, precision_at_k, recall_at_k, n_total, n_churned, top_k.
 
     Input is (msno, score, is_churn). auc_pr is step-wise average precision with tied scores
     merged; auc_roc gives half credit to ties. Both are NULL unless both classes occur.
     """
-    scored = stage(scored.select("msno", F.col("score").cast("double").alias("score"), "is_churn"), "scored")
+    rows = scored.select("msno", F.col("score").cast("double").alias("score"), "is_churn")
+    scored, n_rows = stage_counted(rows, "scored")
+    cuts = cut_points(scored, "score", parts_for(n_rows, rows_per_task)).get(None, [])
     per_score = scored.groupBy("score").agg(
         F.sum(F.col("is_churn").cast("bigint")).alias("tp"),
         F.sum(1 - F.col("is_churn").cast("bigint")).alias("fp"),
     )
-    curve = running_sums(per_score, "score", ["tp", "fp"], cut_points(scored, "score")[None])
+    curve = running_sums(per_score, "score", ["tp", "fp"], cuts)
     areas = curve.agg(
         F.sum(F.col("tp") * ratio(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp"))).alias("_ap"),
         F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2)).alias("_auc"),

@@ -2,20 +2,28 @@
 
 Rows are cut into buckets of similar size along the order; bucket totals (a few hundred
 rows) get a running sum, and each bucket adds its own. Where to cut comes from approximate
-quantiles; the cut only balances the work and never changes a result.
+quantiles; the cut only balances the work and never changes a result. Up to ROWS_PER_TASK
+rows need no cut at all.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stayline.session import stage
+from stayline.session import stage_counted
 
-PARTS = 64
+ROWS_PER_TASK = 1_000_000
+MAX_PARTS = 256
 
 
-def cut_points(df: DataFrame, value: str, by: str | None = None, parts: int = PARTS) -> dict:
+def parts_for(n_rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    return min(MAX_PARTS, -(-n_rows // rows_per_task))
+
+
+def cut_points(df: DataFrame, value: str, parts: int, by: str | None = None) -> dict:
     """Up to parts - 1 cut values per group. The result is a bounded driver-side list."""
+    if parts <= 1:
+        return {}
     quantiles = [i / parts for i in range(1, parts)]
     cuts = F.percentile_approx(F.col(value).cast("double"), quantiles, 10_000).alias("cuts")
     rows = df.groupBy(*([by] if by else [])).agg(cuts).collect()
@@ -38,26 +46,25 @@ def running_sums(df: DataFrame, order: str, sums: list[str], cuts: list[float])
     ``order`` must be unique in ``df`` (group by it first).
     """
     bucketed = df.withColumn("_bucket", bucket_of(F.col(order), cuts))
+    inside = (
+        Window.partitionBy("_bucket").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    own = {s: F.sum(s).over(inside) for s in sums}
+    if not cuts:
+        return bucketed.select(*df.columns, *[own[s].alias(f"cum_{s}") for s in sums])
     above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     # At most len(cuts) + 1 rows: the one place where a single task is fine.
     bases = bucketed.groupBy("_bucket").agg(*[F.sum(s).alias(s) for s in sums]).select(
         F.col("_bucket").alias("_b"),
         *[F.coalesce(F.sum(s).over(above), F.lit(0)).alias(f"_base_{s}") for s in sums],
     )
-    inside = (
-        Window.partitionBy("_bucket").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        bucketed.join(F.broadcast(bases), F.col("_bucket") == F.col("_b"))
-        .select(
-            *df.columns,
-            *[(F.col(f"_base_{s}") + F.sum(s).over(inside)).alias(f"cum_{s}") for s in sums],
-        )
+    return bucketed.join(F.broadcast(bases), F.col("_bucket") == F.col("_b")).select(
+        *df.columns, *[(F.col(f"_base_{s}") + own[s]).alias(f"cum_{s}") for s in sums]
     )
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], quantiles: list[float], parts: int = PARTS
+    df: DataFrame, columns: list[str], quantiles: list[float], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Exact interpolated quantiles of several numeric columns in one scan.
 
@@ -71,33 +78,10 @@ def exact_quantiles(
         .unpivot([], columns, "column", "value")
         .where("value IS NOT NULL")
     )
-    counts = stage(
+    counts, n_rows = stage_counted(
         long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")), "value-counts"
     )
-    cuts = cut_points(counts, "value", "column", parts)
-    if not cuts:
-        cuts = {columns[0]: []}
-    bucket = None
-    for name, points in cuts.items():
-        tree = bucket_of(F.col("value"), points)
-        hit = F.col("column") == name
-        bucket = F.when(hit, tree) if bucket is None else bucket.when(hit, tree)
-    bucketed = counts.withColumn("_bucket", bucket)
-
-    # Bucket totals: at most parts rows per column.
-    per_column = Window.partitionBy("column")
-    below = per_column.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        bucketed.groupBy("column", "_bucket")
-        .agg(F.sum("cnt").alias("_in"))
-        .select(
-            F.col("column").alias("_column"),
-            F.col("_bucket").alias("_b"),
-            "_in",
-            F.coalesce(F.sum("_in").over(below), F.lit(0)).alias("_base"),
-            F.sum("_in").over(per_column).alias("n"),
-        )
-    )
+    cuts = cut_points(counts, "value", parts_for(n_rows, rows_per_task), "column")
 
     def ranks(q: float) -> tuple[Column, Column, Column]:
         pos = F.lit(float(q)) * (F.col("n") - 1)
@@ -106,21 +90,41 @@ def exact_quantiles(
     def holds(rank: Column, start: Column, size: Column) -> Column:
         return (start <= rank) & (rank < start + size)
 
-    wanted = F.lit(False)
-    for q in quantiles:
-        _, lo, hi = ranks(q)
-        wanted = wanted | holds(lo, F.col("_base"), F.col("_in")) | holds(hi, F.col("_base"), F.col("_in"))
-
-    inside = Window.partitionBy("column", "_bucket").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    ranked = (
-        bucketed.join(
+    per_column = Window.partitionBy("column")
+    if not cuts:
+        before = F.sum("cnt").over(per_column.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+        ranked = counts.withColumns({"n": F.sum("cnt").over(per_column), "_start": before - F.col("cnt")})
+    else:
+        bucket = None
+        for name, points in cuts.items():
+            tree, hit = bucket_of(F.col("value"), points), F.col("column") == name
+            bucket = F.when(hit, tree) if bucket is None else bucket.when(hit, tree)
+        bucketed = counts.withColumn("_bucket", bucket)
+        # Bucket totals: at most MAX_PARTS rows per column.
+        below = per_column.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        totals = (
+            bucketed.groupBy("column", "_bucket")
+            .agg(F.sum("cnt").alias("_in"))
+            .select(
+                F.col("column").alias("_column"),
+                F.col("_bucket").alias("_b"),
+                "_in",
+                F.coalesce(F.sum("_in").over(below), F.lit(0)).alias("_base"),
+                F.sum("_in").over(per_column).alias("n"),
+            )
+        )
+        wanted = F.lit(False)
+        for q in quantiles:
+            for rank in ranks(q)[1:]:
+                wanted = wanted | holds(rank, F.col("_base"), F.col("_in"))
+        inside = F.sum("cnt").over(
+            Window.partitionBy("column", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        )
+        ranked = bucketed.join(
             F.broadcast(totals.where(wanted)),
             (F.col("column") == F.col("_column")) & (F.col("_bucket") == F.col("_b")),
-        )
-        .withColumn("_start", F.col("_base") + F.sum("cnt").over(inside) - F.col("cnt"))
-    )
+        ).withColumn("_start", F.col("_base") + inside - F.col("cnt"))
+
     picks = []
     for i, q in enumerate(quantiles):
         _, lo, hi = ranks(q)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stayline.operators.features import feature_matrix, p99_secs, training_set, with_cutoff
+from stayline.functions.dates import as_int
+from stayline.operators.features import feature_matrix, p99_secs, training_rows, with_cutoff
 from stayline.operators.health import split_summary
 from stayline.operators.labels import labels_for_months
+from stayline.operators.pit import staged_cohort
 from stayline.operators.splits import split_3way
 from stayline.session import stage
 from stayline.sources.writers import write_dataset
@@ -19,17 +21,18 @@ def labeled_features(
     members: DataFrame,
     threshold: Column | float | None = None,
     last_cutoff: int | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Label, cohort month and all features of every labeled user.
 
     The winsor threshold is computed over the same users and cutoffs unless given, and
-    enters the plan as a scalar subquery.
+    enters the plan as a scalar subquery. Labels travel with the cohort, so no join is
+    needed to put them next to the features.
     """
-    cohort = labels.select("msno", "feature_cutoff_date")
+    cohort = labels.select("msno", "feature_cutoff_date", "anchor_expiry_date", "is_churn")
     if threshold is None:
-        threshold = p99_secs(logs, cohort, last_cutoff).scalar()
-    features = feature_matrix(cohort, txn, logs, members, threshold, last_cutoff)
-    return training_set(labels, features)
+        threshold = p99_secs(logs, cohort, last_cutoff, small).scalar()
+    return training_rows(feature_matrix(cohort, txn, logs, members, threshold, last_cutoff, small=small))
 
 
 def build_dataset(
@@ -47,11 +50,15 @@ def build_dataset(
 ) -> DataFrame:
     """Write a dataset version and return its split sizes and churn rates."""
     cohort = labels_for_months(labels, months)
-    cohort = stage(with_cutoff(cohort, lag_days, "anchor_expiry_date"), "cohort")
-    threshold = stage(p99_secs(logs, cohort), "p99")
-    rows = stage(labeled_features(cohort, txn, logs, members, threshold.scalar()), "features")
-    if rows.isEmpty():
+    cohort, small = staged_cohort(with_cutoff(cohort, lag_days, "anchor_expiry_date"))
+    last = cohort.agg(F.max("feature_cutoff_date")).first()[0]
+    if last is None:
         raise ValueError("no labeled rows for these months")
+    last = as_int(last)
+    threshold = stage(p99_secs(logs, cohort, last, small), "p99")
+    rows = stage(
+        labeled_features(cohort, txn, logs, members, threshold.scalar(), last, small), "features"
+    )
     write_dataset(split_3way(rows, val_fraction, test_fraction, seed), threshold, root, version)
     written = labels.sparkSession.read.parquet(f"{root}/rows")
     return split_summary(written.where(F.col("dataset_version_id") == version))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from stayline.operators.drift import drift_alerts, feature_drift
 from stayline.operators.features import feature_matrix, with_cutoff
 from stayline.operators.labels import labels_for_months
+from stayline.operators.pit import staged_cohort
 from stayline.operators.ranking import cohort_performance
 from stayline.operators.reads import predictions_for_month, scored_users
 from stayline.schemas import FEATURES
@@ -36,9 +37,9 @@ def features_of_scored(
     lag_days: int = 14,
 ) -> DataFrame:
     """Rebuild the features of a stored scoring date, with that dataset's threshold."""
-    cohort = with_cutoff(scored_users(predictions, scoring_date), lag_days)
+    cohort, small = staged_cohort(with_cutoff(scored_users(predictions, scoring_date), lag_days))
     threshold = dataset_params(predictions.sparkSession, root, version).select("p99_secs").scalar()
-    return stage(feature_matrix(cohort, txn, logs, members, threshold), "drift-features")
+    return stage(feature_matrix(cohort, txn, logs, members, threshold, small=small), "drift-features")
 
 
 def run_performance(

@@ -11,6 +11,7 @@ from stayline.functions.dates import as_date, as_int
 from stayline.operators.cohort import expiring_cohort
 from stayline.operators.features import feature_matrix, with_cutoff
 from stayline.operators.health import serving_health
+from stayline.operators.pit import staged_cohort
 from stayline.operators.tiers import DEFAULT_TIERS, Tier, with_risk_tier
 from stayline.schemas import PREDICTION_STORE
 from stayline.session import stage
@@ -38,8 +39,8 @@ def scored_cohort(
     """
     day = as_date(scoring_date)
     last_cutoff = as_int(day + timedelta(days=lead_days - lag_days))
-    cohort = with_cutoff(expiring_cohort(txn, day, lead_days), lag_days)
-    features = feature_matrix(cohort, txn, logs, members, p99, last_cutoff)
+    cohort, small = staged_cohort(with_cutoff(expiring_cohort(txn, day, lead_days), lag_days))
+    features = feature_matrix(cohort, txn, logs, members, p99, last_cutoff, small=small)
     return with_risk_tier(scorer(features), tiers).withColumns(
         {"scoring_date": F.lit(day), "model_version": F.lit(model_version)}
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def local_session(cores: str = "8", shuffle_partitions: str = "8", memory: str = "8g") -> SparkSession:
@@ -54,3 +54,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """As :func:`stage`, plus the number of rows, counted while they are written."""
+    seen = Observation(name)
+    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return staged, seen.get["n"]

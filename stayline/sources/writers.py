@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from stayline.operators.checks import duplicate_keys
-from stayline.session import stage
+from stayline.session import stage, stage_counted
 from stayline.sources.readers import read_csv
 
 
@@ -46,13 +44,16 @@ def ingest_csv(spark: SparkSession, csv_path: str, schema: StructType, target: s
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str, sort_by: list[str] | None = None) -> None:
-    """Replace exactly the partitions present in ``df``; all others stay."""
-    # One task per partition value would be too few for a large day, so rows are spread by
-    # the sort column as well, and each file is sorted for tight row-group statistics.
-    if sort_by:
-        df = df.repartition(partition, *sort_by).sortWithinPartitions(partition, *sort_by)
+    """Replace exactly the partitions present in ``df``; all others stay.
+
+    Rebalancing sends each partition value to one task and lets adaptive execution split the
+    large ones, so that neither many tiny files nor one huge task comes out. Sorted files
+    have tight row-group statistics for reads by user.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", partition)
+        .sortWithinPartitions(partition, *(sort_by or []))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
@@ -74,21 +75,21 @@ def merge_by_key(
     if partition not in incoming.columns:
         raise ValueError(f"partition column {partition!r} is not in the batch")
     spark = incoming.sparkSession
-    incoming = stage(incoming, "merge-in")
+    incoming, n_rows = stage_counted(incoming, "merge-in")
+    if n_rows == 0:
+        return 0
     if not duplicate_keys(incoming, keys).isEmpty():
         raise ValueError(f"duplicate {keys} in the batch")
 
-    # Partition values are calendar days or months: a list bounded by the calendar.
-    touched = [r[0] for r in incoming.select(partition).distinct().collect()]
-    if not touched:
-        return 0
-    existing = _read_or_none(spark, path, incoming.schema)
     merged = incoming
+    existing = _read_or_none(spark, path, incoming.schema)
     if existing is not None:
+        # Partition values are calendar days or months: a list bounded by the calendar.
+        touched = [r[0] for r in incoming.select(partition).distinct().collect()]
         kept = existing.where(F.col(partition).isin(touched)).join(incoming, keys, "left_anti")
         merged = stage(kept.select(*incoming.columns).unionByName(incoming), "merge-out")
     overwrite_partitions(merged, path, partition, [k for k in keys if k != partition])
-    return incoming.count()
+    return n_rows
 
 
 def upsert_labels(labels: DataFrame, path: str) -> int:
@@ -130,7 +131,3 @@ def write_dataset(rows: DataFrame, p99: DataFrame, root: str, version: str) -> N
         .partitionBy("dataset_version_id")
         .parquet(f"{root}/params")
     )
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -11,7 +11,7 @@ def day(x: str) -> str:
     return f"CAST(strptime(CAST({x} AS VARCHAR), '%Y%m%d') AS DATE)"
 
 
-def _features(cohort: str, prefix: str, p99: str) -> str:
+def features_sql(cohort: str, prefix: str, p99: str) -> str:
     """Feature tables of a cohort relation (msno, feature_cutoff_date)."""
     return f"""
 , {prefix}txn0 AS (
@@ -115,7 +115,7 @@ WITH = (
   FROM tcohort c JOIN sub_user_logs l ON l.msno = c.msno
   WHERE {day('l.date')} <= c.feature_cutoff_date
 )"""
-    + _features("tcohort", "t", "(SELECT p99_secs FROM tp99)")
+    + features_sql("tcohort", "t", "(SELECT p99_secs FROM tp99)")
     + """
 , tset AS (
   SELECT m.*, l.is_churn, strftime(l.anchor_expiry_date, '%Y-%m') AS cohort_month,

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from stayline.functions.numbers import round_half_away
 from stayline.operators import agreement, cohort, drift, features, health, labels, splits
+from stayline.operators.pit import staged_cohort
 from stayline.plans.dataset import build_dataset, labeled_features
 from stayline.schemas import FEATURES
 from stayline.session import scratch_path, stage
 from stayline.sources import readers
-from workload.oracle import FEATURE_LIST, WITH, day, psi_sql
+from workload.oracle import FEATURE_LIST, WITH, features_sql, day, psi_sql
 from workload.q_profile import stack
 from workload.registry import query
 from workload.tables import Tables
@@ -32,8 +33,8 @@ def train_labels(t: Tables) -> DataFrame:
 
 def train_rows(t: Tables) -> DataFrame:
     """Labeled features of six cohort months; the label table is stored first, as in a real run."""
-    stored = stage(train_labels(t), "train-labels")
-    return labeled_features(stored, t.transactions, t.user_logs, t.members, last_cutoff=LAST_CUTOFF)
+    stored, small = staged_cohort(train_labels(t))
+    return labeled_features(stored, t.transactions, t.user_logs, t.members, None, LAST_CUTOFF, small)
 
 
 # ── cohorts and labels ───────────────────────────────────────────────────────
@@ -248,25 +249,35 @@ def anchored_training_cohort(t: Tables) -> DataFrame:
 
 @query(WITH + "SELECT CAST(p99_secs AS DOUBLE) AS p99_secs FROM tp99")
 def p99_secs(t: Tables) -> DataFrame:
-    return features.p99_secs(t.user_logs, train_cohort(t), LAST_CUTOFF)
+    users, small = staged_cohort(train_cohort(t))
+    return features.p99_secs(t.user_logs, users, LAST_CUTOFF, small)
 
 
 @query(WITH + """
 SELECT msno, date, least(total_secs, 86400, (SELECT p99_secs FROM tp99)) AS total_secs_w FROM sub_user_logs""")
 def winsorized_logs(t: Tables) -> DataFrame:
-    p99 = features.p99_secs(t.user_logs, train_cohort(t), LAST_CUTOFF).scalar()
+    users, small = staged_cohort(train_cohort(t))
+    p99 = features.p99_secs(t.user_logs, users, LAST_CUTOFF, small).scalar()
     return t.user_logs.select("msno", "date", features.winsorized_secs(p99).alias("total_secs_w"))
 
 
 @query(WITH + "SELECT * FROM ttxn")
 def features_txn(t: Tables) -> DataFrame:
+    users, small = staged_cohort(train_cohort(t))
+    return features.txn_features(t.transactions, users, last_cutoff=LAST_CUTOFF, small=small)
+
+
+@query(WITH + "SELECT * FROM ttxn")
+def features_txn_shuffled(t: Tables) -> DataFrame:
+    """The same features for a cohort too large to broadcast: heavy users are split."""
     return features.txn_features(t.transactions, train_cohort(t), last_cutoff=LAST_CUTOFF)
 
 
 @query(WITH + "SELECT * FROM tlog")
 def features_log(t: Tables) -> DataFrame:
-    p99 = features.p99_secs(t.user_logs, train_cohort(t), LAST_CUTOFF).scalar()
-    return features.log_features(t.user_logs, train_cohort(t), p99, last_cutoff=LAST_CUTOFF)
+    users, small = staged_cohort(train_cohort(t))
+    p99 = features.p99_secs(t.user_logs, users, LAST_CUTOFF, small).scalar()
+    return features.log_features(t.user_logs, users, p99, last_cutoff=LAST_CUTOFF, small=small)
 
 
 @query(WITH + "SELECT * FROM tmem")
@@ -276,9 +287,9 @@ def features_member(t: Tables) -> DataFrame:
 
 @query(WITH + f"SELECT msno, feature_cutoff_date, {FEATURE_LIST} FROM tmatrix")
 def feature_matrix(t: Tables) -> DataFrame:
-    users = stage(train_cohort(t).select("msno", "feature_cutoff_date"), "cohort")
-    p99 = features.p99_secs(t.user_logs, users, LAST_CUTOFF).scalar()
-    return features.feature_matrix(users, t.transactions, t.user_logs, t.members, p99, LAST_CUTOFF)
+    users, small = staged_cohort(train_cohort(t).select("msno", "feature_cutoff_date"))
+    p99 = features.p99_secs(t.user_logs, users, LAST_CUTOFF, small).scalar()
+    return features.feature_matrix(users, t.transactions, t.user_logs, t.members, p99, LAST_CUTOFF, small=small)
 
 
 @query(WITH + "SELECT * FROM tset")
@@ -286,6 +297,28 @@ def training_set(t: Tables) -> DataFrame:
     return train_rows(t)
 
 
+OFFICIAL = f"""
+, ocohort AS (SELECT t.msno, t.is_churn, {day('max(x.membership_expire_date)')} AS anchor_expiry_date,
+    CAST({day('max(x.membership_expire_date)')} - 14 AS DATE) AS feature_cutoff_date
+  FROM sub_train t JOIN sub_transactions x ON x.msno = t.msno AND x.membership_expire_date BETWEEN 20010301 AND 20010331
+  GROUP BY 1, 2)
+, op99 AS (SELECT quantile_cont(least(total_secs, 86400), 0.99) AS p FROM sub_user_logs)
+"""
+
+
+@query(WITH + OFFICIAL + features_sql("ocohort", "o", "(SELECT p FROM op99)") + f"""
+SELECT m.msno, m.feature_cutoff_date, {FEATURE_LIST}, c.is_churn, strftime(c.anchor_expiry_date, '%Y-%m') AS cohort_month,
+  CAST(CASE WHEN log_days IS NULL THEN 0 ELSE 1 END AS TINYINT) AS has_log_data
+FROM omatrix m JOIN ocohort c ON c.msno = m.msno""")
+def official_training_set(t: Tables) -> DataFrame:
+    """Officially labeled users with a verified anchor, one global threshold, backdated anchors kept."""
+    anchored, small = staged_cohort(cohort.labeled_anchors(t.train, t.transactions, FIRST, LAST))
+    p99 = features.p99_secs(t.user_logs).scalar()
+    users = anchored.select("msno", "feature_cutoff_date")
+    matrix = features.feature_matrix(users, t.transactions, t.user_logs, t.members, p99, 20010317, small=small)
+    return features.attach_labels(anchored, matrix)
+
+
 GROUP_SQL = """CASE WHEN feature IN ('n_txn','n_cancel','ever_cancelled','ever_promo','last_is_auto_renew','last_is_cancel',
   'last_actual_amount_paid','last_payment_plan_days','last_plan_list_price','last_discount','cancel_rate','days_since_last_txn')
   THEN 'transaction' WHEN feature IN ('registered_via','tenure_days') THEN 'member' ELSE 'usage' END"""

@@ -11,7 +11,7 @@ from stayline.operators import health, labels, model, ranking, reads, splits, ti
 from stayline.plans.scoring import scored_cohort as plan_scored_cohort
 from stayline.session import scratch_path, stage
 from stayline.sources import writers
-from workload.oracle import FEATURE_LIST, WITH, _features, metrics_sql
+from workload.oracle import FEATURE_LIST, WITH, features_sql, metrics_sql
 from workload.q_cohort import LABELED, MONTH, train_labels, train_rows
 from workload.registry import query
 from workload.tables import Tables
@@ -55,8 +55,8 @@ def top_k_risk(t: Tables) -> DataFrame:
 
 
 def _scoring_run(t: Tables) -> DataFrame:
-    """The predictions of the year 2001, as one backfill run writes them."""
-    rows = t.predictions.where(F.col("expiry_date") >= F.lit("2001-01-01").cast("date"))
+    """The predictions for expiries in the first quarter of 2001, as one backfill run writes them."""
+    rows = t.predictions.where(F.col("expiry_date").between("2001-01-01", "2001-03-31"))
     return tiers.with_risk_tier(rows).select(
         "msno", "score", "risk_tier", "scoring_date", "expiry_date", "model_version"
     )
@@ -86,15 +86,15 @@ def upsert_labels(t: Tables) -> DataFrame:
 
 
 @query(WITH + """
-, run AS (SELECT * FROM sub_predictions WHERE expiry_date >= DATE '2001-01-01')
-SELECT msno, CASE WHEN expiry_date >= DATE '2001-04-01' THEN rival_score ELSE score END AS score, scoring_date, expiry_date,
-  CASE WHEN expiry_date >= DATE '2001-04-01' THEN 'm3' ELSE model_version END AS model_version FROM run""")
+, run AS (SELECT * FROM sub_predictions WHERE expiry_date BETWEEN DATE '2001-01-01' AND DATE '2001-03-31')
+SELECT msno, CASE WHEN expiry_date >= DATE '2001-03-01' THEN rival_score ELSE score END AS score, scoring_date, expiry_date,
+  CASE WHEN expiry_date >= DATE '2001-03-01' THEN 'm3' ELSE model_version END AS model_version FROM run""")
 def upsert_predictions(t: Tables) -> DataFrame:
     store = scratch_path(t.spark, "prediction-store")
-    april = F.col("expiry_date") >= F.lit("2001-04-01").cast("date")
+    march = F.col("expiry_date") >= F.lit("2001-03-01").cast("date")
     columns = ["msno", "score", "scoring_date", "expiry_date", "model_version"]
-    first = t.predictions.where(F.col("expiry_date") >= F.lit("2001-01-01").cast("date"))
-    again = first.where(april).withColumns({"score": F.col("rival_score"), "model_version": F.lit("m3")})
+    first = t.predictions.where(F.col("expiry_date").between("2001-01-01", "2001-03-31"))
+    again = first.where(march).withColumns({"score": F.col("rival_score"), "model_version": F.lit("m3")})
     writers.upsert_predictions(first.select(*columns), store)
     writers.upsert_predictions(again.select(*columns), store)
     return t.spark.read.parquet(store)
@@ -102,7 +102,7 @@ def upsert_predictions(t: Tables) -> DataFrame:
 
 @query(WITH + f"""
 SELECT msno, CAST(CAST(score AS FLOAT) AS DOUBLE) AS score, {TIER_SQL} AS risk_tier, scoring_date, expiry_date
-FROM sub_predictions WHERE expiry_date >= DATE '2001-01-01'""")
+FROM sub_predictions WHERE expiry_date BETWEEN DATE '2001-01-01' AND DATE '2001-03-31'""")
 def predictions_parquet(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "predictions")
     run = _scoring_run(t).drop("model_version")
@@ -200,7 +200,7 @@ DAY_COHORT = """
 """
 
 
-@query(WITH + DAY_COHORT + _features("dcohort", "d", "43573.98") + f"""
+@query(WITH + DAY_COHORT + features_sql("dcohort", "d", "43573.98") + f"""
 SELECT *, {TIER_SQL} AS risk_tier FROM (
   SELECT msno, DATE '2001-05-01' AS expiry_date, feature_cutoff_date, {FEATURE_LIST}, {SCORE_SQL} AS score,
     DATE '2001-04-17' AS scoring_date, 'demo-1' AS model_version FROM dmatrix)""")
