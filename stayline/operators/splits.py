@@ -34,8 +34,8 @@ def split_3way(
 
     With fewer than three months (or no month column) the split is random by user.
     """
-    if val_fraction + test_fraction >= 1.0:
-        raise ValueError("val_fraction + test_fraction must be < 1")
+    if not (0.0 < val_fraction < 1.0 and 0.0 < test_fraction < 1.0 and val_fraction + test_fraction < 1.0):
+        raise ValueError("val_fraction and test_fraction must be in (0, 1) and sum to less than 1")
     draw = hash_draw(seed)
     random = (
         F.when(draw < _hex_bound(test_fraction), "test")
