@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stayline.operators.running import quantile_row
+from stayline.operators.running import moments_of, quantile_row, quantile_row_of, value_table
 from stayline.schemas import FEATURES, LOG_FEATURES, MEMBER_FEATURES, TXN_FEATURES
-from stayline.session import stage
 
 # Default alert thresholds.
 MIN_COHORT = 100
@@ -39,9 +38,9 @@ def _null_rate(columns: list[str]) -> Column:
 def serving_health(scored: DataFrame, rows_written: int | Column) -> DataFrame:
     """Cohort size, null rates, score and tier distribution of one scoring run.
 
-    ``scored`` carries the features, ``score`` and ``risk_tier``.
+    ``scored`` carries the features, ``score`` and ``risk_tier``. It is read twice, so pass a
+    stored frame, as the scoring job does.
     """
-    scored = stage(scored.select(*FEATURES, "score", "risk_tier"), "scored-features")
     written = F.lit(rows_written) if isinstance(rows_written, int) else rows_written
     q = quantile_row(scored, "score", {"p50": 0.5, "p90": 0.9}).select(F.struct("p50", "p90")).scalar()
     tier = lambda name: F.coalesce(F.avg((F.col("risk_tier") == name).cast("int")), F.lit(0.0))
@@ -78,14 +77,15 @@ def serving_health(scored: DataFrame, rows_written: int | Column) -> DataFrame:
 
 def score_distribution(scored: DataFrame) -> DataFrame:
     """Number, range, mean and quantiles of the scores, in one row."""
-    s = F.col("score")
-    stats = scored.agg(
-        F.struct(F.count(s).alias("n"), F.min(s).alias("lo"), F.max(s).alias("hi"), F.avg(s).alias("mean"))
+    counts, n_rows = value_table(scored, ["score"])
+    stats = moments_of(counts).agg(
+        F.struct(F.max("n").alias("n"), F.max("mean").alias("mean"))
     ).scalar()
-    return quantile_row(scored, "score", {"p50": 0.5, "p90": 0.9}).select(
-        stats.getField("n").alias("n_users"),
-        stats.getField("lo").alias("min"),
-        stats.getField("hi").alias("max"),
+    named = {"min": 0.0, "max": 1.0, "p50": 0.5, "p90": 0.9}
+    return quantile_row_of(counts, n_rows, named).select(
+        F.coalesce(stats.getField("n"), F.lit(0).cast("bigint")).alias("n_users"),
+        "min",
+        "max",
         stats.getField("mean").alias("mean"),
         "p50",
         "p90",

@@ -25,7 +25,7 @@ def cut_points(df: DataFrame, value: str, parts: int, by: str | None = None) ->
     if parts <= 1:
         return {}
     quantiles = [i / parts for i in range(1, parts)]
-    cuts = F.percentile_approx(F.col(value).cast("double"), quantiles, 10_000).alias("cuts")
+    cuts = F.percentile_approx(F.col(value).cast("double"), quantiles, 2_000).alias("cuts")
     rows = df.groupBy(*([by] if by else [])).agg(cuts).collect()
     return {(r[by] if by else None): sorted(set(r["cuts"] or [])) for r in rows}
 
@@ -63,24 +63,38 @@ def running_sums(df: DataFrame, order: str, sums: list[str], cuts: list[float])
     )
 
 
-def exact_quantiles(
-    df: DataFrame, columns: list[str], quantiles: list[float], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Exact interpolated quantiles of several numeric columns in one scan.
+def value_table(df: DataFrame, columns: list[str]) -> tuple[DataFrame, int]:
+    """Several numeric columns as a stored (column, value, cnt) table, and its row count.
 
-    Returns one row per column: ``column``, ``n`` (non-null values) and ``q``, an array in
-    the order of ``quantiles``; a column without values has no row. Values are reduced to
-    (column, value, count) before anything is ordered, and only the buckets that hold a
-    wanted rank are sorted.
+    One scan with map-side combining; NULLs are left out. Every order statistic and every
+    moment of the columns can be read from this table instead of the data.
     """
     long = (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
         .unpivot([], columns, "column", "value")
         .where("value IS NOT NULL")
     )
-    counts, n_rows = stage_counted(
+    return stage_counted(
         long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")), "value-counts"
     )
+
+
+def exact_quantiles(
+    df: DataFrame, columns: list[str], quantiles: list[float], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Exact interpolated quantiles of several numeric columns in one scan."""
+    return quantiles_of(*value_table(df, columns), quantiles, rows_per_task)
+
+
+def quantiles_of(
+    counts: DataFrame, n_rows: int, quantiles: list[float], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Quantiles from a :func:`value_table`.
+
+    Returns one row per column: ``column``, ``n`` (non-null values) and ``q``, an array in
+    the order of ``quantiles``; a column without values has no row. Only the buckets that
+    hold a wanted rank are sorted.
+    """
     cuts = cut_points(counts, "value", parts_for(n_rows, rows_per_task), "column")
 
     def ranks(q: float) -> tuple[Column, Column, Column]:
@@ -145,5 +159,29 @@ def exact_quantiles(
 
 def quantile_row(df: DataFrame, column: str, named: dict[str, float]) -> DataFrame:
     """One row with a named column per quantile; NULLs when there are no values."""
-    q = exact_quantiles(df, [column], list(named.values()))
+    return quantile_row_of(*value_table(df, [column]), named)
+
+
+def quantile_row_of(counts: DataFrame, n_rows: int, named: dict[str, float]) -> DataFrame:
+    """As :func:`quantile_row`, from a value table of a single column."""
+    q = quantiles_of(counts, n_rows, list(named.values()))
     return q.agg(*[F.max(F.get("q", F.lit(i))).alias(name) for i, name in enumerate(named)])
+
+
+def moments_of(counts: DataFrame) -> DataFrame:
+    """n, min, max, mean and sample standard deviation per column of a value table.
+
+    The deviation is summed around the mean, which is broadcast: one row per column.
+    """
+    v, w = F.col("value"), F.col("cnt")
+    first = counts.groupBy("column").agg(
+        F.sum(w).alias("n"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+        (F.sum(v * w) / F.sum(w)).alias("mean"),
+    )
+    centred = counts.join(F.broadcast(first.select(F.col("column").alias("_c"), "mean")), F.col("column") == F.col("_c"))
+    spread = centred.groupBy("column").agg(
+        F.sqrt(F.try_divide(F.sum(w * (v - F.col("mean")) ** 2), F.sum(w).cast("double") - 1)).alias("stddev")
+    )
+    return first.join(spread, "column")
