@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stayline.functions import dates
 from stayline.functions.numbers import percent, ratio, round_half_away
-from stayline.operators.running import bucket_of, exact_quantiles, quantile_row
+from stayline.operators.running import bucket_of, exact_quantiles, quantile_row, rank_brackets, value_table
 
 
 @pytest.mark.parametrize("digits", [0, 1, 2, 4])
@@ -66,6 +66,38 @@ def test_exact_quantiles(spark, rows_per_task):
     assert got["b"].q == pytest.approx(np.quantile(kept, qs).tolist(), abs=1e-9)
 
 
+@pytest.mark.parametrize("shape", ["random", "sorted", "hot", "tiny", "constant", "halves"])
+def test_bracketed_quantiles_are_exact(spark, shape):
+    """Also when every task sees a different range of values."""
+    rng = np.random.default_rng(9)
+    n = {"tiny": 3}.get(shape, 20_000)
+    x = rng.lognormal(3, 2, n)
+    if shape == "sorted":
+        x = np.sort(x)
+    elif shape == "hot":
+        x[: n // 3] = 42.0
+    elif shape == "constant":
+        x[:] = 5.0
+    elif shape == "halves":
+        x = np.concatenate([rng.normal(0, 1, n // 2), rng.normal(1e6, 1, n - n // 2)])
+    df = spark.createDataFrame([(float(v), float(i) if i % 2 else None) for i, v in enumerate(x)], "x double, y double")
+    qs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {r.column: r for r in exact_quantiles(df, ["x", "y"], qs, continuous=True).collect()}
+    assert got["x"].n == n
+    assert got["x"].q == pytest.approx(np.quantile(x, qs).tolist(), abs=1e-9, rel=1e-12)
+    odd = np.arange(n)[np.arange(n) % 2 == 1].astype(float)
+    assert got["y"].q == pytest.approx(np.quantile(odd, qs).tolist(), abs=1e-9, rel=1e-12)
+
+
+def test_brackets_keep_few_values(spark):
+    df = spark.range(200_000).select((F.xxhash64("id") % 10**9).cast("double").alias("x"))
+    brackets = rank_brackets(df, ["x"], [0.99])
+    _, plain = value_table(df, ["x"])
+    _, kept = value_table(df, ["x"], brackets)
+    assert plain > 190_000 and kept < plain / 20
+
+
 def test_quantile_row_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert quantile_row(df, "x", {"m": 0.5}).first().m is None
+    assert quantile_row(df, "x", {"m": 0.5}, continuous=True).first().m is None
