@@ -20,6 +20,20 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def unit_mean(x: Column) -> Column:
+    """Mean of values in [0, 1] that does not depend on the order of rows.
+
+    A sum of doubles changes in its last bits with the order in which tasks add, which flips
+    a mean that lies on a rounding tie. Here each value becomes two 30-bit integers, whose
+    sums are exact for up to 2**33 rows; NULLs are skipped.
+    """
+    scaled = x.cast("double") * float(2**30)
+    high = F.floor(scaled)
+    low = F.floor((scaled - high) * float(2**30) + 0.5)
+    total = F.sum(high) / F.lit(float(2**30)) + F.sum(low) / F.lit(float(2**60))
+    return F.try_divide(total, F.count(x).cast("double"))
+
+
 def percent(num: Column, den: Column, digits: int = 2) -> Column:
     """100 * num / den, rounded; NULL when den is 0."""
     return round_half_away(F.try_divide(F.lit(100.0) * num.cast("double"), den.cast("double")), digits)

@@ -11,7 +11,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stayline.functions.dates import int_to_date, month_of
-from stayline.functions.numbers import flag, ratio, round_half_away, total_plays
+from stayline.functions.numbers import flag, ratio, round_half_away, total_plays, unit_mean
 from stayline.operators.cohort import valid_transactions
 from stayline.operators.pit import join_as_of
 from stayline.operators.running import quantile_row
@@ -135,7 +135,7 @@ def log_features(
         F.count(F.lit(1)).alias("log_days"),
         F.avg("secs").alias("_secs_avg"),
         F.sum("secs").alias("_secs_sum"),
-        F.avg("completion").alias("_completion"),
+        unit_mean(F.col("completion")).alias("_completion"),
         F.avg("unq").alias("_unq"),
         F.max("log_dt").alias("_last"),
     )

@@ -28,11 +28,11 @@ def metric_table(one_row: DataFrame, metrics: dict[str, tuple[Column, Column | N
 
 
 def _null_rate(columns: list[str]) -> Column:
-    """Mean of the per-column null rates: one average over the flags of all columns."""
-    share = F.lit(0)
+    """Mean of the per-column null rates: NULLs per row, averaged as integers."""
+    nulls = F.lit(0)
     for c in columns:
-        share = share + F.col(c).isNull().cast("int")
-    return F.avg(share / F.lit(float(len(columns))))
+        nulls = nulls + F.col(c).isNull().cast("int")
+    return F.avg(nulls) / F.lit(float(len(columns)))
 
 
 def serving_health(scored: DataFrame, rows_written: int | Column) -> DataFrame:

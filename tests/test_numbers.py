@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayline.functions import dates
-from stayline.functions.numbers import percent, ratio, round_half_away
+from stayline.functions.numbers import percent, ratio, round_half_away, unit_mean
 from stayline.operators.running import bucket_of, exact_quantiles, quantile_row, rank_brackets, value_table
 
 
@@ -27,6 +27,24 @@ def test_ratio_and_percent(spark):
     assert (row.r, row.p, row.z) == (None, 33.33, None)
 
 
+def test_mean_does_not_depend_on_row_order(spark):
+    """A mean on a rounding tie, added up in many orders and partitions."""
+    from fractions import Fraction
+
+    rng = np.random.default_rng(4)
+    parts = [(1, 3), (2, 7), (1, 9), (5, 11), (0, 4), (3, 13), (1, 6), (2, 3)] * 3
+    rest = Fraction(20625, 100000) * 25 - sum(Fraction(a, b) for a, b in parts)
+    values = [a / b for a, b in parts] + [float(rest) % 1]
+    results = set()
+    for _ in range(6):
+        order = [values[i] for i in rng.permutation(len(values))]
+        df = spark.createDataFrame([(v,) for v in order] + [(None,)], "x double").repartition(int(rng.integers(1, 9)))
+        results.add(df.agg(unit_mean(F.col("x"))).first()[0])
+    assert len(results) == 1
+    assert results.pop() == pytest.approx(float(sum(map(Fraction, values)) / len(values)), rel=1e-15)
+    assert spark.createDataFrame([(None,)], "x double").agg(unit_mean(F.col("x"))).first()[0] is None
+
+
 def test_dates(spark):
     df = spark.createDataFrame([(20170228,), (None,)], "x int")
     assert [r[0] for r in df.select(dates.int_to_date("x")).collect()] == [dt.date(2017, 2, 28), None]
