@@ -59,6 +59,12 @@ def shift_int(value: int, days: int) -> int:
     return as_int(datetime.strptime(str(value), "%Y%m%d").date() + timedelta(days=days))
 
 
+def check_days(**days: int) -> None:
+    for name, value in days.items():
+        if value <= 0:
+            raise ValueError(f"{name} must be positive, got {value}")
+
+
 def check_month(month: str) -> str:
     if not re.fullmatch(r"\d{4}-(0[1-9]|1[0-2])", month):
         raise ValueError(f"month must be 'YYYY-MM', got {month!r}")

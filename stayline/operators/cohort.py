@@ -6,7 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stayline.functions.dates import as_date, as_int, int_prefix, int_to_date, month_bounds
+from stayline.functions.dates import as_date, as_int, check_days, int_prefix, int_to_date, month_bounds
 
 
 def valid_transactions(txn: DataFrame, drop_backdated: bool = True) -> DataFrame:
@@ -28,8 +28,7 @@ def anchored_cohort(
     Later expiries outside the range do not matter. The range filter is on the raw integer,
     so it reaches the Parquet reader; the date is parsed once per user, after the aggregate.
     """
-    if lag_days <= 0:
-        raise ValueError(f"lag_days must be positive, got {lag_days}")
+    check_days(lag_days=lag_days)
     return (
         valid_transactions(txn, drop_backdated)
         .where(F.col("membership_expire_date").between(first, last))
@@ -53,6 +52,7 @@ def monthly_cohorts(
     drop_backdated: bool = True,
 ) -> DataFrame:
     """The cohorts of several months in one pass: one row per user and month of expiry."""
+    check_days(lag_days=lag_days)
     first, last = month_bounds(first_month)[0], month_bounds(last_month)[1]
     return (
         valid_transactions(txn, drop_backdated)

@@ -6,9 +6,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from stayline.functions.dates import as_date, int_to_date, month_bounds, month_of, shift_int
+from stayline.functions.dates import as_date, check_days, int_to_date, month_bounds, month_of, shift_int
 from stayline.functions.numbers import flag, percent, ratio
-from stayline.operators.cohort import valid_transactions
+from stayline.operators.cohort import label_cohort, valid_transactions
 from stayline.schemas import LABEL_COLUMNS
 
 
@@ -37,8 +37,7 @@ def with_renewal(
     drop_backdated: bool = True,
 ) -> DataFrame:
     """The cohort plus ``renewed``: a renewal in (anchor, anchor + window_days]."""
-    if window_days <= 0:
-        raise ValueError(f"window_days must be positive, got {window_days}")
+    check_days(window_days=window_days)
     return cohort.sparkSession.sql(
         """
         SELECT c.*, EXISTS (
@@ -114,8 +113,7 @@ def month_labels(
     combine them, there is no join, and a user with a third of all rows is one row per task.
     Longer windows use the join form, with the same result.
     """
-    from stayline.operators.cohort import label_cohort  # the join form
-
+    check_days(window_days=window_days, lag_days=lag_days)
     first, last = month_bounds(month)
     lo, hi = shift_int(first, 1), shift_int(last, window_days)
     if 31 + window_days > 62:

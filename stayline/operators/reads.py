@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
@@ -15,6 +16,8 @@ _DETAILS = ["score", "risk_tier", "expiry_date", "model_version"]
 def latest_prediction(predictions: DataFrame, user: str | None = None) -> DataFrame:
     """Each user's most recent prediction, or the one user's (no row when unknown)."""
     if user is not None:
+        if not re.fullmatch(USER_ID_PATTERN, user):
+            raise ValueError(f"not a user id: {user!r}")
         predictions = predictions.where(F.col("msno") == user)
     columns = [c for c in predictions.columns if c not in ("msno", "scoring_date")]
     latest = F.max(F.struct("scoring_date", *columns)).alias("_last")

@@ -36,9 +36,11 @@ DEFAULT_TIERS = (
 
 def check_tiers(tiers: tuple[Tier, ...]) -> tuple[Tier, ...]:
     """Three differently named tiers that tile [0, 1]; anything else is an error."""
-    if sorted(t.name for t in tiers) != sorted(TIER_NAMES):
+    if sorted(str(t.name) for t in tiers) != sorted(TIER_NAMES):
         raise ValueError(f"tiers must be exactly {TIER_NAMES}, got {[t.name for t in tiers]}")
     for t in tiers:
+        if not all(isinstance(x, (int, float)) for x in (t.score_min, t.score_max)):
+            raise ValueError(f"tier {t.name}: score_min and score_max must be numbers")
         if not 0.0 <= t.score_min < t.score_max <= 1.0:
             raise ValueError(f"tier {t.name}: need 0 <= score_min < score_max <= 1")
     ordered = sorted(tiers, key=lambda t: t.score_min)
@@ -58,7 +60,7 @@ def load_tiers(path: str) -> tuple[Tier, ...]:
     if strategy != "fixed_threshold":
         raise ValueError(f"unknown tier strategy {strategy!r}")
     names = ("name", "score_min", "score_max", "inclusive_min", "inclusive_max")
-    return check_tiers(tuple(Tier(**{n: t[n] for n in names}) for t in config.get("tiers", [])))
+    return check_tiers(tuple(Tier(**{n: t.get(n) for n in names}) for t in config.get("tiers", [])))
 
 
 def risk_tier(score: Column, tiers: tuple[Tier, ...] = DEFAULT_TIERS) -> Column:

@@ -23,6 +23,24 @@ def local_session(cores: str = "8", shuffle_partitions: str = "8", memory: str =
     return spark
 
 
+def cluster_settings(shuffle_bytes: int, partition_bytes: int = 256 * 2**20) -> dict[str, str]:
+    """Session settings for a job whose largest shuffle moves about ``shuffle_bytes``.
+
+    Enough initial partitions that each fits in an executor's memory share; adaptive
+    execution merges what turns out small and splits what turns out skewed, also when the
+    split costs another exchange of partial aggregates.
+    """
+    partitions = max(200, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 

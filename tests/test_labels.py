@@ -113,7 +113,15 @@ def test_argument_checks(txn, bad):
     with pytest.raises(ValueError):
         labels.with_renewal(cohort.label_cohort(txn, "2017-03"), txn, **bad)
     with pytest.raises(ValueError):
-        cohort.label_cohort(txn, "2017-13")
+        labels.month_labels(txn, "2017-03", "2017-05-01", **bad)
+    for call in (
+        lambda: cohort.label_cohort(txn, "2017-13"),
+        lambda: cohort.label_cohort(txn, "2017-03", lag_days=0),
+        lambda: cohort.monthly_cohorts(txn, "2017-03", "2017-04", lag_days=-1),
+        lambda: labels.labels_for_months(txn, ["2017-3"]),
+    ):
+        with pytest.raises(ValueError):
+            call()
 
 
 def test_latest_transaction_forms_agree(txn):

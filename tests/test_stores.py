@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stayline.operators import reads
 from stayline.schemas import MEMBERS, SOURCES
-from stayline.session import scratch_path, scratch_root, stage_counted
+from stayline.session import cluster_settings, scratch_path, scratch_root, stage_counted
 from stayline.sources import readers, writers
 
 D = dt.date
@@ -91,6 +91,8 @@ def test_reads(spark):
     assert {r.msno: r.score for r in reads.latest_prediction(store).collect()} == {"a": 0.7, "b": 0.7, "c": 0.9}
     assert reads.latest_prediction(store, "a").first().scoring_date == D(2017, 3, 3)
     assert reads.latest_prediction(store, "zz").count() == 0
+    with pytest.raises(ValueError, match="user id"):
+        reads.latest_prediction(store, "a b")
     day = reads.cohort_for_date(store, "2017-03-03").collect()
     assert [r.msno for r in day] == ["c", "a", "b"] and {r["count"] for r in day} == {3}
     assert reads.cohort_for_date(store, "2017-03-09").count() == 0
@@ -143,6 +145,15 @@ def test_jdbc_options():
         readers.jdbc_options("jdbc:x", "members", "city")
 
 
+def test_cluster_settings(spark):
+    assert cluster_settings(10**9)["spark.sql.shuffle.partitions"] == "200"
+    assert cluster_settings(20 * 10**12)["spark.sql.shuffle.partitions"] == "74506"
+    for key, value in cluster_settings(1).items():
+        before = spark.conf.get(key, None)
+        spark.conf.set(key, value)  # every one can be set on a running session
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def test_scratch(spark):
     assert scratch_path(spark, "x").startswith(scratch_root(spark))
     staged, n = stage_counted(spark.range(17).toDF("a"), "n")

@@ -53,6 +53,10 @@ def test_load_tiers(tmp_path):
     rows = [t.__dict__ for t in tiers.DEFAULT_TIERS]
     path.write_text(json.dumps({"strategy": "fixed_threshold", "tiers": rows}))
     assert tiers.load_tiers(str(path)) == tiers.DEFAULT_TIERS
+    for broken in ([{**rows[0], "score_min": "low"}, *rows[1:]], [{"name": "HIGH"}, *rows[1:]], []):
+        path.write_text(json.dumps({"tiers": broken}))
+        with pytest.raises(ValueError):
+            tiers.load_tiers(str(path))
     path.write_text(json.dumps({"strategy": "percentile", "tiers": rows}))
     with pytest.raises(ValueError, match="strategy"):
         tiers.load_tiers(str(path))
