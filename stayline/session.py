@@ -17,6 +17,8 @@ def local_session(cores: str = "8", shuffle_partitions: str = "8", memory: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every column expression slows plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -384,7 +384,8 @@ def dataset_roundtrip(t: Tables) -> DataFrame:
 
 
 def drift_of(t: Tables, columns: list[str]) -> DataFrame:
-    rows = splits.split_3way(stage(train_rows(t), "features"))
+    # Both sides are read by the drift job: store the split features, as a dataset version does.
+    rows = stage(splits.split_3way(stage(train_rows(t), "features")), "split-features")
     psi = drift.feature_drift(rows.where("split <> 'test'"), rows.where("split = 'test'"), columns)
     return psi.withColumn("psi", round_half_away(F.col("psi"), 8))
 
