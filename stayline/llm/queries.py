@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayline.llm import bpe, classifier, quality_rules, secrets, warc
+from stayline.llm import bpe, classifier, lines, quality_rules, secrets, simhash, warc
 from stayline.llm.batches import table
 from stayline.session import scratch_path
 
@@ -66,3 +66,40 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return classifier.score(docs, classifier.train(docs, table(spark, folder, "labels")))
+
+
+@query()
+def op7_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query(
+    """
+    WITH l AS (
+      SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+    ), v AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS v FROM l
+    ), b AS (
+      SELECT *, (coalesce(lag(v) OVER w, 0) * 1000003 + v) % 2147483647 % 3 = 0 AS cut, count(*) OVER (PARTITION BY doc_id) AS n
+      FROM v WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+    ), c AS (
+      SELECT *, coalesce(sum(CASE WHEN cut THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM b
+    ), chunks AS (
+      SELECT doc_id, place, string_agg(line, chr(10) ORDER BY i) AS bytes, count(*) AS size FROM c GROUP BY doc_id, place
+    ), gone AS (
+      SELECT doc_id, place FROM (SELECT *, row_number() OVER (PARTITION BY bytes ORDER BY doc_id, place) AS nth
+        FROM chunks WHERE size > 1) q WHERE nth > 1
+    ), kept AS (
+      SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM c ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+    )
+    SELECT d.doc_id, CASE WHEN d.text IS NULL OR d.doc_id IS NULL THEN d.text ELSE coalesce(k.text, '') END AS text,
+      CAST(CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END AS BIGINT) AS n_lines,
+      CAST(CASE WHEN d.text IS NULL OR d.doc_id IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) - coalesce(k.n, 0) END AS BIGINT)
+        AS n_removed
+    FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+    """
+)
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = lines.cut_repeats(table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "text", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"))
