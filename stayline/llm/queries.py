@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayline.llm import bpe, classifier, lines, quality_rules, secrets, simhash, warc
+from stayline.llm import bpe, classifier, licenses, lines, quality_rules, secrets, simhash, warc
 from stayline.llm.batches import table
 from stayline.session import scratch_path
 
@@ -103,3 +103,8 @@ def op7_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = lines.cut_repeats(table(spark, folder, "documents"))
     return cleaned.select("doc_id", "text", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"))
+
+
+@query(licenses.oracle_sql())
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, folder, "documents"))
