@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayline.llm import bpe, classifier, licenses, lines, quality_rules, secrets, simhash, warc
+from stayline.llm import bpe, classifier, licenses, lines, mixing, quality_rules, secrets, simhash, warc
 from stayline.llm.batches import table
 from stayline.session import scratch_path
 
@@ -108,3 +108,8 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query(licenses.oracle_sql())
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.find_licenses(table(spark, folder, "documents"))
+
+
+@query()
+def op5_temperature_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.schedule(table(spark, folder, "documents"))
