@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayline.llm import bpe, classifier, licenses, lines, mixing, quality_rules, secrets, simhash, warc
+from stayline.llm import bpe, classifier, hnsw, licenses, lines, mixing, quality_rules, secrets, simhash, warc
 from stayline.llm.batches import table
 from stayline.session import scratch_path
 
@@ -113,3 +113,25 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_temperature_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.schedule(table(spark, folder, "documents"))
+
+
+# Brute force: every pair of a label, then components by the smallest id each vector reaches.
+@query(
+    """
+    WITH RECURSIVE v AS (
+      SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), p AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+    ), r(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, p.b FROM r JOIN p ON p.a = r.b
+    ), c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a
+    ), n AS (SELECT a, count(DISTINCT b) AS n FROM p GROUP BY a)
+    SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(c.component_id, e.vec_id) AS component_id,
+      coalesce(coalesce(c.component_id, e.vec_id) = e.vec_id, FALSE) AS kept
+    FROM embeddings e LEFT JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+    """
+)
+def op10_hnsw_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, folder, "embeddings"))

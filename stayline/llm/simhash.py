@@ -243,7 +243,7 @@ def keep_one(docs: DataFrame, code: Covering = Covering()) -> DataFrame:
     an id can't be stood for, and stays.
     """
     chosen = near_duplicates(docs, code).where("doc_id = component_id").select(F.col("doc_id").alias("__chosen")).distinct()
-    kept = docs.join(chosen, docs["doc_id"] == chosen["__chosen"], "left_semi")
+    kept = docs.join(chosen.hint("merge"), docs["doc_id"] == chosen["__chosen"], "left_semi")
     once = Window.partitionBy("doc_id").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
     single = kept.withColumn("__copy", F.row_number().over(once)).where("__copy = 1").drop("__copy")
     return single.unionByName(docs.where("doc_id IS NULL"))
