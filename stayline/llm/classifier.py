@@ -83,7 +83,7 @@ class Fit:
     pair_rounds: int = 40
     rate: float = 0.15
     leaves: int = 4
-    least_leaf: int = 15
+    least_leaf: int = 3  # rare kinds of bad text are few rows of a small sample
     ridge: float = 2.0
 
 
