@@ -25,5 +25,5 @@ def run_labeling(
     An empty month writes nothing and reports a cohort size of 0.
     """
     labels = stage(month_labels(txn, month, labeled_date, window_days, lag_days), "labels")
-    written = upsert_labels(labels, store)
+    written = upsert_labels(labels, store, staged=True)
     return labeling_health(labels, written)

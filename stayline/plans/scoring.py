@@ -74,5 +74,5 @@ def run_scoring(
     scored = stage(
         scored_cohort(txn, logs, members, scoring_date, scorer, p99, model_version, **options), "scored-day"
     )
-    written = upsert_predictions(prediction_rows(scored, created_at), store)
+    written = upsert_predictions(prediction_rows(scored, created_at), store, staged=True)
     return scored, serving_health(scored, written)

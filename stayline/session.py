@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -43,17 +46,23 @@ def cluster_settings(shuffle_bytes: int, partition_bytes: int = 256 * 2**20) ->
     }
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     A machine-local folder is only ever chosen for a local master, where every
-    task runs on this machine.
+    task runs on this machine. On a cluster a ``file:`` folder can only be right as a mount
+    that all machines share, which the session can't see: it is taken with a warning.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if root:
+        if root.startswith("file:") and not sc.master.startswith("local"):
+            warnings.warn(f"{root} must be a mount that all executors share", stacklevel=2)
         return root
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     root = tempfile.mkdtemp(prefix="stayline-")
     sc.setCheckpointDir(root)
@@ -61,8 +70,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared scratch root."""
-    return f"{scratch_root(spark)}/stayline/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name under the shared scratch root, owned by the innermost scope."""
+    path = f"{scratch_root(spark)}/stayline/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Own what is staged inside, and delete it at the end.
+
+    A frame that reads a staged table must be used up before the scope closes. Without a
+    scope staged tables stay until the scratch folder is emptied.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _SCOPES.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

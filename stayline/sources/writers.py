@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from stayline.operators.checks import duplicate_keys
 from stayline.session import stage, stage_counted
@@ -60,48 +60,87 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str, sort_by: list
     )
 
 
+def _check_columns(incoming: DataFrame, stored: StructType, path: str, add_columns: bool) -> None:
+    """A batch must hold every stored column with its type, and no other unless that is asked for."""
+    batch = {f.name: f.dataType for f in incoming.schema.fields}
+    missing = [f.name for f in stored.fields if f.name not in batch]
+    if missing:
+        raise ValueError(f"the batch lacks the stored columns {missing} of {path}")
+    other = [f"{f.name} {batch[f.name].simpleString()}" for f in stored.fields if batch[f.name] != f.dataType]
+    if other:
+        raise ValueError(f"the batch has other types than {path}: {other}")
+    new = sorted(set(batch) - set(stored.names))
+    if new and not add_columns:
+        raise ValueError(f"{path} has no columns {new}; add_columns=True adds them")
+
+
 def merge_by_key(
     incoming: DataFrame,
     path: str,
     keys: list[str],
     partition: str,
+    add_columns: bool = False,
+    staged: bool = False,
 ) -> int:
     """Insert or replace rows by key in a partitioned Parquet table.
 
-    Only the partitions that ``incoming`` touches are read and rewritten. The merged rows
-    are staged in shared storage first, because a table cannot be overwritten while it is
-    being read. Returns the number of rows upserted; running it twice changes nothing.
+    The store is read with its own schema, so a row that the batch does not touch keeps every
+    column; the batch must bring all stored columns in their types. ``add_columns`` lets it
+    bring more, which are NULL in older rows. ``partition`` holds days or 'yyyy-MM' months:
+    only the touched ones are read and rewritten, and their list is bounded by the calendar.
+
+    The merged rows are staged in shared storage first, because a table cannot be
+    overwritten while it is being read. The batch is staged too unless it already reads a
+    stored table (``staged``). Returns the number of rows upserted; running it twice changes
+    nothing.
     """
     if partition not in incoming.columns:
         raise ValueError(f"partition column {partition!r} is not in the batch")
+    if not isinstance(incoming.schema[partition].dataType, (DateType, StringType)):
+        raise ValueError(f"partition column {partition!r} must hold days or months")
     spark = incoming.sparkSession
-    incoming, n_rows = stage_counted(incoming, "merge-in")
+    if staged:
+        n_rows = incoming.count()
+    else:
+        incoming, n_rows = stage_counted(incoming, "merge-in")
     if n_rows == 0:
         return 0
     if not duplicate_keys(incoming, keys).isEmpty():
         raise ValueError(f"duplicate {keys} in the batch")
 
     merged = incoming
-    existing = _read_or_none(spark, path, incoming.schema)
+    existing = _stored(spark, path, incoming.schema[partition])
     if existing is not None:
-        # Partition values are calendar days or months: a list bounded by the calendar.
+        _check_columns(incoming, existing.schema, path, add_columns)
         touched = [r[0] for r in incoming.select(partition).distinct().collect()]
         kept = existing.where(F.col(partition).isin(touched)).join(incoming, keys, "left_anti")
-        merged = stage(kept.select(*incoming.columns).unionByName(incoming), "merge-out")
+        merged = stage(incoming.unionByName(kept, allowMissingColumns=True), "merge-out")
     overwrite_partitions(merged, path, partition, [k for k in keys if k != partition])
     return n_rows
 
 
-def upsert_labels(labels: DataFrame, path: str) -> int:
+def _stored(spark: SparkSession, path: str, partition: StructField) -> DataFrame | None:
+    """The table at ``path`` with its stored columns; the partition column has the batch's type."""
+    try:
+        # Files may differ where columns were added; the partition column is part of no file.
+        files = spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return files.withColumn(partition.name, F.col(partition.name).cast(partition.dataType))
+
+
+def upsert_labels(labels: DataFrame, path: str, add_columns: bool = False, staged: bool = False) -> int:
     """Merge labels on (msno, anchor_expiry_date), stored by cohort month."""
     # Equal keys have equal anchors and so always meet in the same month partition.
     batch = labels.withColumn("cohort_month", F.date_format("anchor_expiry_date", "yyyy-MM"))
-    return merge_by_key(batch, path, ["msno", "anchor_expiry_date"], "cohort_month")
+    return merge_by_key(batch, path, ["msno", "anchor_expiry_date"], "cohort_month", add_columns, staged)
 
 
-def upsert_predictions(predictions: DataFrame, path: str) -> int:
+def upsert_predictions(predictions: DataFrame, path: str, add_columns: bool = False, staged: bool = False) -> int:
     """Merge predictions on (msno, scoring_date), stored by scoring date."""
-    return merge_by_key(predictions, path, ["msno", "scoring_date"], "scoring_date")
+    return merge_by_key(predictions, path, ["msno", "scoring_date"], "scoring_date", add_columns, staged)
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
@@ -118,6 +157,7 @@ def write_dataset(rows: DataFrame, p99: DataFrame, root: str, version: str) -> N
     """
     (
         rows.withColumn("dataset_version_id", F.lit(version))
+        .hint("rebalance", "split")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dataset_version_id", "split")

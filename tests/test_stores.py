@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stayline.operators import reads
 from stayline.schemas import MEMBERS, SOURCES
-from stayline.session import cluster_settings, scratch_path, scratch_root, stage_counted
+from stayline.session import cluster_settings, scratch_path, scratch_root, scratch_scope, stage_counted
 from stayline.sources import readers, writers
 
 D = dt.date
@@ -57,6 +57,38 @@ def test_upsert_rejects_duplicates_and_accepts_nothing(spark):
         writers.merge_by_key(predictions(spark, []), store, ["msno"], "nope")
 
 
+def test_merge_loses_no_stored_column(spark):
+    store = scratch_path(spark, "t-store")
+    writers.upsert_predictions(predictions(spark, [pred("a", 0.1, 1), pred("b", 0.9, 1), pred("a", 0.3, 2)]), store)
+    batch = predictions(spark, [pred("c", 0.4, 1)])
+    with pytest.raises(ValueError, match="risk_tier"):
+        writers.upsert_predictions(batch.drop("risk_tier"), store)
+    with pytest.raises(ValueError, match="score float"):
+        writers.upsert_predictions(batch.withColumn("score", F.col("score").cast("float")), store)
+    more = batch.withColumn("note", F.lit("new"))
+    with pytest.raises(ValueError, match="note"):
+        writers.upsert_predictions(more, store)
+    assert writers.upsert_predictions(more, store, add_columns=True) == 1
+    rows = spark.read.option("mergeSchema", True).parquet(store).collect()
+    assert {(r.msno, r.scoring_date.day, r.risk_tier, r.note) for r in rows} == {
+        ("a", 1, "LOW", None), ("b", 1, "HIGH", None), ("c", 1, "LOW", "new"), ("a", 2, "LOW", None),
+    }
+    # A later batch must bring the added column too, whichever day it touches.
+    with pytest.raises(ValueError, match="note"):
+        writers.upsert_predictions(predictions(spark, [pred("d", 0.4, 2)]), store)
+    with pytest.raises(ValueError, match="days or months"):
+        writers.merge_by_key(batch, store, ["msno"], "score")
+
+
+def test_scope_deletes_what_it_staged(spark):
+    with scratch_scope(spark):
+        kept, n = stage_counted(spark.range(5), "t-scope")
+        folder = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert n == 5 and spark.read.parquet(folder).count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(folder)
+
+
 def test_label_store(spark):
     store = scratch_path(spark, "t-labels")
     schema = "msno string, anchor_expiry_date date, feature_cutoff_date date, is_churn short, labeled_date date"
