@@ -80,7 +80,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> DataF
     suspects = stage(all_chunks.join(again, "key"), "line-suspects")
 
     wanted = suspects.groupBy("doc_id").agg(F.collect_list("place").alias("__wanted"))  # a text's own chunks
-    rows = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").join(wanted, "doc_id")
+    rows = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").join(wanted.hint("merge"), "doc_id")
     text = _chunk_text(F.col("__lines"), F.col("__b.start"), F.col("__b.stop"))
     seen = (
         _bounds(chunked(rows, window, every))
@@ -107,9 +107,10 @@ def repeated(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> DataF
 
 
 def cut_repeats(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> DataFrame:
-    """The rows with ``text`` less its repeated chunks, and the extra columns ``lines`` and ``lines_removed``."""
+    """The rows with ``text`` less its repeated chunks, and the extra columns ``__n_lines`` and ``__n_removed``."""
     gone = stage(repeated(docs, window, every), "line-repeats").withColumnRenamed("doc_id", "__id")
-    rows = _bounds(chunked(docs.join(gone, docs["doc_id"] == gone["__id"], "left"), window, every))
+    # Merge joins at every size: what is cut out grows with the table, so it is never broadcast.
+    rows = _bounds(chunked(docs.join(gone.hint("merge"), docs["doc_id"] == gone["__id"], "left"), window, every))
     lines = F.col("__lines")
 
     def stays(b: Column) -> Column:
