@@ -20,18 +20,45 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def unit_mean(x: Column) -> Column:
-    """Mean of values in [0, 1] that does not depend on the order of rows.
+# A sum of doubles changes in its last bits with the order in which tasks add, which flips a
+# mean that lies on a rounding tie. Each value becomes two integers here, a whole part and a
+# 30-bit rest, whose sums are exact in any order. ``unit`` scales before the cut: 2**30 keeps
+# 60 bits of values in [0, 1], 1 keeps 2**-30 of any value. NULLs are skipped.
+_REST = float(2**30)
+UNIT = float(2**30)
 
-    A sum of doubles changes in its last bits with the order in which tasks add, which flips
-    a mean that lies on a rounding tie. Here each value becomes two 30-bit integers, whose
-    sums are exact for up to 2**33 rows; NULLs are skipped.
-    """
-    scaled = x.cast("double") * float(2**30)
+
+def exact_parts(x: Column, name: str, unit: float = 1.0, weight: Column | None = None) -> list[Column]:
+    """Aggregates ``<name>_hi``, ``<name>_lo`` and ``<name>_n``, to be summed again or read by the functions below."""
+    scaled = x.cast("double") * unit
     high = F.floor(scaled)
-    low = F.floor((scaled - high) * float(2**30) + 0.5)
-    total = F.sum(high) / F.lit(float(2**30)) + F.sum(low) / F.lit(float(2**60))
-    return F.try_divide(total, F.count(x).cast("double"))
+    low = F.floor((scaled - high) * _REST + 0.5)
+    if weight is None:
+        return [F.sum(high).alias(f"{name}_hi"), F.sum(low).alias(f"{name}_lo"), F.count(x).alias(f"{name}_n")]
+    counted = F.when(x.isNotNull(), weight)
+    return [F.sum(high * weight).alias(f"{name}_hi"), F.sum(low * weight).alias(f"{name}_lo"), F.sum(counted).alias(f"{name}_n")]
+
+
+def summed_parts(name: str) -> list[Column]:
+    """Sums of the parts of partial aggregates."""
+    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("hi", "lo", "n")]
+
+
+def exact_total(name: str | Column, unit: float = 1.0) -> Column:
+    part = name.getField if isinstance(name, Column) else None
+    high, low = (part("x_hi"), part("x_lo")) if part else (F.col(f"{name}_hi"), F.col(f"{name}_lo"))
+    return high / F.lit(unit) + low / F.lit(unit * _REST)
+
+
+def exact_mean(name: str | Column, unit: float = 1.0) -> Column:
+    """Mean from the columns of ``name``, or from a struct of the parts of ``x``."""
+    count = name.getField("x_n") if isinstance(name, Column) else F.col(f"{name}_n")
+    return F.try_divide(exact_total(name, unit), count.cast("double"))
+
+
+def unit_mean(x: Column) -> Column:
+    """Mean of values in [0, 1], as one aggregate."""
+    return exact_mean(F.struct(*exact_parts(x, "x", UNIT)), UNIT)
 
 
 def percent(num: Column, den: Column, digits: int = 2) -> Column:

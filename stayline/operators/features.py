@@ -11,13 +11,16 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stayline.functions.dates import int_to_date, month_of
-from stayline.functions.numbers import flag, ratio, round_half_away, total_plays, unit_mean
+from stayline.functions.numbers import (
+    UNIT, exact_mean, exact_parts, exact_total, flag, ratio, round_half_away, summed_parts, total_plays,
+)
 from stayline.operators.cohort import valid_transactions
 from stayline.operators.pit import join_as_of
 from stayline.operators.running import quantile_row
 from stayline.schemas import (
     FEATURES, LOG_FEATURES, MEMBER_FEATURES, PLAY_COUNTERS, TXN_FEATURES, require_columns,
 )
+from stayline.session import stage
 
 KEY = ["msno", "feature_cutoff_date"]
 
@@ -64,38 +67,40 @@ def txn_features(
     cohort: DataFrame,
     drop_backdated: bool = True,
     last_cutoff: int | None = None,
-    small: bool = False,
+    hint: str | None = None,
 ) -> DataFrame:
-    """The transaction features, in one aggregate.
+    """The transaction features, in two aggregates: per user and day, then up to the cutoff.
 
     The latest row's attributes come from a maximum over a struct that starts with the
     payment day. The remaining fields break ties in a fixed order, so that same-day
     transactions always give the same answer.
     """
-    rows = until(valid_transactions(txn, drop_backdated), "transaction_date", last_cutoff).select(
-        "msno",
-        int_to_date("transaction_date").alias("txn_dt"),
-        "membership_expire_date",
-        "actual_amount_paid",
-        "payment_plan_days",
-        "plan_list_price",
-        "is_auto_renew",
-        "is_cancel",
-    )
-    latest = F.max(
-        F.struct(
-            "txn_dt", "membership_expire_date", "actual_amount_paid", "payment_plan_days",
-            "plan_list_price", "is_auto_renew", "is_cancel",
+    rows = until(valid_transactions(txn, drop_backdated), "transaction_date", last_cutoff)
+    daily = (
+        rows.groupBy("msno", "transaction_date")
+        .agg(
+            F.count(F.lit(1)).alias("n_txn"),
+            F.sum("is_cancel").alias("n_cancel"),
+            F.max(F.col("is_cancel").cast("int")).alias("ever_cancelled"),
+            F.max(flag(F.col("actual_amount_paid") == 0)).alias("ever_promo"),
+            F.max(
+                F.struct(
+                    "membership_expire_date", "actual_amount_paid", "payment_plan_days", "plan_list_price",
+                    "is_auto_renew", "is_cancel",
+                )
+            ).alias("_row"),
         )
+        .withColumn("txn_dt", int_to_date("transaction_date"))
+        .drop("transaction_date")
     )
-    agg = join_as_of(rows, cohort, "txn_dt", small).groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("n_txn"),
-        F.sum("is_cancel").alias("n_cancel"),
-        F.max(F.col("is_cancel").cast("int")).alias("ever_cancelled"),
-        F.max(flag(F.col("actual_amount_paid") == 0)).alias("ever_promo"),
-        latest.alias("_last"),
+    agg = join_as_of(daily, cohort, "txn_dt", hint).groupBy(*KEY).agg(
+        F.sum("n_txn").alias("n_txn"),
+        F.sum("n_cancel").alias("n_cancel"),
+        F.max("ever_cancelled").alias("ever_cancelled"),
+        F.max("ever_promo").alias("ever_promo"),
+        F.max(F.struct("txn_dt", "_row")).alias("_last"),
     )
-    flat = agg.select(*KEY, "n_txn", "n_cancel", "ever_cancelled", "ever_promo", "_last.*")
+    flat = agg.select(*KEY, "n_txn", "n_cancel", "ever_cancelled", "ever_promo", "_last.txn_dt", "_last._row.*")
     priced = ~F.coalesce(is_legacy(), F.lit(False))
     return flat.select(
         *KEY,
@@ -120,32 +125,38 @@ def log_features(
     p99_secs: float | Column,
     null_secs: str = "cap",
     last_cutoff: int | None = None,
-    small: bool = False,
+    hint: str | None = None,
 ) -> DataFrame:
-    """The usage features, in one aggregate of fixed-size sums."""
+    """The usage features, in two aggregates of fixed-size sums that are exact in any order of rows."""
     plays = total_plays(PLAY_COUNTERS)
-    rows = until(logs, "date", last_cutoff).select(
-        "msno",
-        int_to_date("date").alias("log_dt"),
-        winsorized_secs(p99_secs, null_secs).alias("secs"),
-        ratio(F.col("num_100"), plays).alias("completion"),
-        F.col("num_unq").cast("double").alias("unq"),
+    daily = (
+        until(logs, "date", last_cutoff)
+        .groupBy("msno", "date")
+        .agg(
+            F.count(F.lit(1)).alias("log_days"),
+            *exact_parts(winsorized_secs(p99_secs, null_secs), "secs"),
+            *exact_parts(ratio(F.col("num_100"), plays), "completion", UNIT),
+            F.sum(F.col("num_unq").cast("bigint")).alias("unq"),
+            F.count("num_unq").alias("unq_n"),
+        )
+        .withColumn("log_dt", int_to_date("date"))
+        .drop("date")
     )
-    agg = join_as_of(rows, cohort, "log_dt", small).groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("log_days"),
-        F.avg("secs").alias("_secs_avg"),
-        F.sum("secs").alias("_secs_sum"),
-        unit_mean(F.col("completion")).alias("_completion"),
-        F.avg("unq").alias("_unq"),
+    agg = join_as_of(daily, cohort, "log_dt", hint).groupBy(*KEY).agg(
+        F.sum("log_days").alias("log_days"),
+        *summed_parts("secs"),
+        *summed_parts("completion"),
+        F.sum("unq").alias("unq"),
+        F.sum("unq_n").alias("unq_n"),
         F.max("log_dt").alias("_last"),
     )
     return agg.select(
         *KEY,
         "log_days",
-        round_half_away(F.col("_secs_avg"), 1).alias("avg_daily_secs"),
-        round_half_away(F.col("_secs_sum"), 0).alias("total_secs_sum"),
-        round_half_away(F.col("_completion"), 4).alias("avg_completion_ratio"),
-        round_half_away(F.col("_unq"), 2).alias("avg_daily_unq_songs"),
+        round_half_away(exact_mean("secs"), 1).alias("avg_daily_secs"),
+        round_half_away(exact_total("secs"), 0).alias("total_secs_sum"),
+        round_half_away(exact_mean("completion", UNIT), 4).alias("avg_completion_ratio"),
+        round_half_away(ratio(F.col("unq"), F.col("unq_n")), 2).alias("avg_daily_unq_songs"),
         F.date_diff("feature_cutoff_date", "_last").alias("days_since_last_log"),
     )
 
@@ -184,41 +195,35 @@ def feature_matrix(
     p99_secs: float | Column,
     last_cutoff: int | None = None,
     null_secs: str = "cap",
-    small: bool = False,
 ) -> DataFrame:
     """All features for every cohort row; other cohort columns are kept in front.
 
     Training, scoring and drift all call this, so they cannot disagree. The two aggregates
-    leave their rows partitioned by the key that the assembly joins on. ``small`` (the cohort
-    was counted and may be broadcast) comes from ``pit.staged_cohort``.
+    leave their rows partitioned by the key that the assembly joins on. A stored cohort
+    (``pit.staged_cohort``) has a size that Spark can plan with.
     """
     require_columns(cohort, KEY, "cohort")
     out = (
         with_member_features(cohort, members)
-        .join(txn_features(txn, cohort, last_cutoff=last_cutoff, small=small), KEY, "left")
-        .join(log_features(logs, cohort, p99_secs, null_secs, last_cutoff, small), KEY, "left")
+        .join(txn_features(txn, cohort, last_cutoff=last_cutoff), KEY, "left")
+        .join(log_features(logs, cohort, p99_secs, null_secs, last_cutoff), KEY, "left")
     )
     return out.select(*cohort.columns, *FEATURES)
 
 
-def p99_secs(
-    logs: DataFrame,
-    cohort: DataFrame | None = None,
-    last_cutoff: int | None = None,
-    small: bool = False,
-) -> DataFrame:
+def p99_secs(logs: DataFrame, cohort: DataFrame | None = None, last_cutoff: int | None = None) -> DataFrame:
     """One row ``p99_secs``: the 99th percentile of seconds capped at a day.
 
     With a cohort only logs up to each user's cutoff count; one day's worth of seconds is
-    the answer when there are none. Without a cohort all logs count.
+    the answer when there are none. Without a cohort all logs count. Almost every value is
+    different, so a scan for brackets comes first; joined rows are stored for it.
     """
     # ``least`` skips NULL: a row without seconds counts as a full day.
     capped = F.least(F.col("total_secs").cast("double"), F.lit(float(DAY_SECS))).alias("secs")
     rows = until(logs, "date", last_cutoff).select("msno", int_to_date("date").alias("log_dt"), capped)
     if cohort is not None:
-        rows = join_as_of(rows, cohort, "log_dt", small)
-    # Over all logs a second scan is cheaper than shuffling every value; a cohort's rows are few.
-    return quantile_row(rows, "secs", {"p99_secs": 0.99}, continuous=cohort is None).select(
+        rows = stage(join_as_of(rows, cohort, "log_dt").select("secs"), "cohort-secs")
+    return quantile_row(rows, "secs", {"p99_secs": 0.99}, continuous=True).select(
         F.coalesce("p99_secs", F.lit(float(DAY_SECS))).alias("p99_secs")
     )
 

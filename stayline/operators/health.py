@@ -77,12 +77,12 @@ def serving_health(scored: DataFrame, rows_written: int | Column) -> DataFrame:
 
 def score_distribution(scored: DataFrame) -> DataFrame:
     """Number, range, mean and quantiles of the scores, in one row."""
-    counts, n_rows = value_table(scored, ["score"])
+    counts = value_table(scored, ["score"])
     stats = moments_of(counts).agg(
         F.struct(F.max("n").alias("n"), F.max("mean").alias("mean"))
     ).scalar()
     named = {"min": 0.0, "max": 1.0, "p50": 0.5, "p90": 0.9}
-    return quantile_row_of(counts, n_rows, named).select(
+    return quantile_row_of(counts, named).select(
         F.coalesce(stats.getField("n"), F.lit(0).cast("bigint")).alias("n_users"),
         "min",
         "max",

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stayline.functions.dates import as_date, check_days, int_to_date, month_bounds, month_of, shift_int
 from stayline.functions.numbers import flag, percent, ratio
-from stayline.operators.cohort import label_cohort, valid_transactions
+from stayline.operators.cohort import valid_transactions
 from stayline.schemas import LABEL_COLUMNS
 
 
@@ -108,53 +110,54 @@ def month_labels(
     """Cohort and labels of one month from a single scan and a single shuffle.
 
     Per user only two things matter: the latest expiry in the month, and on which days of
-    (first of month, end of month + window] a renewal was paid. The days fit in the bits of
-    one long when 31 + window_days <= 62, so both are plain fixed-size aggregates: map tasks
-    combine them, there is no join, and a user with a third of all rows is one row per task.
-    Longer windows use the join form, with the same result.
+    (first of month, end of month + window] a renewal was paid. The days are the bits of a
+    few longs, so all are plain fixed-size aggregates: map tasks combine them, there is no
+    join, and a user with a third of all rows is one row per task.
     """
     check_days(window_days=window_days, lag_days=lag_days)
     first, last = month_bounds(month)
     lo, hi = shift_int(first, 1), shift_int(last, window_days)
-    if 31 + window_days > 62:
-        cohort = label_cohort(txn, month, lag_days, drop_backdated)
-        return churn_labels(cohort, txn, labeled_date, window_days, (lo, hi), drop_backdated)
-
     expires = F.col("membership_expire_date").between(first, last)
     renews = (F.col("is_cancel") == 0) & F.col("transaction_date").between(lo, hi)
     start = F.lit(as_date(f"{month}-01"))
-    # Bit i stands for day i after the first of the month.
-    paid_bit = F.call_function(
-        "shiftleft", F.lit(1).cast("bigint"), F.date_diff(int_to_date("transaction_date"), start)
-    )
+    # Day i after the first of the month is bit i % 62 of word i // 62.
+    words = range((31 + window_days) // 62 + 1)
+    paid_day = F.date_diff(int_to_date("transaction_date"), start)
     anchor_day = F.date_diff("anchor_expiry_date", start)
-    window_mask = F.call_function(
-        "shiftleft", F.lit((1 << window_days) - 1).cast("bigint"), anchor_day + 1
-    )
+
+    def ones(n: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), n) - 1
+
+    def paid(word: int) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), paid_day - 62 * word)
+        return F.bit_or(F.when(renews & paid_day.between(62 * word, 62 * word + 61), bit)).alias(f"_paid{word}")
+
+    def in_window(word: int) -> Column:
+        """Renewals of the word's days in (anchor, anchor + window_days]."""
+        low = F.least(F.greatest(anchor_day + 1 - 62 * word, F.lit(0)), F.lit(62))
+        high = F.greatest(F.least(anchor_day + window_days + 1 - 62 * word, F.lit(62)), F.lit(0))
+        mask = F.when(high > low, ones(high) - ones(low)).otherwise(F.lit(0).cast("bigint"))
+        return F.coalesce(F.col(f"_paid{word}"), F.lit(0).cast("bigint")).bitwiseAND(mask) != 0
+
     return (
         valid_transactions(txn, drop_backdated)
         .where(expires | renews)
         .groupBy("msno")
-        .agg(
-            F.max(F.when(expires, F.col("membership_expire_date"))).alias("_expire"),
-            F.bit_or(F.when(renews, paid_bit)).alias("_paid"),
-        )
+        .agg(F.max(F.when(expires, F.col("membership_expire_date"))).alias("_expire"), *[paid(w) for w in words])
         .where(F.col("_expire").isNotNull())
         .withColumn("anchor_expiry_date", int_to_date("_expire"))
         .select(
             "msno",
             "anchor_expiry_date",
             F.date_sub("anchor_expiry_date", lag_days).alias("feature_cutoff_date"),
-            flag(F.coalesce(F.col("_paid"), F.lit(0).cast("bigint")).bitwiseAND(window_mask) == 0)
-            .cast("short")
-            .alias("is_churn"),
+            flag(~reduce(or_, [in_window(w) for w in words])).cast("short").alias("is_churn"),
             F.lit(as_date(labeled_date)).alias("labeled_date"),
         )
     )
 
 
-def labels_for_months(labels: DataFrame, months: list[str] | None = None) -> DataFrame:
-    """Stored labels of the given 'YYYY-MM' months (all when empty), by anchor date.
+def labels_of_months(labels: DataFrame, months: list[str] | None = None) -> DataFrame:
+    """Stored labels of the given 'YYYY-MM' months (all when empty), in no order.
 
     The months become a range on the anchor date as well, so files and row groups outside
     it are skipped.
@@ -166,7 +169,12 @@ def labels_for_months(labels: DataFrame, months: list[str] | None = None) -> Dat
         lo, hi = (date(v // 10000, v // 100 % 100, v % 100) for v in (lo, hi))
         out = out.where(F.col("anchor_expiry_date").between(F.lit(lo), F.lit(hi)))
         out = out.where(month_of("anchor_expiry_date").isin(months))
-    return out.select("msno", "anchor_expiry_date", "is_churn").orderBy("anchor_expiry_date", "msno")
+    return out.select("msno", "anchor_expiry_date", "is_churn")
+
+
+def labels_for_months(labels: DataFrame, months: list[str] | None = None) -> DataFrame:
+    """:func:`labels_of_months` by anchor date, for readers."""
+    return labels_of_months(labels, months).orderBy("anchor_expiry_date", "msno")
 
 
 def churn_rate(labels: DataFrame, by: list[str] | None = None) -> DataFrame:

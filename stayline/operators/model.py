@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -49,18 +50,32 @@ def _assembly() -> tuple[list, list[str]]:
     return [indexers, VectorAssembler(inputCols=inputs, outputCol="features")], inputs
 
 
+def best_prefix(losses: list[float], patience: int) -> int:
+    """Rounds to keep: those up to the smallest loss seen before ``patience`` rounds passed without a smaller one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def fit_gbt(
     rows: DataFrame,
     scale_pos_weight: float | None = None,
     rounds: int = 100,
     depth: int = 6,
-    validation_tol: float = 1e-4,
+    patience: int = 50,
     seed: int = 42,
 ) -> PipelineModel:
-    """Gradient-boosted trees on the train split, stopped early on the val split.
+    """Gradient-boosted trees on the train split, cut back to the best number of rounds on the val split.
 
     ``rows`` has the features, ``is_churn`` and ``split``. The positive-class weight is
-    retained over churned of the train split unless given.
+    retained over churned of the train split unless given. Spark's own early stop has no
+    patience, so all rounds are fitted; one pass over the val split then gives the weighted
+    log loss after each round, and :func:`best_prefix` says where to cut. Without a val
+    split all rounds stay.
     """
     require_columns(rows, FEATURES + ["is_churn", "split"], "rows")
     if scale_pos_weight is None:
@@ -70,15 +85,12 @@ def fit_gbt(
         "*",
         F.col("is_churn").cast("double").alias("label"),
         F.when(F.col("is_churn") == 1, F.lit(scale_pos_weight)).otherwise(F.lit(1.0)).alias("weight"),
-        (F.col("split") == "val").alias("is_val"),
     )
     stages, _ = _assembly()
     gbt = GBTClassifier(
         featuresCol="features",
         labelCol="label",
         weightCol="weight",
-        validationIndicatorCol="is_val",
-        validationTol=validation_tol,
         maxIter=rounds,
         maxDepth=depth,
         stepSize=STEP_SIZE,
@@ -87,7 +99,28 @@ def fit_gbt(
         featureSubsetStrategy=FEATURE_SHARE,
         seed=seed,
     )
-    return Pipeline(stages=[*stages, gbt]).fit(weighted)
+    fitted = Pipeline(stages=[*stages, gbt]).fit(weighted.where("split = 'train'"))
+    val = weighted.where("split = 'val'")
+    if val.isEmpty():
+        return fitted
+    prepared = PipelineModel(fitted.stages[:-1]).transform(val)
+    keep = best_prefix(list(fitted.stages[-1].evaluateEachIteration(prepared)), patience)
+    return PipelineModel([*fitted.stages[:-1], first_rounds(fitted.stages[-1], keep)])
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first ``rounds`` trees."""
+    if rounds >= model.getNumTrees:
+        return model
+    sc, java = SparkContext.getOrCreate(), model._java_obj
+    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(sc._jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], float(java.treeWeights()[i])
+    short = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), trees, weights, java.numFeatures(), java.numClasses()
+    )
+    return GBTClassificationModel(java.copyValues(short, sc._jvm.org.apache.spark.ml.param.ParamMap()) and short)
 
 
 def score(rows: DataFrame, model: PipelineModel) -> DataFrame:

@@ -4,77 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from stayline.session import stage_counted
+from stayline.session import stage
 
-# A user id has at most 64 characters, so a row of a broadcast cohort stays below ~150 bytes
-# and the whole relation below ~150 MB.
-BROADCAST_ROWS = 1_000_000
 
-# A user with more than this share of the facts is split over SPREAD sub-keys.
-HEAVY_SHARE = 0.001
-SPREAD = 256
+def staged_cohort(cohort: DataFrame) -> DataFrame:
+    """The cohort as a stored table.
 
-
-def staged_cohort(cohort: DataFrame) -> tuple[DataFrame, bool]:
-    """The cohort as a stored table, and whether it is small enough to broadcast.
-
-    Features read a cohort several times; storing it once also counts it exactly.
-    """
-    staged, n_rows = stage_counted(cohort, "cohort")
-    return staged, n_rows <= BROADCAST_ROWS
-
-
-def heavy_users(facts: DataFrame, share: float = HEAVY_SHARE) -> list[str]:
-    """Users that own more than about ``share`` of the rows: at most ~2/share ids.
-
-    One pass over the id column with a frequent-items sketch per group of tasks, then a sum
-    over the sketches. The estimate only steers how work is split, never a result.
+    Features read a cohort several times, and a stored table has a size that Spark knows:
+    its own byte threshold then decides whether the cohort is broadcast.
     """
-    k = round(1 / share)
-    sketched = facts.groupBy((F.spark_partition_id() % 512).alias("g")).agg(
-        F.call_function("approx_top_k", F.col("msno"), F.lit(k), F.lit(4 * k)).alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    # A user above the share overall is above it in at least one group.
-    items = sketched.select(F.col("n"), F.inline("top"))
-    found = items.groupBy("item").agg(F.sum("count").alias("c"))
-    total = sketched.agg(F.sum("n")).scalar()
-    return [r["item"] for r in found.where(F.col("c") >= total * share).collect()]
+    return stage(cohort, "cohort")
 
 
-def join_as_of(
-    facts: DataFrame,
-    cohort: DataFrame,
-    day: str,
-    small: bool = False,
-    heavy: list[str] | None = None,
-) -> DataFrame:
+def join_as_of(facts: DataFrame, cohort: DataFrame, day: str, hint: str | None = None) -> DataFrame:
     """Facts of cohort users with ``day <= feature_cutoff_date``.
 
     Cohort rows are unique by (msno, feature_cutoff_date). The caller aggregates the result by
-    that key.
-
-    ``small`` says that the cohort was counted and fits (see :func:`staged_cohort`): it is then
-    broadcast, facts are never shuffled, and every map task reduces its users on the spot.
-    Otherwise both sides are shuffled by user. A user who owns a large share of the facts would
-    then swamp one task, so the rows of such users (``heavy``, looked up when not given) are
-    spread over sub-keys by the task that reads them, and just their cohort rows are repeated.
-    The reading task, not a random number, picks the sub-key, so a retried task repeats its
-    choice; partial aggregation folds the sub-keys back into one row.
+    that key, and brings facts reduced to a row per user and day, so that the rows of any
+    user, however many facts it has, are bounded by the calendar. ``hint`` forces a join
+    strategy.
     """
     c = cohort.select("msno", "feature_cutoff_date")
-    f = facts
+    c = c.hint(hint) if hint else c
     on = (F.col("f.msno") == F.col("c.msno")) & (F.col(f"f.{day}") <= F.col("c.feature_cutoff_date"))
-    if small:
-        c = F.broadcast(c)
-    else:
-        hot = heavy_users(facts) if heavy is None else heavy
-        if hot:
-            is_hot = F.col("msno").isin(hot)
-            f = f.withColumn("_sub", F.when(is_hot, F.spark_partition_id() % SPREAD).otherwise(0))
-            subs = F.when(is_hot, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
-            c = c.withColumn("_sub", F.explode(subs))
-            on = on & (F.col("f._sub") == F.col("c._sub"))
-    return f.alias("f").join(c.alias("c"), on).select(
+    return facts.alias("f").join(c.alias("c"), on).select(
         "f.msno", "c.feature_cutoff_date", *[F.col(f"f.{n}") for n in facts.columns if n != "msno"]
     )

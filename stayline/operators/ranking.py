@@ -5,31 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stayline.functions.numbers import ratio
-from stayline.operators.running import ROWS_PER_TASK, cut_points, parts_for, running_sums
-from stayline.session import stage_counted
+from stayline.operators.running import running_sums
+from stayline.session import stage
 
 
-def top_k(scored: DataFrame, k: int = 100) -> DataFrame:
-    """The k highest scores; equal scores are ordered by user id."""
+def top_k(scored: DataFrame, k: int = 100, then: list[str] | None = None) -> DataFrame:
+    """The k highest scores; equal scores are ordered by user id, then by the columns ``then``."""
     if k <= 0:
         raise ValueError(f"k must be positive, got {k}")
-    return scored.orderBy(F.desc("score"), F.asc("msno")).limit(k)
+    return scored.orderBy(F.desc("score"), F.asc("msno"), *(then or [])).limit(k)
 
 
-def ranking_metrics(scored: DataFrame, k: int = 100, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def ranking_metrics(scored: DataFrame, k: int = 100, parts: int | None = None) -> DataFrame:
     """One row: auc_pr, auc_roc, precision_at_k, recall_at_k, n_total, n_churned, top_k.
 
     Input is (msno, score, is_churn). auc_pr is step-wise average precision with tied scores
     merged; auc_roc gives half credit to ties. Both are NULL unless both classes occur.
     """
     rows = scored.select("msno", F.col("score").cast("double").alias("score"), "is_churn")
-    scored, n_rows = stage_counted(rows, "scored")
-    cuts = cut_points(scored, "score", parts_for(n_rows, rows_per_task)).get(None, [])
+    scored = stage(rows, "scored")  # read twice, and a score may be dear to compute
     per_score = scored.groupBy("score").agg(
         F.sum(F.col("is_churn").cast("bigint")).alias("tp"),
         F.sum(1 - F.col("is_churn").cast("bigint")).alias("fp"),
     )
-    curve = running_sums(per_score, "score", ["tp", "fp"], cuts)
+    curve = running_sums(per_score, "score", ["tp", "fp"], parts)
     areas = curve.agg(
         F.sum(F.col("tp") * ratio(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp"))).alias("_ap"),
         F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2)).alias("_auc"),

@@ -1,65 +1,43 @@
 """Cumulative sums and exact quantiles over a global order, without a one-task sort.
 
-Rows are cut into buckets of similar size along the order; bucket totals (a few hundred
-rows) get a running sum, and each bucket adds its own. Where to cut comes from approximate
-quantiles; the cut only balances the work and never changes a result. Up to ROWS_PER_TASK
-rows need no cut at all.
+Rows are range-partitioned along the order into as many buckets as the session has shuffle
+partitions, and stored; bucket totals, one row each, get a running sum, and each bucket adds
+its own. Where a bucket ends comes from Spark's sample of the order; it only balances the
+work and never changes a result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stayline.session import stage_counted
+from stayline.functions.numbers import exact_mean, exact_parts
+from stayline.session import stage
 
-ROWS_PER_TASK = 1_000_000
-MAX_PARTS = 256
 
+def bucketed(df: DataFrame, order: list[str], parts: int | None = None, name: str = "buckets") -> DataFrame:
+    """The rows, stored with ``_bucket``: the number of their range along ``order``.
 
-def parts_for(n_rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
-    return min(MAX_PARTS, -(-n_rows // rows_per_task))
-
-
-def cut_points(df: DataFrame, value: str, parts: int, by: str | None = None) -> dict:
-    """Up to parts - 1 cut values per group. The result is a bounded driver-side list."""
-    if parts <= 1:
-        return {}
-    quantiles = [i / parts for i in range(1, parts)]
-    cuts = F.percentile_approx(F.col(value).cast("double"), quantiles, 2_000).alias("cuts")
-    rows = df.groupBy(*([by] if by else [])).agg(cuts).collect()
-    return {(r[by] if by else None): sorted(set(r["cuts"] or [])) for r in rows}
-
-
-def bucket_of(value: Column, cuts: list[float], base: int = 0) -> Column:
-    """Number of cuts at or below the value, as a balanced tree of comparisons."""
-    if not cuts:
-        return F.lit(base)
-    mid = len(cuts) // 2
-    return F.when(value < F.lit(cuts[mid]), bucket_of(value, cuts[:mid], base)).otherwise(
-        bucket_of(value, cuts[mid + 1 :], base + mid + 1)
-    )
+    Stored, because a sample drawn again could cut elsewhere: totals and rows must agree.
+    """
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stage(df.repartitionByRange(n, *order).withColumn("_bucket", F.spark_partition_id()), name)
 
 
-def running_sums(df: DataFrame, order: str, sums: list[str], cuts: list[float]) -> DataFrame:
+def running_sums(df: DataFrame, order: str, sums: list[str], parts: int | None = None) -> DataFrame:
     """Add ``cum_<name>`` for each name: the sum over rows with order >= this row's.
 
     ``order`` must be unique in ``df`` (group by it first).
     """
-    bucketed = df.withColumn("_bucket", bucket_of(F.col(order), cuts))
-    inside = (
-        Window.partitionBy("_bucket").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    own = {s: F.sum(s).over(inside) for s in sums}
-    if not cuts:
-        return bucketed.select(*df.columns, *[own[s].alias(f"cum_{s}") for s in sums])
+    rows = bucketed(df, [order], parts, "running")
+    inside = Window.partitionBy("_bucket").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
     above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    # At most len(cuts) + 1 rows: the one place where a single task is fine.
-    bases = bucketed.groupBy("_bucket").agg(*[F.sum(s).alias(s) for s in sums]).select(
+    # One row per bucket, so no more than there are shuffle partitions: a single task is fine.
+    bases = rows.groupBy("_bucket").agg(*[F.sum(s).alias(s) for s in sums]).select(
         F.col("_bucket").alias("_b"),
         *[F.coalesce(F.sum(s).over(above), F.lit(0)).alias(f"_base_{s}") for s in sums],
     )
-    return bucketed.join(F.broadcast(bases), F.col("_bucket") == F.col("_b")).select(
-        *df.columns, *[(F.col(f"_base_{s}") + own[s]).alias(f"cum_{s}") for s in sums]
+    return rows.join(F.broadcast(bases), F.col("_bucket") == F.col("_b")).select(
+        *df.columns, *[(F.col(f"_base_{s}") + F.sum(s).over(inside)).alias(f"cum_{s}") for s in sums]
     )
 
 
@@ -75,20 +53,30 @@ def rank_brackets(df: DataFrame, columns: list[str], quantiles: list[float]) ->
     values, and merges sketches in parallel; only two numbers per quantile reach the driver.
     """
     accuracy = 2_000
-    margin = 2.0 / accuracy
-    low = [max(q - margin, 0.0) for q in quantiles]
-    high = [min(q + margin, 1.0) for q in quantiles]
+    # A margin must cover the sketch's error and the one or two ranks by which definitions of
+    # a quantile differ, which is much of a small group: each group takes the first that does.
+    margins = [2.0 / accuracy, 0.02, 0.2, 1.0]
+    enough = [2.0 / (m - 1.0 / accuracy) for m in margins[:-1]]
+    low = [max(q - m, 0.0) for q in quantiles for m in margins]
+    high = [min(q + m, 1.0) for q in quantiles for m in margins]
     group = F.spark_partition_id() % 512
     aggs = []
     for c in columns:
         v = F.col(c).cast("double")
-        aggs += [F.percentile_approx(v, low, accuracy).alias(f"{c}_low"), F.percentile_approx(v, high, accuracy).alias(f"{c}_high")]
+        aggs += [
+            F.percentile_approx(v, low, accuracy).alias(f"{c}_low"),
+            F.percentile_approx(v, high, accuracy).alias(f"{c}_high"),
+            F.count(v).alias(f"{c}_n"),
+        ]
     parts = df.select(*columns, group.alias("_group")).groupBy("_group").agg(*aggs)
     ends = []
     for c in columns:
+        n = F.col(f"{c}_n")
+        margin = F.when(n >= enough[0], 0).when(n >= enough[1], 1).when(n >= enough[2], 2).otherwise(3)
         for i in range(len(quantiles)):
-            ends.append(F.min(F.col(f"{c}_low")[i]).alias(f"{c}_low{i}"))
-            ends.append(F.max(F.col(f"{c}_high")[i]).alias(f"{c}_high{i}"))
+            at = F.lit(i * len(margins)) + margin
+            ends.append(F.min(F.get(f"{c}_low", at)).alias(f"{c}_low{i}"))
+            ends.append(F.max(F.get(f"{c}_high", at)).alias(f"{c}_high{i}"))
     row = parts.agg(*ends).first()
 
     out: dict[str, Brackets] = {}
@@ -122,9 +110,9 @@ def _outside_as_gap(value: Column, brackets: Brackets) -> Column:
 
 
 def value_table(
-    df: DataFrame, columns: list[str], brackets: dict[str, Brackets] | None = None
-) -> tuple[DataFrame, int]:
-    """Several numeric columns as a stored (column, value, cnt) table, and its row count.
+    df: DataFrame, columns: list[str], brackets: dict[str, Brackets] | None = None, parts: int | None = None
+) -> DataFrame:
+    """Several numeric columns as a stored (column, value, cnt) table, bucketed along column and value.
 
     One scan with map-side combining; NULLs are left out. Every order statistic and every
     moment of the columns can be read from this table instead of the data.
@@ -139,16 +127,15 @@ def value_table(
         .unpivot([], columns, "column", "value")
         .where("value IS NOT NULL")
     )
-    return stage_counted(
-        long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")), "value-counts"
-    )
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    return bucketed(counts, ["column", "value"], parts, "value-counts")
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: list[str],
     quantiles: list[float],
-    rows_per_task: int = ROWS_PER_TASK,
+    parts: int | None = None,
     continuous: bool = False,
 ) -> DataFrame:
     """Exact interpolated quantiles of several numeric columns.
@@ -157,23 +144,16 @@ def exact_quantiles(
     shuffle of all values.
     """
     brackets = rank_brackets(df, columns, quantiles) if continuous else None
-    return quantiles_of(*value_table(df, columns, brackets), quantiles, rows_per_task, brackets)
+    return quantiles_of(value_table(df, columns, brackets, parts), quantiles, brackets)
 
 
-def quantiles_of(
-    counts: DataFrame,
-    n_rows: int,
-    quantiles: list[float],
-    rows_per_task: int = ROWS_PER_TASK,
-    brackets: dict[str, Brackets] | None = None,
-) -> DataFrame:
+def quantiles_of(counts: DataFrame, quantiles: list[float], brackets: dict[str, Brackets] | None = None) -> DataFrame:
     """Quantiles from a :func:`value_table`.
 
     Returns one row per column: ``column``, ``n`` (non-null values) and ``q``, an array in
     the order of ``quantiles``; a column without values has no row. Only the buckets that
     hold a wanted rank are sorted.
     """
-    cuts = cut_points(counts, "value", parts_for(n_rows, rows_per_task), "column")
 
     def ranks(q: float) -> tuple[Column, Column, Column]:
         pos = F.lit(float(q)) * (F.col("n") - 1)
@@ -183,39 +163,30 @@ def quantiles_of(
         return (start <= rank) & (rank < start + size)
 
     per_column = Window.partitionBy("column")
-    if not cuts:
-        before = F.sum("cnt").over(per_column.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
-        ranked = counts.withColumns({"n": F.sum("cnt").over(per_column), "_start": before - F.col("cnt")})
-    else:
-        bucket = None
-        for name, points in cuts.items():
-            tree, hit = bucket_of(F.col("value"), points), F.col("column") == name
-            bucket = F.when(hit, tree) if bucket is None else bucket.when(hit, tree)
-        bucketed = counts.withColumn("_bucket", bucket)
-        # Bucket totals: at most MAX_PARTS rows per column.
-        below = per_column.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        totals = (
-            bucketed.groupBy("column", "_bucket")
-            .agg(F.sum("cnt").alias("_in"))
-            .select(
-                F.col("column").alias("_column"),
-                F.col("_bucket").alias("_b"),
-                "_in",
-                F.coalesce(F.sum("_in").over(below), F.lit(0)).alias("_base"),
-                F.sum("_in").over(per_column).alias("n"),
-            )
+    below = per_column.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per bucket, and one more for each column that begins inside it.
+    totals = (
+        counts.groupBy("column", "_bucket")
+        .agg(F.sum("cnt").alias("_in"))
+        .select(
+            F.col("column").alias("_column"),
+            F.col("_bucket").alias("_b"),
+            "_in",
+            F.coalesce(F.sum("_in").over(below), F.lit(0)).alias("_base"),
+            F.sum("_in").over(per_column).alias("n"),
         )
-        wanted = F.lit(False)
-        for q in quantiles:
-            for rank in ranks(q)[1:]:
-                wanted = wanted | holds(rank, F.col("_base"), F.col("_in"))
-        inside = F.sum("cnt").over(
-            Window.partitionBy("column", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-        )
-        ranked = bucketed.join(
-            F.broadcast(totals.where(wanted)),
-            (F.col("column") == F.col("_column")) & (F.col("_bucket") == F.col("_b")),
-        ).withColumn("_start", F.col("_base") + inside - F.col("cnt"))
+    )
+    wanted = F.lit(False)
+    for q in quantiles:
+        for rank in ranks(q)[1:]:
+            wanted = wanted | holds(rank, F.col("_base"), F.col("_in"))
+    inside = F.sum("cnt").over(
+        Window.partitionBy("column", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    ranked = counts.join(
+        F.broadcast(totals.where(wanted)),
+        (F.col("column") == F.col("_column")) & (F.col("_bucket") == F.col("_b")),
+    ).withColumn("_start", F.col("_base") + inside - F.col("cnt"))
 
     # A wanted rank must meet a real value, never the stand-in of a gap.
     value = F.col("value")
@@ -247,9 +218,9 @@ def quantile_row(
     return _as_row(exact_quantiles(df, [column], list(named.values()), continuous=continuous), named)
 
 
-def quantile_row_of(counts: DataFrame, n_rows: int, named: dict[str, float]) -> DataFrame:
+def quantile_row_of(counts: DataFrame, named: dict[str, float]) -> DataFrame:
     """As :func:`quantile_row`, from a value table of a single column."""
-    return _as_row(quantiles_of(counts, n_rows, list(named.values())), named)
+    return _as_row(quantiles_of(counts, list(named.values())), named)
 
 
 def _as_row(q: DataFrame, named: dict[str, float]) -> DataFrame:
@@ -266,7 +237,7 @@ def moments_of(counts: DataFrame) -> DataFrame:
         F.sum(w).alias("n"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
-        (F.sum(v * w) / F.sum(w)).alias("mean"),
+        exact_mean(F.struct(*exact_parts(v, "x", weight=w))).alias("mean"),
     )
     centred = counts.join(F.broadcast(first.select(F.col("column").alias("_c"), "mean")), F.col("column") == F.col("_c"))
     spread = centred.groupBy("column").agg(

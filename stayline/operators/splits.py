@@ -21,14 +21,24 @@ def hash_draw(seed: int, key: str = "msno") -> Column:
     return F.substring(F.md5(F.concat(F.col(key), F.lit(f"|{seed}"))), 1, 8)
 
 
-def _recent_months(df: DataFrame) -> Column:
-    """Cohort months, latest first, as a scalar subquery: bounded by the calendar."""
+def _recent_months(df: DataFrame, known: list[str] | None) -> Column:
+    """Cohort months, latest first.
+
+    When the caller knows them, as from the label table, they are literals; else a scalar
+    subquery, which computes ``df`` once more unless it is a stored table.
+    """
+    if known is not None:
+        return F.array(*[F.lit(m) for m in sorted(set(known), reverse=True)])
     months = df.select("cohort_month").distinct()
     return months.agg(F.sort_array(F.collect_set("cohort_month"), asc=False)).scalar()
 
 
 def split_3way(
-    df: DataFrame, val_fraction: float = 0.15, test_fraction: float = 0.15, seed: int = 42
+    df: DataFrame,
+    val_fraction: float = 0.15,
+    test_fraction: float = 0.15,
+    seed: int = 42,
+    months: list[str] | None = None,
 ) -> DataFrame:
     """Add ``split``: latest month = test, the one before = val, the rest = train.
 
@@ -44,21 +54,23 @@ def split_3way(
     )
     if "cohort_month" not in df.columns:
         return df.withColumn("split", random)
-    months = _recent_months(df)
+    recent = _recent_months(df, months)
     by_time = (
-        F.when(F.col("cohort_month") == F.get(months, F.lit(0)), "test")
-        .when(F.col("cohort_month") == F.get(months, F.lit(1)), "val")
+        F.when(F.col("cohort_month") == F.get(recent, F.lit(0)), "test")
+        .when(F.col("cohort_month") == F.get(recent, F.lit(1)), "val")
         .otherwise("train")
     )
-    return df.withColumn("split", F.when(F.size(months) >= 3, by_time).otherwise(random))
+    return df.withColumn("split", F.when(F.size(recent) >= 3, by_time).otherwise(random))
 
 
-def split_2way(df: DataFrame, val_fraction: float = 0.2, seed: int = 42) -> DataFrame:
+def split_2way(
+    df: DataFrame, val_fraction: float = 0.2, seed: int = 42, months: list[str] | None = None
+) -> DataFrame:
     """Add ``split``: latest month = val when there are two or more, else random by user."""
     random = F.when(hash_draw(seed) < _hex_bound(val_fraction), "val").otherwise("train")
     if "cohort_month" not in df.columns:
         return df.withColumn("split", random)
-    months = _recent_months(df)
-    latest = F.col("cohort_month") == F.get(months, F.lit(0))
+    recent = _recent_months(df, months)
+    latest = F.col("cohort_month") == F.get(recent, F.lit(0))
     by_time = F.when(latest, "val").otherwise("train")
-    return df.withColumn("split", F.when(F.size(months) >= 2, by_time).otherwise(random))
+    return df.withColumn("split", F.when(F.size(recent) >= 2, by_time).otherwise(random))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stayline.functions.dates import as_int
 from stayline.operators.features import feature_matrix, p99_secs, training_rows, with_cutoff
 from stayline.operators.health import split_summary
-from stayline.operators.labels import labels_for_months
+from stayline.operators.labels import labels_of_months
 from stayline.operators.pit import staged_cohort
 from stayline.operators.splits import split_3way
 from stayline.session import stage
@@ -21,7 +21,6 @@ def labeled_features(
     members: DataFrame,
     threshold: Column | float | None = None,
     last_cutoff: int | None = None,
-    small: bool = False,
 ) -> DataFrame:
     """Label, cohort month and all features of every labeled user.
 
@@ -31,8 +30,8 @@ def labeled_features(
     """
     cohort = labels.select("msno", "feature_cutoff_date", "anchor_expiry_date", "is_churn")
     if threshold is None:
-        threshold = p99_secs(logs, cohort, last_cutoff, small).scalar()
-    return training_rows(feature_matrix(cohort, txn, logs, members, threshold, last_cutoff, small=small))
+        threshold = p99_secs(logs, cohort, last_cutoff).scalar()
+    return training_rows(feature_matrix(cohort, txn, logs, members, threshold, last_cutoff))
 
 
 def build_dataset(
@@ -49,15 +48,15 @@ def build_dataset(
     seed: int = 42,
 ) -> DataFrame:
     """Write a dataset version and return its split sizes and churn rates."""
-    cohort = labels_for_months(labels, months)
-    cohort, small = staged_cohort(with_cutoff(cohort, lag_days, "anchor_expiry_date"))
+    cohort = labels_of_months(labels, months)
+    cohort = staged_cohort(with_cutoff(cohort, lag_days, "anchor_expiry_date"))
     last = cohort.agg(F.max("feature_cutoff_date")).first()[0]
     if last is None:
         raise ValueError("no labeled rows for these months")
     last = as_int(last)
-    threshold = stage(p99_secs(logs, cohort, last, small), "p99")
+    threshold = stage(p99_secs(logs, cohort, last), "p99")
     rows = stage(
-        labeled_features(cohort, txn, logs, members, threshold.scalar(), last, small), "features"
+        labeled_features(cohort, txn, logs, members, threshold.scalar(), last), "features"
     )
     write_dataset(split_3way(rows, val_fraction, test_fraction, seed), threshold, root, version)
     written = labels.sparkSession.read.parquet(f"{root}/rows")

@@ -6,9 +6,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
+from stayline.functions.dates import as_int
 from stayline.operators.drift import drift_alerts, feature_drift
 from stayline.operators.features import feature_matrix, with_cutoff
-from stayline.operators.labels import labels_for_months
+from stayline.operators.labels import labels_of_months
 from stayline.operators.pit import staged_cohort
 from stayline.operators.ranking import cohort_performance
 from stayline.operators.reads import predictions_for_month, scored_users
@@ -37,9 +38,11 @@ def features_of_scored(
     lag_days: int = 14,
 ) -> DataFrame:
     """Rebuild the features of a stored scoring date, with that dataset's threshold."""
-    cohort, small = staged_cohort(with_cutoff(scored_users(predictions, scoring_date), lag_days))
+    cohort = staged_cohort(with_cutoff(scored_users(predictions, scoring_date), lag_days))
     threshold = dataset_params(predictions.sparkSession, root, version).select("p99_secs").scalar()
-    return stage(feature_matrix(cohort, txn, logs, members, threshold, small=small), "drift-features")
+    last = cohort.agg(F.max("feature_cutoff_date")).first()[0]
+    bound = None if last is None else as_int(last)  # the scans need nothing later
+    return stage(feature_matrix(cohort, txn, logs, members, threshold, bound), "drift-features")
 
 
 def run_performance(
@@ -51,7 +54,7 @@ def run_performance(
     alert, but no reason to retrain.
     """
     mine = stage(predictions_for_month(predictions, month), "month-predictions")
-    truth = stage(labels_for_months(labels, [month]), "month-labels")
+    truth = stage(labels_of_months(labels, [month]), "month-labels")
     missing = mine.isEmpty() or truth.isEmpty()
     out = cohort_performance(mine, truth, k, alert_below)
     return out.withColumn("retrain", F.col("auc_pr_alert")).withColumn(

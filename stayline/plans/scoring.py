@@ -39,8 +39,8 @@ def scored_cohort(
     """
     day = as_date(scoring_date)
     last_cutoff = as_int(day + timedelta(days=lead_days - lag_days))
-    cohort, small = staged_cohort(with_cutoff(expiring_cohort(txn, day, lead_days), lag_days))
-    features = feature_matrix(cohort, txn, logs, members, p99, last_cutoff, small=small)
+    cohort = staged_cohort(with_cutoff(expiring_cohort(txn, day, lead_days), lag_days))
+    features = feature_matrix(cohort, txn, logs, members, p99, last_cutoff)
     return with_risk_tier(scorer(features), tiers).withColumns(
         {"scoring_date": F.lit(day), "model_version": F.lit(model_version)}
     )

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from stayline.operators import features, pit
+from stayline.operators import features
 from stayline.schemas import FEATURES
 
 D = dt.date
@@ -124,30 +124,22 @@ def skewed(spark, make):
     return txn, cohort
 
 
-def test_heavy_users_are_found(skewed):
-    assert "hot" in pit.heavy_users(skewed[0])
-    assert pit.heavy_users(skewed[0], share=0.2) == ["hot"]
-
-
-def test_broadcast_shuffled_and_split_paths_agree(spark, skewed, monkeypatch):
+def test_broadcast_and_shuffled_joins_agree(spark, skewed):
     txn, cohort = skewed
     key = lambda df: sorted(map(str, df.collect()))
-    broadcast = key(features.txn_features(txn, cohort, small=True))
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert key(features.txn_features(txn, cohort)) == broadcast
-        monkeypatch.setattr(pit, "heavy_users", lambda facts: [])
-        assert key(features.txn_features(txn, cohort)) == broadcast
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-
-
-def test_split_spreads_the_heavy_user(spark, skewed):
-    txn, cohort = skewed
-    rows = txn.select("msno", F.to_date(F.col("transaction_date").cast("string"), "yyyyMMdd").alias("d"))
-    plan = pit.join_as_of(rows, cohort, "d", heavy=["hot"])._jdf.queryExecution().toString()
-    assert "_sub#" in plan
+    assert key(features.txn_features(txn, cohort, hint="broadcast")) == key(features.txn_features(txn, cohort, hint="merge"))
+
+
+def test_sums_of_logs_do_not_depend_on_row_order(spark, make, one_cohort):
+    """Bit-equal rows over several partitionings, with seconds that are no round numbers."""
+    rng = random.Random(11)
+    rows = [("u", 20170301 + i % 14, rng.random() * 90000, *[rng.randrange(40) for _ in range(5)], rng.randrange(60)) for i in range(4000)]
+    logs = make.logs(rows)
+    got = set()
+    for parts in (1, 3, 16, 61):
+        shuffled = logs.orderBy(F.rand(parts)).repartition(parts)
+        got.add(str(features.log_features(shuffled, one_cohort("u"), 43573.98123).first()))
+    assert len(got) == 1
 
 
 def test_p99(make, one_cohort, spark):

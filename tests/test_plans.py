@@ -194,35 +194,61 @@ def test_cohort_filter_reaches_the_scan(t):
     assert "EqualTo(membership_expire_date,20010315)" in text
 
 
-def test_small_cohort_never_shuffles_facts(t):
-    users, small = pit.staged_cohort(cohort.label_cohort(t.transactions, "2001-03"))
-    assert small
-    text = plan(features.txn_features(t.transactions, users, last_cutoff=20010317, small=small))
-    assert "BroadcastHashJoin" in text and text.count("Exchange hashpartitioning") == 1
+def test_known_size_of_a_cohort_decides_the_join(spark, t):
+    """The stored cohort is broadcast below Spark's threshold; a hint or a lower threshold shuffles both sides."""
+    users = pit.staged_cohort(cohort.label_cohort(t.transactions, "2001-03"))
+    text = plan(features.txn_features(t.transactions, users, last_cutoff=20010317))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     assert "LessThanOrEqual(transaction_date,20010317)" in text
     assert "partial_max" in text and "Window" not in text
+    forced = plan(features.txn_features(t.transactions, users, last_cutoff=20010317, hint="merge"))
+    assert "SortMergeJoin" in forced and "BroadcastHashJoin" not in forced
 
 
-def test_large_cohort_splits_heavy_users_only(spark, t):
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        users = cohort.label_cohort(t.transactions, "2001-03")
-        rows = t.transactions.select("msno", labels.int_to_date("transaction_date").alias("d"))
-        plain = plan(pit.join_as_of(rows, users, "d", heavy=[]))
-        split = plan(pit.join_as_of(rows, users, "d", heavy=["42"]))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    assert "SortMergeJoin" in plain and "_sub#" not in plain
-    assert "SortMergeJoin" in split and re.search(r"hashpartitioning\(msno#\d+, _sub#", split)
+def test_facts_are_a_row_per_user_and_day_before_the_join(t):
+    users = pit.staged_cohort(cohort.label_cohort(t.transactions, "2001-03"))
+    for df in (features.txn_features(t.transactions, users, hint="merge"), features.log_features(t.user_logs, users, 1.0, hint="merge")):
+        below_join = plan(df).split("SortMergeJoin")[1]
+        assert re.search(r"Aggregate\(key(s)?=\[msno#\d+, (transaction_date|date)#", below_join)
+
 
+def test_coverage_and_rebuilt_features_bound_their_scans(t):
+    from stayline.operators.agreement import log_coverage
 
-def test_windows_over_everything_only_see_bounded_rows(spark, t):
-    """The one unpartitioned window (bucket bases) reads bucket totals, not rows."""
-    from stayline.operators.running import running_sums
+    text = plan(log_coverage(cohort.label_cohort(t.transactions, "2001-03"), t.user_logs, 20010317))
+    assert "LessThanOrEqual(date,20010317)" in text
+
+
+def test_windows_over_everything_only_see_bucket_totals(spark, t):
+    """The one unpartitioned window reads a row per bucket, and there are as many buckets as shuffle partitions."""
+    from stayline.operators.running import bucketed, running_sums
 
     per_score = t.user_logs.groupBy(F.col("total_secs").alias("score")).agg(F.count("*").alias("tp"))
-    text = plan(running_sums(per_score, "score", ["tp"], [1000.0, 5000.0]))
+    text = plan(running_sums(per_score, "score", ["tp"]))
     blocks = re.findall(r"Window \[.*?\], \[_bucket#\d+ DESC.*", text)
     assert len(blocks) == 1
     assert re.search(r"Exchange SinglePartition.*\n.*HashAggregate\(keys=\[_bucket", text)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (3, 300):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            assert 0.8 * n <= bucketed(spark.range(5000), ["id"]).select("_bucket").distinct().count() <= n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
+def test_rounds_are_cut_at_the_best_not_at_the_first_stop():
+    losses = [1.0, 0.9, 0.95, 0.93, 0.8, 0.85, 0.84, 0.86, 0.7]
+    assert model.best_prefix(losses, 3) == 5  # past the first rise, and before the patience ran out
+    assert model.best_prefix(losses, 1) == 2 and model.best_prefix(losses, 50) == 9 and model.best_prefix([1.0], 5) == 1
+
+
+def test_a_cut_model_scores_as_its_first_trees(spark):
+    rows = stage(spark.range(400).select(
+        F.col("id").cast("string").alias("msno"), *[(F.hash("id", F.lit(i)) % 5).cast("int").alias(c) for i, c in enumerate(FEATURES)],
+        (F.hash("id") % 2 == 0).cast("int").alias("is_churn"), F.lit("train").alias("split"),
+    ), "cut")
+    long, short = (model.fit_gbt(rows, rounds=n, depth=2) for n in (5, 2))
+    cut = model.PipelineModel([*long.stages[:-1], model.first_rounds(long.stages[-1], 2)])
+    a, b = (sorted(model.score(rows, m).select("msno", "score").collect()) for m in (cut, short))
+    assert a == b

@@ -68,17 +68,12 @@ def main() -> None:
     noop = lambda df: df.write.format("noop").mode("overwrite").save()
 
     found = timed("labels of a month", lambda: stage(labels.month_labels(txn, "2017-03", "2017-05-01"), "l"))
-    users, small = timed("cohort", lambda: pit.staged_cohort(found.select("msno", "feature_cutoff_date")))
-    print({"cohort": users.count(), "broadcast": small})
-    p99 = timed("winsor threshold", lambda: features.p99_secs(logs, users, 20170317, small).first()[0])
-    matrix = timed("feature matrix, cohort broadcast", lambda: stage(
-        features.feature_matrix(users, txn, logs, members, p99, 20170317, small=small), "m"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    timed("log features, shuffled, heavy users split", lambda: noop(features.log_features(logs, users, p99, last_cutoff=20170317)))
-    heavy, pit.heavy_users = pit.heavy_users, lambda facts: []
-    timed("log features, shuffled, no split", lambda: noop(features.log_features(logs, users, p99, last_cutoff=20170317)))
-    pit.heavy_users = heavy
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    users = timed("cohort", lambda: pit.staged_cohort(found.select("msno", "feature_cutoff_date")))
+    print({"cohort": users.count()})
+    p99 = timed("winsor threshold", lambda: features.p99_secs(logs, users, 20170317).first()[0])
+    matrix = timed("feature matrix", lambda: stage(
+        features.feature_matrix(users, txn, logs, members, p99, 20170317), "m"))
+    timed("log features, shuffled", lambda: noop(features.log_features(logs, users, p99, last_cutoff=20170317, hint="merge")))
     timed("drift of all features", lambda: noop(drift.feature_drift(matrix, matrix, FEATURES)))
     scored = found.join(matrix.select("msno", "tenure_days"), "msno").select(
         "msno", (F.pmod(F.xxhash64("msno"), F.lit(10**9)) / 1e9).alias("score"), "is_churn")

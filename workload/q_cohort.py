@@ -19,6 +19,7 @@ from workload.tables import Tables
 MONTH, FIRST, LAST = "2001-03", 20010301, 20010331
 FIRST_MONTH, LAST_MONTH = "2001-03", "2001-08"
 LAST_CUTOFF = 20010817
+TRAIN_MONTHS = [f"2001-{m:02d}" for m in range(3, 9)]
 LABELED = "2001-05-01"
 
 
@@ -33,8 +34,8 @@ def train_labels(t: Tables) -> DataFrame:
 
 def train_rows(t: Tables) -> DataFrame:
     """Labeled features of six cohort months; the label table is stored first, as in a real run."""
-    stored, small = staged_cohort(train_labels(t))
-    return labeled_features(stored, t.transactions, t.user_logs, t.members, None, LAST_CUTOFF, small)
+    stored = staged_cohort(train_labels(t))
+    return labeled_features(stored, t.transactions, t.user_logs, t.members, None, LAST_CUTOFF)
 
 
 # ── cohorts and labels ───────────────────────────────────────────────────────
@@ -126,7 +127,7 @@ def unverifiable_share(t: Tables) -> DataFrame:
 SELECT count(*) AS anchored_users, count(*) FILTER (WHERE has_log) AS with_log_data,
   count(*) FILTER (WHERE NOT has_log) AS without_log_data FROM h""")
 def log_coverage(t: Tables) -> DataFrame:
-    return agreement.log_coverage(train_cohort(t), t.user_logs)
+    return agreement.log_coverage(train_cohort(t), t.user_logs, LAST_CUTOFF)
 
 
 @query(WITH + """
@@ -224,7 +225,7 @@ SELECT CASE WHEN e IS NULL THEN 'no transaction record at all' ELSE substr(CAST(
   count(*) AS cnt, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct
 FROM l GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""")
 def latest_expiry_months(t: Tables) -> DataFrame:
-    return agreement.latest_expiry_months(t.train, t.transactions, FIRST, LAST)
+    return agreement.latest_expiry_months(t.train, t.transactions, FIRST, LAST, n=15)
 
 
 @query(WITH + """
@@ -249,35 +250,35 @@ def anchored_training_cohort(t: Tables) -> DataFrame:
 
 @query(WITH + "SELECT CAST(p99_secs AS DOUBLE) AS p99_secs FROM tp99")
 def p99_secs(t: Tables) -> DataFrame:
-    users, small = staged_cohort(train_cohort(t))
-    return features.p99_secs(t.user_logs, users, LAST_CUTOFF, small)
+    users = staged_cohort(train_cohort(t))
+    return features.p99_secs(t.user_logs, users, LAST_CUTOFF)
 
 
 @query(WITH + """
 SELECT msno, date, least(total_secs, 86400, (SELECT p99_secs FROM tp99)) AS total_secs_w FROM sub_user_logs""")
 def winsorized_logs(t: Tables) -> DataFrame:
-    users, small = staged_cohort(train_cohort(t))
-    p99 = features.p99_secs(t.user_logs, users, LAST_CUTOFF, small).scalar()
+    users = staged_cohort(train_cohort(t))
+    p99 = features.p99_secs(t.user_logs, users, LAST_CUTOFF).scalar()
     return t.user_logs.select("msno", "date", features.winsorized_secs(p99).alias("total_secs_w"))
 
 
 @query(WITH + "SELECT * FROM ttxn")
 def features_txn(t: Tables) -> DataFrame:
-    users, small = staged_cohort(train_cohort(t))
-    return features.txn_features(t.transactions, users, last_cutoff=LAST_CUTOFF, small=small)
+    users = staged_cohort(train_cohort(t))
+    return features.txn_features(t.transactions, users, last_cutoff=LAST_CUTOFF)
 
 
 @query(WITH + "SELECT * FROM ttxn")
 def features_txn_shuffled(t: Tables) -> DataFrame:
-    """The same features for a cohort too large to broadcast: heavy users are split."""
-    return features.txn_features(t.transactions, train_cohort(t), last_cutoff=LAST_CUTOFF)
+    """The same features with both sides of the join shuffled, as for a cohort too large to broadcast."""
+    return features.txn_features(t.transactions, staged_cohort(train_cohort(t)), last_cutoff=LAST_CUTOFF, hint="merge")
 
 
 @query(WITH + "SELECT * FROM tlog")
 def features_log(t: Tables) -> DataFrame:
-    users, small = staged_cohort(train_cohort(t))
-    p99 = features.p99_secs(t.user_logs, users, LAST_CUTOFF, small).scalar()
-    return features.log_features(t.user_logs, users, p99, last_cutoff=LAST_CUTOFF, small=small)
+    users = staged_cohort(train_cohort(t))
+    p99 = features.p99_secs(t.user_logs, users, LAST_CUTOFF).scalar()
+    return features.log_features(t.user_logs, users, p99, last_cutoff=LAST_CUTOFF)
 
 
 @query(WITH + "SELECT * FROM tmem")
@@ -287,9 +288,9 @@ def features_member(t: Tables) -> DataFrame:
 
 @query(WITH + f"SELECT msno, feature_cutoff_date, {FEATURE_LIST} FROM tmatrix")
 def feature_matrix(t: Tables) -> DataFrame:
-    users, small = staged_cohort(train_cohort(t).select("msno", "feature_cutoff_date"))
-    p99 = features.p99_secs(t.user_logs, users, LAST_CUTOFF, small).scalar()
-    return features.feature_matrix(users, t.transactions, t.user_logs, t.members, p99, LAST_CUTOFF, small=small)
+    users = staged_cohort(train_cohort(t).select("msno", "feature_cutoff_date"))
+    p99 = features.p99_secs(t.user_logs, users, LAST_CUTOFF).scalar()
+    return features.feature_matrix(users, t.transactions, t.user_logs, t.members, p99, LAST_CUTOFF)
 
 
 @query(WITH + "SELECT * FROM tset")
@@ -312,10 +313,10 @@ SELECT m.msno, m.feature_cutoff_date, {FEATURE_LIST}, c.is_churn, strftime(c.anc
 FROM omatrix m JOIN ocohort c ON c.msno = m.msno""")
 def official_training_set(t: Tables) -> DataFrame:
     """Officially labeled users with a verified anchor, one global threshold, backdated anchors kept."""
-    anchored, small = staged_cohort(cohort.labeled_anchors(t.train, t.transactions, FIRST, LAST))
+    anchored = staged_cohort(cohort.labeled_anchors(t.train, t.transactions, FIRST, LAST))
     p99 = features.p99_secs(t.user_logs).scalar()
     users = anchored.select("msno", "feature_cutoff_date")
-    matrix = features.feature_matrix(users, t.transactions, t.user_logs, t.members, p99, 20010317, small=small)
+    matrix = features.feature_matrix(users, t.transactions, t.user_logs, t.members, p99, 20010317)
     return features.attach_labels(anchored, matrix)
 
 
@@ -385,7 +386,7 @@ def dataset_roundtrip(t: Tables) -> DataFrame:
 
 def drift_of(t: Tables, columns: list[str]) -> DataFrame:
     # Both sides are read by the drift job: store the split features, as a dataset version does.
-    rows = stage(splits.split_3way(stage(train_rows(t), "features")), "split-features")
+    rows = stage(splits.split_3way(train_rows(t), months=TRAIN_MONTHS), "split-features")
     psi = drift.feature_drift(rows.where("split <> 'test'"), rows.where("split = 'test'"), columns)
     return psi.withColumn("psi", round_half_away(F.col("psi"), 8))
 

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stayline.functions.numbers import round_half_away
 from stayline.operators import health, labels, model, ranking, reads, splits, tiers
+from stayline.plans.monitoring import run_performance
 from stayline.plans.scoring import scored_cohort as plan_scored_cohort
+from stayline.schemas import FEATURES
 from stayline.session import scratch_path, stage
 from stayline.sources import writers
+from stayline.sources.readers import read_sql
 from workload.oracle import FEATURE_LIST, WITH, features_sql, metrics_sql
-from workload.q_cohort import LABELED, MONTH, train_labels, train_rows
+from workload.q_cohort import LABELED, MONTH, TRAIN_MONTHS, train_labels, train_rows
 from workload.registry import query
 from workload.tables import Tables
 
@@ -47,19 +50,20 @@ def score_distribution(t: Tables) -> DataFrame:
 
 @query(WITH + "SELECT msno, score, expiry_date FROM sub_predictions ORDER BY score DESC, msno, expiry_date LIMIT 100")
 def top_k_risk(t: Tables) -> DataFrame:
-    rows = t.predictions.select("msno", "score", "expiry_date")
-    return rows.orderBy(F.desc("score"), "msno", "expiry_date").limit(100)
+    return ranking.top_k(t.predictions.select("msno", "score", "expiry_date"), 100, ["expiry_date"])
 
 
 # ── stores and reads ─────────────────────────────────────────────────────────
 
 
-def _scoring_run(t: Tables) -> DataFrame:
-    """The predictions for expiries in the first quarter of 2001, as one backfill run writes them."""
-    rows = t.predictions.where(F.col("expiry_date").between("2001-01-01", "2001-03-31"))
-    return tiers.with_risk_tier(rows).select(
-        "msno", "score", "risk_tier", "scoring_date", "expiry_date", "model_version"
-    )
+CREATED = "TIMESTAMP '2001-06-01 00:00:00'"
+STORED = ["msno", "score", "risk_tier", "scoring_date", "expiry_date", "model_version", "created_at"]
+
+
+def _stored_run(scored: DataFrame) -> DataFrame:
+    """Predictions as a backfill writes them."""
+    stamp = F.lit("2001-06-01 00:00:00").cast("timestamp_ntz")
+    return tiers.with_risk_tier(scored).withColumn("created_at", stamp).select(*STORED)
 
 
 @query(WITH + """
@@ -85,28 +89,26 @@ def upsert_labels(t: Tables) -> DataFrame:
     return t.spark.read.parquet(store).drop("cohort_month")
 
 
-@query(WITH + """
-, run AS (SELECT * FROM sub_predictions WHERE expiry_date BETWEEN DATE '2001-01-01' AND DATE '2001-03-31')
-SELECT msno, CASE WHEN expiry_date >= DATE '2001-03-01' THEN rival_score ELSE score END AS score, scoring_date, expiry_date,
-  CASE WHEN expiry_date >= DATE '2001-03-01' THEN 'm3' ELSE model_version END AS model_version FROM run""")
+@query(WITH + f"""
+, run AS (SELECT * REPLACE (CASE WHEN strftime(expiry_date, '%Y-%m') = '2001-03' THEN rival_score ELSE score END AS score,
+    CASE WHEN strftime(expiry_date, '%Y-%m') = '2001-03' THEN 'm3' ELSE model_version END AS model_version) FROM sub_predictions)
+SELECT msno, score, {TIER_SQL} AS risk_tier, scoring_date, expiry_date, model_version, {CREATED} AS created_at FROM run""")
 def upsert_predictions(t: Tables) -> DataFrame:
+    """All predictions, then one month scored again by another model."""
     store = scratch_path(t.spark, "prediction-store")
-    march = F.col("expiry_date") >= F.lit("2001-03-01").cast("date")
-    columns = ["msno", "score", "scoring_date", "expiry_date", "model_version"]
-    first = t.predictions.where(F.col("expiry_date").between("2001-01-01", "2001-03-31"))
-    again = first.where(march).withColumns({"score": F.col("rival_score"), "model_version": F.lit("m3")})
-    writers.upsert_predictions(first.select(*columns), store)
-    writers.upsert_predictions(again.select(*columns), store)
+    month = F.date_format("expiry_date", "yyyy-MM") == MONTH
+    again = t.predictions.where(month).withColumns({"score": F.col("rival_score"), "model_version": F.lit("m3")})
+    writers.upsert_predictions(_stored_run(t.predictions), store)
+    writers.upsert_predictions(_stored_run(again), store)
     return t.spark.read.parquet(store)
 
 
 @query(WITH + f"""
-SELECT msno, CAST(CAST(score AS FLOAT) AS DOUBLE) AS score, {TIER_SQL} AS risk_tier, scoring_date, expiry_date
-FROM sub_predictions WHERE expiry_date BETWEEN DATE '2001-01-01' AND DATE '2001-03-31'""")
+SELECT msno, CAST(CAST(score AS FLOAT) AS DOUBLE) AS score, {TIER_SQL} AS risk_tier, scoring_date, expiry_date,
+  model_version, {CREATED} AS created_at FROM sub_predictions""")
 def predictions_parquet(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "predictions")
-    run = _scoring_run(t).drop("model_version")
-    writers.write_predictions(run, path)
+    writers.write_predictions(_stored_run(t.predictions), path)
     return t.spark.read.parquet(path).withColumn("score", F.col("score").cast("double"))
 
 
@@ -249,28 +251,39 @@ def labeling_health(t: Tables) -> DataFrame:
     return r8(health.labeling_health(labels.month_labels(t.transactions, MONTH, LABELED)), "value")
 
 
-# ── model (no SQL equivalent) ────────────────────────────────────────────────
+# ── model ────────────────────────────────────────────────────────────────────
+# A fit has no SQL form; the oracle checks what must hold of any: the scored rows and their
+# labels, scores in range, tiers that follow from them, and the features that share the importance.
 
 
 def _fitted(t: Tables):
-    rows = stage(splits.split_3way(stage(train_rows(t), "features")), "split-features")
-    return rows, model.fit_gbt(rows, rounds=5, depth=4)
+    rows = stage(splits.split_3way(train_rows(t), months=TRAIN_MONTHS), "split-features")
+    return rows, model.fit_gbt(rows)
 
 
-@query()
+@query(WITH + """
+SELECT msno, feature_cutoff_date, is_churn, TRUE AS score_in_range, TRUE AS tier_follows FROM tsplit WHERE split = 'test'""")
 def gbt_scores(t: Tables) -> DataFrame:
     rows, fitted = _fitted(t)
-    scored = model.score(rows.where("split = 'test'"), fitted)
-    return tiers.with_risk_tier(scored).select("msno", "feature_cutoff_date", "is_churn", "score", "risk_tier")
+    scored = tiers.with_risk_tier(model.score(rows.where("split = 'test'"), fitted))
+    tier = F.when(F.col("score") >= 0.5, "HIGH").when(F.col("score") >= 0.2, "MED").otherwise("LOW")
+    return scored.select(
+        "msno", "feature_cutoff_date", "is_churn",
+        F.col("score").between(0.0, 1.0).alias("score_in_range"), (F.col("risk_tier") == tier).alias("tier_follows"),
+    )
 
 
-@query()
+@query(f"SELECT unnest([{', '.join(repr(c) for c in FEATURES)}]) AS feature, TRUE AS not_negative, TRUE AS sums_to_one")
 def feature_importance(t: Tables) -> DataFrame:
     rows, fitted = _fitted(t)
-    return model.feature_importance(fitted, rows)
+    shares = model.feature_importance(fitted, rows)
+    total = F.abs(F.sum("importance").over(Window.partitionBy()) - 1) < 1e-9  # one row a feature
+    return shares.select("feature", (F.col("importance") >= 0).alias("not_negative"), total.alias("sums_to_one"))
 
 
-@query()
+@query(WITH + """
+SELECT msno, feature_cutoff_date, round(1 / (1 + exp(-(coalesce(cancel_rate, 0.5) * 4 - CAST(coalesce(n_txn, 0) AS DOUBLE) / 20))), 8) AS score
+FROM tset""")
 def opaque_model_scores(t: Tables) -> DataFrame:
     """Any object with ``predict``, here a logistic curve over two features."""
 
@@ -284,4 +297,47 @@ def opaque_model_scores(t: Tables) -> DataFrame:
 
         return Curve()
 
-    return model.score_with(train_rows(t), load).select("msno", "feature_cutoff_date", "score")
+    return r8(model.score_with(train_rows(t), load).select("msno", "feature_cutoff_date", "score"), "score")
+
+
+# ── more of the plans ────────────────────────────────────────────────────────
+
+
+@query(WITH + """
+SELECT msno, scoring_date, score, expiry_date, model_version FROM sub_predictions WHERE msno = '1'
+ORDER BY scoring_date DESC LIMIT 1""")
+def latest_prediction_of_user(t: Tables) -> DataFrame:
+    """The point read of one user."""
+    return reads.latest_prediction(t.predictions.drop("rival_score"), user="1")
+
+
+@query(WITH + SCORED + metrics_sql("hold", "m") + metrics_sql("rival", "c") + "".join(
+    f"{' UNION ALL ' if i else ''} SELECT '{metric}' AS metric, CAST({value} AS DOUBLE) AS value, FALSE AS alert FROM c, m"
+    for i, (metric, value) in enumerate({
+        "test_auc_pr_candidate": "c.auc_pr", "test_auc_roc_candidate": "c.auc_roc", "precision_at_k_candidate": "c.precision_at_k",
+        "recall_at_k_candidate": "c.recall_at_k", "test_auc_pr_production": "coalesce(m.auc_pr, 0)",
+        "promoted_to_challenger": "CASE WHEN c.auc_pr > m.auc_pr THEN 1 ELSE 0 END",
+    }.items())))
+def validation_health(t: Tables) -> DataFrame:
+    rows = _holdout(t)
+    decision = ranking.candidate_decision(rows.withColumn("score", F.col("rival_score")), rows)
+    return r8(health.validation_health(decision), "value")
+
+
+@query(WITH + SCORED + metrics_sql("perf", "m") + """
+SELECT *, coalesce(auc_pr < 0.45, FALSE) AS auc_pr_alert, coalesce(auc_pr < 0.45, FALSE) AS retrain FROM m""")
+def monthly_performance(t: Tables) -> DataFrame:
+    """The monitoring job of one month, over stored labels of several."""
+    return r8(run_performance(t.predictions, train_labels(t), MONTH), *_METRICS)
+
+
+@query(WITH + "SELECT msno, is_churn, anchor_expiry_date FROM tlabels WHERE strftime(anchor_expiry_date, '%Y-%m') IN ('2001-03', '2001-05')")
+def labels_by_sql(t: Tables) -> DataFrame:
+    """A stored table read by SQL with parameters."""
+    train_labels(t).createOrReplaceTempView("stored_labels")
+    return read_sql(
+        t.spark,
+        "SELECT msno, is_churn, anchor_expiry_date FROM stored_labels"
+        " WHERE array_contains(:months, date_format(anchor_expiry_date, 'yyyy-MM'))",
+        {"months": F.array(F.lit("2001-03"), F.lit("2001-05"))},
+    )

@@ -2,8 +2,8 @@
 
 Orders become payments, events become daily usage, customers become members. ``Tables``
 builds them with the DataFrame API; ``SQL`` says the same for the oracle engine. The views
-read their base tables whole: members are the customers with a non-negative balance, and
-official labels exist for all market segments but one.
+read their base tables whole: every customer is a member (without a registration day where
+the balance is negative) and has an official label.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ EVENT_SHIFT_DAYS = 8341
 BASE = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
     "events": "ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double",
 }
 
 
@@ -93,19 +93,19 @@ class Tables:
     def members(self) -> DataFrame:
         key = F.col("c_custkey")
         registered = F.date_add(F.lit("1999-01-01").cast("date"), ((key * 13) % 1200).cast("int"))
-        return self.raw("customer").where("c_acctbal >= 0").select(
+        return self.raw("customer").select(
             key.cast("string").alias("msno"),
             F.col("c_nationkey").cast("short").alias("city"),
             ((key * 7) % 130 - 5).cast("short").alias("bd"),
             F.when(key % 3 == 0, "male").when(key % 3 == 1, "female").alias("gender"),
             (key % 5 + 3).cast("short").alias("registered_via"),
-            _ymd(registered).alias("registration_init_time"),
+            F.when(F.col("c_acctbal") >= 0, _ymd(registered)).alias("registration_init_time"),
         )
 
     @cached_property
     def train(self) -> DataFrame:
         key = F.col("c_custkey")
-        return self.raw("customer").where("c_mktsegment <> 'MACHINERY'").select(
+        return self.raw("customer").select(
             key.cast("string").alias("msno"),
             F.when((key * 31) % 100 < 50, 1).otherwise(0).cast("short").alias("is_churn"),
         )
@@ -176,14 +176,14 @@ WITH sub_base AS (
     CAST((c_custkey * 7) % 130 - 5 AS SMALLINT) AS bd,
     CASE WHEN c_custkey % 3 = 0 THEN 'male' WHEN c_custkey % 3 = 1 THEN 'female' END AS gender,
     CAST(c_custkey % 5 + 3 AS SMALLINT) AS registered_via,
-    CAST(year(r)*10000 + month(r)*100 + day(r) AS INT) AS registration_init_time
-  FROM (SELECT c_custkey, c_nationkey,
+    CAST(CASE WHEN c_acctbal >= 0 THEN year(r)*10000 + month(r)*100 + day(r) END AS INT) AS registration_init_time
+  FROM (SELECT c_custkey, c_nationkey, c_acctbal,
           CAST(DATE '1999-01-01' + CAST((c_custkey * 13) % 1200 AS INT) AS DATE) AS r
-        FROM customer WHERE c_acctbal >= 0) q
+        FROM customer) q
 ), sub_train AS (
   SELECT CAST(c_custkey AS VARCHAR) AS msno,
     CAST(CASE WHEN (c_custkey * 31) % 100 < 50 THEN 1 ELSE 0 END AS SMALLINT) AS is_churn
-  FROM customer WHERE c_mktsegment <> 'MACHINERY'
+  FROM customer
 ), sub_predictions AS (
   SELECT CAST(o_custkey AS VARCHAR) AS msno,
     CAST((MAX(o_orderkey) * 7919 + 104729) % 1009 AS DOUBLE) / CAST(1008 AS DOUBLE) AS score,
