@@ -104,8 +104,8 @@ def latest_transaction(txn: DataFrame, users: DataFrame | None = None) -> DataFr
     """
     order = ["transaction_date", "membership_expire_date"]
     order += [c for c in txn.columns if c not in order and c != "msno"]
-    latest = txn.groupBy("msno").agg(F.max(F.struct(*order)).alias("_last")).select("msno", "_last.*")
-    return latest if users is None else latest.join(users.select("msno").distinct(), "msno", "left_semi")
+    rows = txn if users is None else txn.join(users.select("msno").distinct(), "msno", "left_semi")
+    return rows.groupBy("msno").agg(F.max(F.struct(*order)).alias("_last")).select("msno", "_last.*")
 
 
 def latest_transaction_window(txn: DataFrame) -> DataFrame:
@@ -119,7 +119,7 @@ def latest_transaction_window(txn: DataFrame) -> DataFrame:
 def expiry_bucket(column: str, anchor_month: str, later_months: list[str]) -> Column:
     """Label an expiry: in the anchor month, in one of the later months, or other."""
     first, last = month_bounds(anchor_month)
-    out = F.when(F.col(column).between(first, last), F.lit(f"expires_{anchor_month} (anchored)"))
+    out = F.when(F.col(column).between(first, last), F.lit(f"anchor:{anchor_month}"))
     for month in later_months:
-        out = out.when(int_prefix(column, 6) == month.replace("-", ""), F.lit(f"expires_{month}"))
-    return out.otherwise(F.lit("other"))
+        out = out.when(int_prefix(column, 6) == month.replace("-", ""), F.lit(f"later:{month}"))
+    return out.otherwise(F.lit("elsewhere"))

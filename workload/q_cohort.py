@@ -164,9 +164,9 @@ def anchor_gap(t: Tables) -> DataFrame:
 
 def _agreement_sql(relation: str, cohort_name: str, label: str) -> str:
     return f"""
-SELECT '{label}' AS cohort, (SELECT count(*) FROM {cohort_name}) AS total_anchored, count(*) AS also_in_train,
-  round(100.0 * count(*) / (SELECT count(*) FROM {cohort_name}), 2) AS pct_of_cohort_in_train,
-  round(100.0 * sum(CASE WHEN d.is_churn = t.is_churn THEN 1 ELSE 0 END) / count(*), 2) AS is_churn_agree_pct
+SELECT '{label}' AS cohort, (SELECT count(*) FROM {cohort_name}) AS cohort_users, count(*) AS labelled_users,
+  round(100.0 * count(*) / (SELECT count(*) FROM {cohort_name}), 2) AS labelled_pct,
+  round(100.0 * sum(CASE WHEN d.is_churn = t.is_churn THEN 1 ELSE 0 END) / count(*), 2) AS agreeing_pct
 FROM {relation} d JOIN sub_train t ON t.msno = d.msno"""
 
 
@@ -190,14 +190,14 @@ def label_agreement(t: Tables) -> DataFrame:
 
 
 LATEST = """
-, ranked AS (SELECT *, row_number() OVER (PARTITION BY msno ORDER BY transaction_date DESC, membership_expire_date DESC,
-    payment_method_id DESC, payment_plan_days DESC, plan_list_price DESC, actual_amount_paid DESC,
-    is_auto_renew DESC, is_cancel DESC) AS rn FROM sub_transactions)
-, latest AS (SELECT r.* EXCLUDE (rn) FROM ranked r JOIN sub_train t ON t.msno = r.msno WHERE rn = 1)
-, bucketed AS (SELECT *, CASE WHEN membership_expire_date BETWEEN 20010301 AND 20010331 THEN 'expires_2001-03 (anchored)'
-    WHEN substr(CAST(membership_expire_date AS VARCHAR), 1, 6) = '200104' THEN 'expires_2001-04'
-    WHEN substr(CAST(membership_expire_date AS VARCHAR), 1, 6) = '200105' THEN 'expires_2001-05' ELSE 'other' END AS bucket
-  FROM latest)
+, latest AS (
+  SELECT DISTINCT ON (x.msno) x.* FROM sub_transactions x SEMI JOIN sub_train USING (msno)
+  ORDER BY x.msno, x.transaction_date DESC, x.membership_expire_date DESC, x.payment_method_id DESC, x.payment_plan_days DESC,
+    x.plan_list_price DESC, x.actual_amount_paid DESC, x.is_auto_renew DESC, x.is_cancel DESC)
+, placed AS (
+  SELECT l.*, coalesce(m.bucket, 'elsewhere') AS bucket FROM latest l LEFT JOIN (VALUES
+    (200103, 'anchor:2001-03'), (200104, 'later:2001-04'), (200105, 'later:2001-05')) m(month, bucket)
+    ON m.month = l.membership_expire_date // 100)
 """
 
 
@@ -206,32 +206,34 @@ def latest_transaction(t: Tables) -> DataFrame:
     return cohort.latest_transaction(t.transactions, t.train)
 
 
-@query(WITH + LATEST + "SELECT bucket, count(*) AS users FROM bucketed GROUP BY 1")
+@query(WITH + LATEST + "SELECT bucket, count(*) AS users FROM placed GROUP BY 1")
 def expiry_buckets(t: Tables) -> DataFrame:
     return agreement.expiry_buckets(t.train, t.transactions, MONTH, ["2001-04", "2001-05"])
 
 
 @query(WITH + LATEST + """
 SELECT bucket, count(*) AS users, median(payment_plan_days) AS median_plan_days, round(avg(payment_plan_days), 1) AS avg_plan_days,
-  min(transaction_date) AS min_txn_date, max(transaction_date) AS max_txn_date FROM bucketed WHERE bucket <> 'other' GROUP BY 1""")
+  min(transaction_date) AS min_txn_date, max(transaction_date) AS max_txn_date FROM placed WHERE bucket <> 'elsewhere' GROUP BY 1""")
 def plan_days_by_bucket(t: Tables) -> DataFrame:
     return agreement.plan_days_by_bucket(t.train, t.transactions, MONTH, ["2001-04", "2001-05"])
 
 
 @query(WITH + """
-, l AS (SELECT t.msno, max(x.membership_expire_date) AS e FROM sub_train t LEFT JOIN sub_transactions x ON x.msno = t.msno
-  GROUP BY 1 HAVING max(x.membership_expire_date) IS NULL OR max(x.membership_expire_date) NOT BETWEEN 20010301 AND 20010331)
-SELECT CASE WHEN e IS NULL THEN 'no transaction record at all' ELSE substr(CAST(e AS VARCHAR), 1, 6) END AS latest_known_expiry,
-  count(*) AS cnt, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct
-FROM l GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""")
+, ends AS (SELECT msno, max(membership_expire_date) // 100 AS m, max(membership_expire_date) AS d FROM sub_transactions GROUP BY msno)
+, out_of_month AS (SELECT t.msno, ends.m FROM sub_train t LEFT JOIN ends USING (msno)
+    WHERE NOT EXISTS (SELECT 1 FROM ends e WHERE e.msno = t.msno AND e.d >= 20010301 AND e.d <= 20010331))
+SELECT coalesce(CAST(m AS VARCHAR), 'never') AS last_expiry_month, count(*) AS users,
+  round(100.0 * count(*) / (SELECT count(*) FROM out_of_month), 2) AS share_pct
+FROM out_of_month GROUP BY m ORDER BY users DESC, last_expiry_month LIMIT 15""")
 def latest_expiry_months(t: Tables) -> DataFrame:
     return agreement.latest_expiry_months(t.train, t.transactions, FIRST, LAST, n=15)
 
 
 @query(WITH + """
-, l AS (SELECT msno FROM sub_transactions WHERE is_cancel = 0 GROUP BY 1 HAVING max(membership_expire_date) >= 20010201)
-SELECT count(DISTINCT l.msno) AS latest_users, count(DISTINCT CASE WHEN t.msno IS NOT NULL THEN l.msno END) AS in_train,
-  count(DISTINCT CASE WHEN t.msno IS NULL THEN l.msno END) AS not_in_train FROM l LEFT JOIN sub_train t ON t.msno = l.msno""")
+, active AS (SELECT DISTINCT msno FROM sub_transactions WHERE is_cancel = 0 AND membership_expire_date >= 20010201)
+SELECT (SELECT count(*) FROM active) AS active_users,
+  (SELECT count(*) FROM active SEMI JOIN sub_train USING (msno)) AS labelled,
+  (SELECT count(*) FROM active ANTI JOIN sub_train USING (msno)) AS unlabelled""")
 def recent_active_users(t: Tables) -> DataFrame:
     return agreement.recent_active_users(t.transactions, t.train, 20010201)
 
