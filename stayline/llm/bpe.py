@@ -21,14 +21,17 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from stayline.llm.batches import documents, small
 
 CHUNK, OVERLAP = 32_768, 512  # characters
+DECODED = 1 << 20  # ids decoded at a time
 TAIL = 64  # a chunk's boundaries this close to its cut end are not trusted
 
 
@@ -200,22 +203,31 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), batch.column("text")], names=["doc_id", "row", "text"])
 
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> Column:
-    """Binary column: the raw bytes of the ids, one after another (null for null ids)."""
+def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", raw: str = "raw") -> DataFrame:
+    """The rows with the column ``raw``: the bytes of the ids, one after another (null for null ids)."""
 
-    @F.pandas_udf("binary")
-    def run(column: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = vocabulary.codec
-        return column.map(lambda x: None if x is None else coder.decode(np.asarray(x, np.int64)))
+        for batch in batches:
+            at = batch.schema.names.index(ids)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
+            start = 0
+            while start < batch.num_rows:  # about a million ids at a time
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + DECODED, side="right")))
+                part = batch.slice(start, stop - start)
+                texts = [None if x.as_py() is None else coder.decode(x.values.to_numpy()) for x in part.column(at)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, raw])
+                start = stop
 
-    return run(encoded[ids])
+    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(raw, BinaryType())]))
 
 
 def digest(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Number and hash of the ids, and hash of what they decode to."""
-    return encoded.select(
+    return decode(encoded, vocabulary).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
-        F.sha2(decode(encoded, vocabulary), 256).alias("decoded_sha256"),
+        F.sha2("raw", 256).alias("decoded_sha256"),
     )

@@ -263,16 +263,11 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows, with all their columns, whose text scores at least ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scores(text):
-        out = [
-            shared.value.score(features(Words(b.column("text").to_pylist())))
-            for b in small(iter([pa.RecordBatch.from_arrays([pa.array(text.fillna(""), pa.string())], names=["text"])]))
-        ]
-        import pandas as pd
-
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(shared.value.score(features(Words(texts))) >= threshold))
 
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.where(scores(docs["text"]) >= threshold)
+    return docs.mapInArrow(run, docs.schema)
