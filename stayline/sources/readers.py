@@ -38,11 +38,17 @@ def jdbc_options(
     bounds: tuple[int, int] | None = None,
     partitions: int = 1,
     fetch_size: int = 10_000,
+    single_partition: bool = False,
     **extra: Any,
 ) -> dict[str, str]:
-    """Options for a parallel, read-only JDBC scan split on a numeric column."""
+    """Options for a parallel, read-only JDBC scan split on a numeric column.
+
+    Without a partition column one task reads the whole table; that must be asked for.
+    """
     if not url:
         raise ValueError("a JDBC url is required")
+    if not partition_column and not single_partition:
+        raise ValueError("name a partition_column, or say single_partition=True for a one-task read")
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **{k: str(v) for k, v in extra.items()}}
     if partition_column:
         if bounds is None or partitions < 1:

@@ -170,7 +170,9 @@ def test_load_sources(spark, make):
 def test_jdbc_options():
     got = readers.jdbc_options("jdbc:x", "transactions", "transaction_date", (20150101, 20170331), 8)
     assert got["numPartitions"] == "8" and got["lowerBound"] == "20150101" and got["dbtable"] == "transactions"
-    assert "partitionColumn" not in readers.jdbc_options("jdbc:x", "members")
+    assert "partitionColumn" not in readers.jdbc_options("jdbc:x", "members", single_partition=True)
+    with pytest.raises(ValueError, match="one-task"):
+        readers.jdbc_options("jdbc:x", "members")
     with pytest.raises(ValueError):
         readers.jdbc_options("", "members")
     with pytest.raises(ValueError):

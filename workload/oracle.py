@@ -104,7 +104,7 @@ WITH = (
     + _cohort("cohort", 20010301, 20010331)
     + _cohort("cohort_raw", 20010301, 20010331, valid=False)
     + _cohort("cohort_feb_raw", 20010201, 20010228, valid=False)
-    + _cohort("tcohort", 20010301, 20010831, by_month=True)
+    + _cohort("tcohort", 19950101, 20010831, by_month=True)
     + _labels("labels03", "cohort", "2001-05-01")
     + _labels("labels03_raw", "cohort_raw", "2001-05-01", valid=False)
     + _labels("labels02_raw", "cohort_feb_raw", "2001-05-01", valid=False)

@@ -17,9 +17,9 @@ from workload.registry import query
 from workload.tables import Tables
 
 MONTH, FIRST, LAST = "2001-03", 20010301, 20010331
-FIRST_MONTH, LAST_MONTH = "2001-03", "2001-08"
+FIRST_MONTH, LAST_MONTH = "1995-01", "2001-08"  # all months whose renewals are known
 LAST_CUTOFF = 20010817
-TRAIN_MONTHS = [f"2001-{m:02d}" for m in range(3, 9)]
+TRAIN_MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13) if (y, m) <= (2001, 8)]
 LABELED = "2001-05-01"
 
 
@@ -33,7 +33,7 @@ def train_labels(t: Tables) -> DataFrame:
 
 
 def train_rows(t: Tables) -> DataFrame:
-    """Labeled features of six cohort months; the label table is stored first, as in a real run."""
+    """Labeled features of all cohort months; the label table is stored first, as in a real run."""
     stored = staged_cohort(train_labels(t))
     return labeled_features(stored, t.transactions, t.user_logs, t.members, None, LAST_CUTOFF)
 
