@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SPACES = b" \t\n\r\x0b\x0c"  # the separators of [^\x20\x09-\x0D]+, which are also those of bytes.split()
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
