@@ -28,8 +28,8 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Repeated chunks of lines go from the texts; ``n_chars`` follows the text."""
-    cut = lines.cut_repeats(docs)
+    """Repeated chunks, long lines and passages go from the texts; ``n_chars`` follows the text."""
+    cut = lines.cut_passages(docs)
     size = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
     return cut.select(*(size.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
 

@@ -7,6 +7,13 @@ in the whole table stays at its first occurrence, by (doc_id, place), and is cut
 everywhere else. Hashes only nominate chunks: those of one hash are compared byte by byte,
 and stay if they differ.
 
+:func:`cut_passages` cuts more, for the pipeline: also every line of over ``LONG`` words that
+stands earlier, and every run of lines of over ``LONG`` words in all of which each two
+neighbours stand, one after the other, earlier. So a passage of two or more lines that an
+earlier text holds line for line goes whole, however chunks are cut around it. Earlier is by
+(doc_id, line); the first of equal lines always stays. Lines and neighbours are equal if the
+first 128 bits of their SHA-256 are.
+
 Built of DataFrame functions. Ids, places and hashes are shuffled for all chunks, the text
 of a chunk only if its hash repeats, each task first merging equal copies, so a chunk that a
 third of all texts share is a few rows when it meets the others.
@@ -23,6 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stayline.session import stage
 
 WINDOW, EVERY = 2, 3
+LONG = 50  # words
 STEP, PRIME = 1_000_003, 2_147_483_647
 
 
@@ -125,3 +133,79 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> Da
         F.coalesce(F.size("__lines"), F.lit(0)).cast("bigint").alias("__n_lines"),
         F.coalesce(F.when(F.col("__left").isNotNull(), F.size("__lines") - F.size("__left")), F.lit(0)).cast("bigint").alias("__n_removed"),
     )
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32))
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
+
+
+def _unit(lines: Column, at: Column, size: Column) -> Column:
+    """Digest of one line, or of two neighbours, which hold a line break more."""
+    return _digest(F.when(size == 1, F.get(lines, at)).otherwise(F.concat(F.get(lines, at), F.lit("\n"), F.get(lines, at + 1))))
+
+
+def repeated_units(docs: DataFrame, long: int = LONG) -> DataFrame:
+    """(doc_id, __units): places and digests of the long lines and neighbours that stand earlier."""
+    lined = docs.select("doc_id", F.split("text", "\n", -1).alias("__lines")).where("doc_id IS NOT NULL AND __lines IS NOT NULL")
+    lines = F.col("__lines")
+    places = F.sequence(F.lit(0), F.size(lines) - 1)
+    pairs = F.transform(F.filter(places, lambda i: i < F.size(lines) - 1), lambda i: F.struct(i.alias("at"), F.lit(2).alias("size")))
+    singles = F.transform(F.filter(places, lambda i: _words(F.get(lines, i)) > long), lambda i: F.struct(i.alias("at"), F.lit(1).alias("size")))
+    units = stage(
+        lined.select("doc_id", "__lines", F.explode(F.concat(pairs, singles)).alias("__u"))
+        .select("doc_id", F.col("__u.at").alias("at"), F.col("__u.size").alias("size"), _unit(lines, F.col("__u.at"), F.col("__u.size")).alias("key"))
+        .distinct(),
+        "line-units",
+    )
+    firsts = units.groupBy("key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return (
+        units.join(firsts.select("key", "first"), "key")
+        .where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("at") != F.col("first.at")))
+        .groupBy("doc_id")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "size", "key"))).alias("__units"))
+    )
+
+
+def _run_lines(lines: Column, pairs: Column, long: int) -> Column:
+    """Lines of the runs of over ``long`` words; ``pairs`` holds the first lines of repeated neighbours, ascending."""
+
+    def of(s: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.size(s) - 1)
+        begins = F.filter(numbers, lambda j: (j == 0) | (F.get(s, j) != F.get(s, F.when(j > 0, j - 1)) + 1))
+        stops = F.concat(F.transform(F.slice(begins, 2, F.greatest(F.size(begins) - 1, F.lit(0))), lambda j: j - 1), F.array(F.size(s) - 1))
+        runs = F.zip_with(begins, stops, lambda a, b: F.struct(F.get(s, a).alias("start"), (F.get(s, b) + 1).alias("stop")))
+        wordy = F.filter(runs, lambda r: _words(_chunk_text(lines, r["start"], r["stop"])) > long)
+        return F.flatten(F.transform(wordy, lambda r: F.sequence(r["start"], r["stop"])))
+
+    # The outer lambda binds the places, which would otherwise be computed at each use.
+    none = F.array().cast("array<int>")
+    return F.flatten(F.transform(F.array(pairs), lambda s: F.when(F.size(s) > 0, of(s)).otherwise(none)))
+
+
+def cut_passages(docs: DataFrame, long: int = LONG) -> DataFrame:
+    """The rows with ``text`` less its repeated chunks, its repeated long lines and its repeated passages."""
+    gone = stage(repeated(docs), "line-repeats").withColumnRenamed("doc_id", "__id")
+    units = stage(repeated_units(docs, long), "line-passages").withColumnRenamed("doc_id", "__owner")
+    rows = docs.join(gone.hint("merge"), docs["doc_id"] == gone["__id"], "left").join(units.hint("merge"), docs["doc_id"] == units["__owner"], "left")
+    lines = F.col("__lines")
+
+    def cut(b: Column) -> Column:
+        key = F.struct(b["place"].alias("place"), F.xxhash64(_chunk_text(lines, b["start"], b["stop"])).alias("key"))
+        return F.array_contains("__gone", key)
+
+    none = F.array().cast("array<int>")
+    of_chunks = F.flatten(F.transform(F.filter("__bounds", cut), lambda b: F.sequence(b["start"], b["stop"])))
+    found = _bounds(chunked(rows)).withColumn("__of_chunks", F.coalesce(of_chunks, none))
+    # An id may have several texts: units count in those that hold them.
+    held = found.withColumn("__held", F.filter("__units", lambda u: (u["at"] + u["size"] <= F.size(lines)) & (_unit(lines, u["at"], u["size"]) == u["key"])))
+    singles = F.transform(F.filter("__held", lambda u: u["size"] == 1), lambda u: u["at"])
+    pairs = F.transform(F.filter("__held", lambda u: u["size"] == 2), lambda u: u["at"])
+    passages = F.when(F.col("__held").isNotNull(), F.concat(singles, _run_lines(lines, pairs, long)))
+    all_gone = held.withColumn("__all_gone", F.concat("__of_chunks", F.coalesce(passages, none)))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__all_gone")
+    left = F.when(F.size("__all_gone") > 0, F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    return all_gone.select(*(F.coalesce(left, "text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns))
