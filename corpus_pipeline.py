@@ -35,8 +35,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies, by SimHash or by 5-word similarity of 0.8, stays."""
+    return simhash.keep_one_similar(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

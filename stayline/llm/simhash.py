@@ -37,6 +37,7 @@ from stayline.session import stage
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
 BLOCK = 4096
+WIDE, SIMILAR, BANDS, ROWS, SETS = 5, 0.8, 20, 4, 512  # of keep_one_similar
 
 
 def fingerprint(text: str, width: int = SHINGLE) -> int:
@@ -163,21 +164,12 @@ def _near(keys: np.ndarray, sides: np.ndarray, prints: np.ndarray, distance: int
     return a, b
 
 
-def links(nodes: DataFrame, code: Covering = Covering(), block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fp`` that give the same components as all close pairs."""
-
-    def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for i in range(0, len(prints), 4096):
-                keys, owners = anchors(prints[i : i + 4096], code)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(owners.view(np.int64))], names=["anchor", "fp"])
-
-    placed = nodes.select("fp").mapInArrow(replicate, "anchor bigint, fp bigint")
+def _spread(placed: DataFrame, item: str, block: int) -> DataFrame:
+    """(place, item): the anchors, those with more than ``block`` items split into pairs of blocks."""
     # Anchors to split; Spark broadcasts them only while they are below its size threshold.
     crowded = placed.groupBy("anchor").count().where(F.col("count") > block).select("anchor", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    spread = (
+    own = F.pmod(F.xxhash64(item), F.col("blocks")).cast("int")
+    return (
         placed.join(crowded, "anchor", "left")
         .withColumn("own", F.coalesce(own, F.lit(0)))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("blocks") - 1, F.lit(0)))))
@@ -185,10 +177,23 @@ def links(nodes: DataFrame, code: Covering = Covering(), block: int = BLOCK) ->
             F.when(F.col("blocks").isNull(), F.col("anchor"))
             .otherwise(F.xxhash64("anchor", F.least("own", "other"), F.greatest("own", "other")))
             .alias("place"),
-            "fp",
+            item,
         )
     )
 
+
+def links(nodes: DataFrame, code: Covering = Covering(), block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between distinct fingerprints ``fp`` that give the same components as all close pairs."""
+
+    def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+            for i in range(0, len(prints), 4096):
+                keys, owners = anchors(prints[i : i + 4096], code)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(owners.view(np.int64))], names=["anchor", "fp"])
+
+    spread = _spread(nodes.select("fp").mapInArrow(replicate, "anchor bigint, fp bigint"), "fp", block)
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (np.zeros(0, np.int64), np.zeros(0, np.uint64))
 
@@ -226,9 +231,14 @@ def links(nodes: DataFrame, code: Covering = Covering(), block: int = BLOCK) ->
 
 def near_duplicates(docs: DataFrame, code: Covering = Covering(), block: int = BLOCK) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row."""
-    rows = stage(fingerprints(docs), "fingerprints")
+    return _grouped(stage(fingerprints(docs), "fingerprints"), None, code, block)
+
+
+def _grouped(rows: DataFrame, more: DataFrame | None, code: Covering, block: int) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of the fingerprinted rows; ``more`` holds further links."""
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(links(nodes, code, block)).select(F.col("node").alias("fp"), "root")
+    found = links(nodes, code, block)
+    roots = components(found.union(more) if more is not None else found).select(F.col("node").alias("fp"), "root")
     linked = roots.join(nodes, "fp")
     smallest = linked.groupBy("root").agg(F.min("first").alias("least"))
     named = linked.join(smallest, "root").select("fp", "least")
@@ -242,8 +252,132 @@ def keep_one(docs: DataFrame, code: Covering = Covering()) -> DataFrame:
     Rows that repeat a doc_id count as one document, of which one row stays. A row without
     an id can't be stood for, and stays.
     """
-    chosen = near_duplicates(docs, code).where("doc_id = component_id").select(F.col("doc_id").alias("__chosen")).distinct()
+    return _one_of_each(docs, near_duplicates(docs, code))
+
+
+def _one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    chosen = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__chosen")).distinct()
     kept = docs.join(chosen.hint("merge"), docs["doc_id"] == chosen["__chosen"], "left_semi")
     once = Window.partitionBy("doc_id").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
     single = kept.withColumn("__copy", F.row_number().over(once)).where("__copy = 1").drop("__copy")
     return single.unionByName(docs.where("doc_id IS NULL"))
+
+
+def shingle_set(text: str, width: int = WIDE) -> np.ndarray:
+    """Sorted distinct hashes of the runs of ``width`` words; a shorter text is one run, one without words none."""
+    words = text.encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    n = max(1, len(words) - width + 1)
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate(([0], ends[:-1]))[:n].tolist()
+    stops = (ends[min(width, len(words)) - 1 :] - 1).tolist()
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, n))
+
+
+@lru_cache(maxsize=1)
+def _factors() -> np.ndarray:
+    rng = np.random.default_rng(SEED)
+    return rng.integers(0, 2**63, (BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def bands(shingles: np.ndarray) -> list[int]:
+    """A key for each band of MinHash values."""
+    if not len(shingles):
+        return []
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    with np.errstate(over="ignore"):
+        for a in range(0, len(shingles), 1 << 12):
+            x = shingles[a : a + (1 << 12)] * _factors()
+            least = np.minimum(least, (x ^ (x >> np.uint64(31))).min(axis=1))
+    return [xxhash.xxh64_intdigest(v.tobytes(), k) for k, v in enumerate(least.reshape(BANDS, ROWS))]
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, key, bands) of every row; ``key`` is a digest of the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            texts = batch.column("text").to_pylist()
+            prints = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
+            held = [np.array(bands(shingle_set(t)), np.uint64).view(np.int64) for t in texts]
+            columns = [batch.column("doc_id"), pa.array(prints), batch.column("key"), pa.array(held, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "key", "bands"])
+
+    rows = documents(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.unhex(F.sha2("text", 256)).alias("key"))
+    return rows.mapInArrow(run, "doc_id bigint, fp bigint, key binary, bands array<bigint>")
+
+
+def _joined(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Pairs of sets with a Jaccard similarity of ``least`` or more that connect all that such pairs connect."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    root, pairs = np.arange(len(sets)), []
+    for i in range(1, len(sets)):
+        low, high = np.minimum(sizes[:i], sizes[i]), np.maximum(sizes[:i], sizes[i])
+        open_ = np.flatnonzero(low >= least * high)
+        while len(open_):
+            j, open_ = int(open_[0]), open_[1:]
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if shared >= least * (sizes[i] + sizes[j] - shared) - 1e-9:
+                pairs.append((i, j))
+                root[root == root[i]] = root[j]
+                open_ = open_[root[open_] != root[i]]
+    return pairs
+
+
+def similar_links(docs: DataFrame, rows: DataFrame, least: float = SIMILAR, block: int = SETS) -> DataFrame:
+    """Links (a, b) between fingerprints of texts whose exact shingle sets are similar, of texts that meet in some band."""
+    placed = rows.where("size(bands) > 0").select("fp", "key", F.explode("bands").alias("anchor")).distinct()
+    met = placed.groupBy("anchor").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high").select("anchor")
+    owners = stage(placed.join(met, "anchor").select("anchor", F.struct("fp", "key").alias("item")), "band-owners")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            sets = [shingle_set(t).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], names=["key", "shingles"])
+
+    wanted = owners.select(F.col("item.key").alias("key")).distinct()
+    texts = documents(docs).select(F.unhex(F.sha2("text", 256)).alias("key"), "text").join(wanted, "key", "left_semi")
+    once = texts.groupBy("key").agg(F.first("text").alias("text"))
+    sets = stage(once.mapInArrow(hashed, "key binary, shingles binary"), "shingles")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, prints, held = None, [], []
+
+        def found():
+            pairs = _joined(held, least)
+            a, b = ([prints[p[k]] for p in pairs] for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for place, fp, raw in zip(*(batch.column(c).to_pylist() for c in ("place", "fp", "shingles"))):
+                if place != now and held:
+                    yield found()
+                    prints, held = [], []
+                now = place
+                prints.append(fp)
+                held.append(np.frombuffer(raw, np.uint64))
+        if held:
+            yield found()
+
+    spread = _spread(owners, "item", block).select("place", F.col("item.fp").alias("fp"), F.col("item.key").alias("key")).distinct()
+    return (
+        spread.join(sets, "key").select("place", "fp", "shingles")
+        .repartition("place").sortWithinPartitions("place")
+        .mapInArrow(compare, "a bigint, b bigint")
+        .where("a <> b")
+        .distinct()
+    )
+
+
+def keep_one_similar(docs: DataFrame, code: Covering = Covering(), least: float = SIMILAR) -> DataFrame:
+    """As :func:`keep_one`, with texts of 5-word Jaccard similarity ``least`` or more linked as well.
+
+    ``BANDS`` keys of ``ROWS`` MinHash values each nominate pairs: one of similarity s is met
+    with probability 1 - (1 - s**ROWS)**BANDS, over 0.9999 for 0.8. What they nominate is
+    compared by exact sets of shingles. Bands with over ``SETS`` texts are split like anchors.
+    """
+    rows = stage(sketches(docs), "sketches")
+    more = stage(similar_links(docs, rows, least), "similar")
+    return _one_of_each(docs, _grouped(rows.select("doc_id", "fp"), more, code, BLOCK))
