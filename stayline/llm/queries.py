@@ -7,13 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayline.llm import bpe, classifier, hnsw, licenses, lines, mixing, quality_rules, secrets, simhash, warc
+from stayline.llm import align, bpe, classifier, hnsw, licenses, lines, mixing, quality_rules, secrets, simhash, toxicity, trie, warc
 from stayline.llm.batches import table
 from stayline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 RANKS = "byte_bpe_50k.tiktoken"
+MERGES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def query(oracle: str | None = None):
@@ -135,3 +136,53 @@ def op5_temperature_mix(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op10_hnsw_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return hnsw.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query()
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+# Brute force over whole prefixes as lists; CRC-32 bit by bit.
+@query(
+    """
+    WITH t AS (
+      SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos, {'r': role, 't': text} AS x
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL) q
+    ), heads AS (
+      SELECT conv_id, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce(
+        list_transform(range(1, 1 + length(CAST(conv_id AS VARCHAR))), lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT)),
+        lambda c, b: list_reduce(range(8), lambda z, k: CASE WHEN z & 1 = 1 THEN xor(z >> 1, 3988292384) ELSE z >> 1 END, xor(c, b)),
+        CAST(4294967295 AS BIGINT))) % 9 AS h
+      FROM (SELECT DISTINCT conv_id FROM t) q
+    ), r AS (
+      SELECT h.conv_id, t.pos, t.x FROM heads h JOIN t ON t.conv_id = h.base AND t.pos < h.h
+      UNION ALL SELECT h.conv_id, t.pos, t.x FROM heads h JOIN t ON t.conv_id = h.conv_id AND t.pos >= h.h
+    ), c AS (
+      SELECT h.conv_id, coalesce(s, []) AS s FROM heads h LEFT JOIN (SELECT conv_id, list(x ORDER BY pos) AS s FROM r GROUP BY conv_id) q USING (conv_id)
+    ), p AS (
+      SELECT conv_id, s, d, s[1:d] AS k FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM c) q
+    ), n AS (
+      SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CASE WHEN len(s) = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256,
+        (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE strlen(k[d].t) END AS saved
+      FROM p GROUP BY d, k
+    ), m AS (
+      SELECT n.*, u.conv_id AS parent_conv_id, (SELECT count(*) FROM n w WHERE w.d = n.d + 1 AND w.k[1:n.d] = n.k) AS n_children
+      FROM n LEFT JOIN n u ON u.d = n.d - 1 AND u.k = n.k[1:n.d - 1]
+    )
+    SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, any_value(a.parent_conv_id) AS parent_conv_id, CAST(any_value(a.n_convs) AS BIGINT) AS n_convs,
+      CAST(any_value(a.n_children) AS BIGINT) AS n_children, CAST(count(*) FILTER (b.n_children = 0) AS BIGINT) AS n_leaves,
+      CAST(sum(b.saved) AS BIGINT) AS saved_tokens, any_value(a.ends_sha256) AS ends_sha256
+    FROM m a JOIN m b ON b.d >= a.d AND b.k[1:a.d] = a.k GROUP BY a.conv_id, a.d
+    """
+)
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, folder, "conversations"))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path
+    shared = align.Shared(spark, path(MERGES), path(PIECES), public_tokenizers.PATTERN)
+    return align.aligned_documents(table(spark, folder, "documents"), shared)
