@@ -18,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_registered():
     names = [n for n in entry.queries() if n == "pipeline" or re.match(r"op\d+_", n)]
-    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{i}" for i in range(1, 11))} and len(names) == 11
+    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{i}" for i in range(1, 14))} and len(names) == 14
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier" and len(corpus_pipeline.STAGES) == 5
 
 
