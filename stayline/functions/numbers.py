@@ -39,9 +39,13 @@ def exact_parts(x: Column, name: str, unit: float = 1.0, weight: Column | None =
     return [F.sum(high * weight).alias(f"{name}_hi"), F.sum(low * weight).alias(f"{name}_lo"), F.sum(counted).alias(f"{name}_n")]
 
 
+def part_names(name: str) -> list[str]:
+    return [f"{name}_{part}" for part in ("hi", "lo", "n")]
+
+
 def summed_parts(name: str) -> list[Column]:
     """Sums of the parts of partial aggregates."""
-    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("hi", "lo", "n")]
+    return [F.sum(part).alias(part) for part in part_names(name)]
 
 
 def exact_total(name: str | Column, unit: float = 1.0) -> Column:

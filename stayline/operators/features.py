@@ -12,15 +12,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stayline.functions.dates import int_to_date, month_of
 from stayline.functions.numbers import (
-    UNIT, exact_mean, exact_parts, exact_total, flag, ratio, round_half_away, summed_parts, total_plays,
+    UNIT, exact_mean, exact_parts, exact_total, flag, part_names, ratio, round_half_away, summed_parts, total_plays,
 )
 from stayline.operators.cohort import valid_transactions
-from stayline.operators.pit import join_as_of
+from stayline.operators.pit import in_intervals, running_totals, times_counted
 from stayline.operators.running import quantile_row
 from stayline.schemas import (
     FEATURES, LOG_FEATURES, MEMBER_FEATURES, PLAY_COUNTERS, TXN_FEATURES, require_columns,
 )
-from stayline.session import stage
 
 KEY = ["msno", "feature_cutoff_date"]
 
@@ -69,7 +68,7 @@ def txn_features(
     last_cutoff: int | None = None,
     hint: str | None = None,
 ) -> DataFrame:
-    """The transaction features, in two aggregates: per user and day, then up to the cutoff.
+    """The transaction features: per user and day, per interval between cutoffs, then merged up to each cutoff.
 
     The latest row's attributes come from a maximum over a struct that starts with the
     payment day. The remaining fields break ties in a fixed order, so that same-day
@@ -93,13 +92,14 @@ def txn_features(
         .withColumn("txn_dt", int_to_date("transaction_date"))
         .drop("transaction_date")
     )
-    agg = join_as_of(daily, cohort, "txn_dt", hint).groupBy(*KEY).agg(
+    intervals = in_intervals(daily, cohort, "txn_dt", hint).groupBy(*KEY).agg(
         F.sum("n_txn").alias("n_txn"),
         F.sum("n_cancel").alias("n_cancel"),
         F.max("ever_cancelled").alias("ever_cancelled"),
         F.max("ever_promo").alias("ever_promo"),
         F.max(F.struct("txn_dt", "_row")).alias("_last"),
     )
+    agg = running_totals(intervals, ["n_txn", "n_cancel"], ["ever_cancelled", "ever_promo", "_last"])
     flat = agg.select(*KEY, "n_txn", "n_cancel", "ever_cancelled", "ever_promo", "_last.txn_dt", "_last._row.*")
     priced = ~F.coalesce(is_legacy(), F.lit(False))
     return flat.select(
@@ -127,7 +127,7 @@ def log_features(
     last_cutoff: int | None = None,
     hint: str | None = None,
 ) -> DataFrame:
-    """The usage features, in two aggregates of fixed-size sums that are exact in any order of rows."""
+    """The usage features, from fixed-size sums that are exact in any order of rows: per day, per interval, merged."""
     plays = total_plays(PLAY_COUNTERS)
     daily = (
         until(logs, "date", last_cutoff)
@@ -142,7 +142,7 @@ def log_features(
         .withColumn("log_dt", int_to_date("date"))
         .drop("date")
     )
-    agg = join_as_of(daily, cohort, "log_dt", hint).groupBy(*KEY).agg(
+    intervals = in_intervals(daily, cohort, "log_dt", hint).groupBy(*KEY).agg(
         F.sum("log_days").alias("log_days"),
         *summed_parts("secs"),
         *summed_parts("completion"),
@@ -150,6 +150,8 @@ def log_features(
         F.sum("unq_n").alias("unq_n"),
         F.max("log_dt").alias("_last"),
     )
+    sums = ["log_days", *part_names("secs"), *part_names("completion"), "unq", "unq_n"]
+    agg = running_totals(intervals, sums, ["_last"])
     return agg.select(
         *KEY,
         "log_days",
@@ -198,8 +200,7 @@ def feature_matrix(
 ) -> DataFrame:
     """All features for every cohort row; other cohort columns are kept in front.
 
-    Training, scoring and drift all call this, so they cannot disagree. The two aggregates
-    leave their rows partitioned by the key that the assembly joins on. A stored cohort
+    Training, scoring and drift all call this, so they cannot disagree. A stored cohort
     (``pit.staged_cohort``) has a size that Spark can plan with.
     """
     require_columns(cohort, KEY, "cohort")
@@ -214,16 +215,18 @@ def feature_matrix(
 def p99_secs(logs: DataFrame, cohort: DataFrame | None = None, last_cutoff: int | None = None) -> DataFrame:
     """One row ``p99_secs``: the 99th percentile of seconds capped at a day.
 
-    With a cohort only logs up to each user's cutoff count; one day's worth of seconds is
-    the answer when there are none. Without a cohort all logs count. Almost every value is
-    different, so a scan for brackets comes first; joined rows are stored for it.
+    With a cohort a log counts once for each of its user's cutoffs that it precedes, by its
+    weight and without copies; one day's worth of seconds is the answer when there are none.
+    Without a cohort all logs count once. Almost every value is different, so a scan for
+    brackets comes first.
     """
     # ``least`` skips NULL: a row without seconds counts as a full day.
     capped = F.least(F.col("total_secs").cast("double"), F.lit(float(DAY_SECS))).alias("secs")
     rows = until(logs, "date", last_cutoff).select("msno", int_to_date("date").alias("log_dt"), capped)
+    weight = None
     if cohort is not None:
-        rows = stage(join_as_of(rows, cohort, "log_dt").select("secs"), "cohort-secs")
-    return quantile_row(rows, "secs", {"p99_secs": 0.99}, continuous=True).select(
+        rows, weight = times_counted(rows, cohort, "log_dt", "times").select("secs", "times"), "times"
+    return quantile_row(rows, "secs", {"p99_secs": 0.99}, continuous=True, weight=weight).select(
         F.coalesce("p99_secs", F.lit(float(DAY_SECS))).alias("p99_secs")
     )
 

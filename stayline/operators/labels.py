@@ -6,7 +6,7 @@ from datetime import date
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stayline.functions.dates import as_date, check_days, int_to_date, month_bounds, month_of, shift_int
 from stayline.functions.numbers import flag, percent, ratio
@@ -14,21 +14,37 @@ from stayline.operators.cohort import valid_transactions
 from stayline.schemas import LABEL_COLUMNS
 
 
-def renewal_days(
-    txn: DataFrame, bounds: tuple[int, int] | None = None, drop_backdated: bool = True
+def next_renewals(
+    cohort: DataFrame,
+    txn: DataFrame,
+    bounds: tuple[int, int] | None = None,
+    drop_backdated: bool = True,
 ) -> DataFrame:
-    """Distinct (user, day) pairs with a transaction that can count as a renewal.
+    """The cohort plus ``next_renewal``: the first day after the anchor on which the user paid for more, or NULL.
 
-    Reducing to days first means a user with any number of transactions brings at most one
-    row per calendar day into the interval join. ``bounds`` are YYYYMMDD integers and prune
+    Anchors and payments meet in one shuffle by user, in which payments are combined to a
+    set of days on the map side, so a user with any number of payments brings no more
+    days than the calendar has. Then one sort per user: reading its days backwards, an
+    anchor's next renewal is the last one read. ``bounds`` are YYYYMMDD integers and prune
     the scan.
     """
-    days = valid_transactions(txn, drop_backdated).where(F.col("is_cancel") == 0)
+    paid = valid_transactions(txn, drop_backdated).where((F.col("is_cancel") == 0) & F.col("msno").isNotNull())
     if bounds:
-        days = days.where(F.col("transaction_date").between(*bounds))
-    return days.select("msno", "transaction_date").distinct().select(
-        "msno", int_to_date("transaction_date").alias("paid_on")
+        paid = paid.where(F.col("transaction_date").between(*bounds))
+    anchors = cohort.select("msno", F.struct(*[F.col(f"`{c}`") for c in cohort.columns]).alias("_row"))
+    paid = paid.select("msno", F.lit(None).cast(anchors.schema["_row"].dataType).alias("_row"), int_to_date("transaction_date").alias("_paid"))
+    both = anchors.withColumn("_paid", F.lit(None).cast("date")).unionByName(paid)
+    users = both.groupBy("msno").agg(F.collect_list("_row").alias("_rows"), F.collect_set("_paid").alias("_days")).where(F.size("_rows") > 0)
+    no_day, no_row = F.lit(None).cast("date"), F.lit(None).cast(anchors.schema["_row"].dataType)
+    events = F.concat(
+        F.transform("_rows", lambda r: F.struct(r["anchor_expiry_date"].alias("day"), no_day.alias("paid"), r.alias("row"))),
+        F.transform("_days", lambda d: F.struct(d.alias("day"), d.alias("paid"), no_row.alias("row"))),
     )
+    read = users.select("msno", F.explode(events).alias("_e")).select("msno", "_e.*")
+    # Anchors come before payments of the same day, which do not renew them.
+    backwards = Window.partitionBy("msno").orderBy(F.desc_nulls_first("day"), F.asc_nulls_first("paid"))
+    later = F.last("paid", ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, 0))
+    return read.select("row", later.alias("next_renewal")).where("row IS NOT NULL").select("row.*", "next_renewal")
 
 
 def with_renewal(
@@ -40,20 +56,9 @@ def with_renewal(
 ) -> DataFrame:
     """The cohort plus ``renewed``: a renewal in (anchor, anchor + window_days]."""
     check_days(window_days=window_days)
-    return cohort.sparkSession.sql(
-        """
-        SELECT c.*, EXISTS (
-            SELECT 1 FROM {days} d
-            WHERE d.msno = c.msno
-              AND d.paid_on > c.anchor_expiry_date
-              AND d.paid_on <= date_add(c.anchor_expiry_date, :window)
-        ) AS renewed
-        FROM {cohort} c
-        """,
-        args={"window": window_days},
-        cohort=cohort,
-        days=renewal_days(txn, bounds, drop_backdated),
-    )
+    inside = F.col("next_renewal") <= F.date_add("anchor_expiry_date", window_days)
+    found = next_renewals(cohort, txn, bounds, drop_backdated)
+    return found.withColumn("renewed", F.coalesce(inside, F.lit(False))).drop("next_renewal")
 
 
 def renewed_users(
@@ -63,15 +68,8 @@ def renewed_users(
     bounds: tuple[int, int] | None = None,
     drop_backdated: bool = True,
 ) -> DataFrame:
-    """Distinct users of the cohort who renewed inside their window (semi-join)."""
-    d = renewal_days(txn, bounds, drop_backdated).alias("d")
-    c = cohort.alias("c")
-    inside = (
-        (F.col("d.msno") == F.col("c.msno"))
-        & (F.col("d.paid_on") > F.col("c.anchor_expiry_date"))
-        & (F.col("d.paid_on") <= F.date_add("c.anchor_expiry_date", window_days))
-    )
-    return c.join(d, inside, "left_semi").select("msno").distinct()
+    """Distinct users of the cohort who renewed inside their window."""
+    return with_renewal(cohort, txn, window_days, bounds, drop_backdated).where("renewed").select("msno").distinct()
 
 
 def churn_labels(

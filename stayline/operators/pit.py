@@ -1,11 +1,19 @@
-"""The point-in-time join: facts up to each cohort row's own cutoff day."""
+"""Point-in-time aggregates: what is known of a user up to each cohort row's own cutoff day.
+
+A fact is never copied for the cutoffs after it. It goes to its interval, the first cutoff of
+its user on or after its day, where it is aggregated; a user's intervals are then merged one
+after another, so each cutoff has everything up to it. Rows after the join are at most the
+facts and the cohort, rows after the merge the cohort's, however many cutoffs a user has.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stayline.session import stage
 
+CUTOFF = "feature_cutoff_date"
+
 
 def staged_cohort(cohort: DataFrame) -> DataFrame:
     """The cohort as a stored table.
@@ -16,17 +24,44 @@ def staged_cohort(cohort: DataFrame) -> DataFrame:
     return stage(cohort, "cohort")
 
 
-def join_as_of(facts: DataFrame, cohort: DataFrame, day: str, hint: str | None = None) -> DataFrame:
-    """Facts of cohort users with ``day <= feature_cutoff_date``.
+def user_cutoffs(cohort: DataFrame) -> DataFrame:
+    """(msno, cutoffs): each user's cutoff days in order; no more than the calendar has."""
+    return cohort.groupBy("msno").agg(F.sort_array(F.collect_set(CUTOFF)).alias("cutoffs"))
+
+
+def _from(day: str) -> Column:
+    return F.filter("cutoffs", lambda c: c >= F.col(day))
+
+
+def _joined(facts: DataFrame, cohort: DataFrame, hint: str | None) -> DataFrame:
+    users = user_cutoffs(cohort)
+    return facts.join(users.hint(hint) if hint else users, "msno")
+
+
+def in_intervals(facts: DataFrame, cohort: DataFrame, day: str, hint: str | None = None) -> DataFrame:
+    """The facts of cohort users with the first cutoff on or after ``day``, and a row of NULLs for each cohort row.
+
+    Facts after all cutoffs go. ``hint`` forces a join strategy. Facts should be a row per
+    user and day, which bounds the rows of any user by the calendar. The caller aggregates
+    by (msno, cutoff).
+    """
+    found = _joined(facts, cohort, hint).withColumn(CUTOFF, F.array_min(_from(day)))
+    found = found.where(F.col(CUTOFF).isNotNull()).drop("cutoffs")
+    return found.unionByName(cohort.select("msno", CUTOFF), allowMissingColumns=True)
+
+
+def times_counted(facts: DataFrame, cohort: DataFrame, day: str, name: str, hint: str | None = None) -> DataFrame:
+    """The facts of cohort users with the number of their user's cutoffs on or after ``day``, one at least."""
+    found = _joined(facts, cohort, hint).withColumn(name, F.size(_from(day)).cast("bigint"))
+    return found.where(F.col(name) > 0).drop("cutoffs")
+
+
+def running_totals(intervals: DataFrame, sums: list[str], largest: list[str]) -> DataFrame:
+    """Per (msno, cutoff) the sums, and the largest values, over its own and all earlier intervals.
 
-    Cohort rows are unique by (msno, feature_cutoff_date). The caller aggregates the result by
-    that key, and brings facts reduced to a row per user and day, so that the rows of any
-    user, however many facts it has, are bounded by the calendar. ``hint`` forces a join
-    strategy.
+    ``intervals`` is unique by that key. Rows that no fact precedes, whose first sum is
+    still NULL, go. A user's rows in the window are its cutoffs.
     """
-    c = cohort.select("msno", "feature_cutoff_date")
-    c = c.hint(hint) if hint else c
-    on = (F.col("f.msno") == F.col("c.msno")) & (F.col(f"f.{day}") <= F.col("c.feature_cutoff_date"))
-    return facts.alias("f").join(c.alias("c"), on).select(
-        "f.msno", "c.feature_cutoff_date", *[F.col(f"f.{n}") for n in facts.columns if n != "msno"]
-    )
+    so_far = Window.partitionBy("msno").orderBy(CUTOFF).rowsBetween(Window.unboundedPreceding, 0)
+    totals = intervals.select("msno", CUTOFF, *[F.sum(c).over(so_far).alias(c) for c in sums], *[F.max(c).over(so_far).alias(c) for c in largest])
+    return totals.where(F.col(sums[0]).isNotNull())

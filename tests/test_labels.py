@@ -87,6 +87,21 @@ def test_renewed_users_and_empty_cohort(txn):
     assert empty.count() == 0 and empty.columns[0] == "msno"
 
 
+def test_next_renewals_equal_a_search(spark, make):
+    import random
+
+    rng = random.Random(3)
+    day = lambda: 20170100 + 100 * rng.randrange(6) + 1 + rng.randrange(28)
+    rows = [(f"u{rng.randrange(9)}", day(), 20180101, rng.randrange(2)) for _ in range(300)]
+    as_day = lambda v: D(v // 10000, v // 100 % 100, v % 100)
+    anchors = [(u, as_day(day()), k) for k, u in enumerate([f"u{i % 10}" for i in range(60)] + [None])] + [("u1", None, 99)]
+    c = spark.createDataFrame(anchors, "msno string, anchor_expiry_date date, k int")
+    txn = make.txn(rows)
+    got = {r.k: r.next_renewal for r in labels.next_renewals(c, txn).collect()}
+    paid = [(u, as_day(d)) for u, d, _, cancel in rows if not cancel]
+    assert got == {k: min((d for v, d in paid if v == u and a and d > a), default=None) for u, a, k in anchors}
+
+
 def test_expiring_cohort(txn):
     got = cohort.expiring_cohort(txn, "2017-02-19").collect()
     assert {(r.msno, r.expiry_date) for r in got} == {(u, D(2017, 3, 5)) for u in "bcde"}

@@ -113,3 +113,17 @@ def test_quantile_row_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert quantile_row(df, "x", {"m": 0.5}).first().m is None
     assert quantile_row(df, "x", {"m": 0.5}, continuous=True).first().m is None
+
+
+def test_weighted_quantiles_equal_repeated_rows(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    values = np.concatenate((rng.exponential(3000, 400), -rng.random(50), [0.0, 0.0, 86400.0, 86400.0]))
+    times = rng.integers(1, 90, len(values))
+    df = spark.createDataFrame([(float(v), int(w)) for v, w in zip(values, times)] + [(None, 5)], "x double, w bigint").repartition(5)
+    whole, wanted = np.repeat(values, times), [0.0, 0.01, 0.5, 0.99, 1.0]
+    for continuous in (True, False):
+        (row,) = exact_quantiles(df, ["x"], wanted, continuous=continuous, weight="w").collect()
+        assert row.n == len(whole) and row.q == pytest.approx(np.quantile(whole, wanted).tolist(), abs=1e-9)
+    assert exact_quantiles(df.limit(0), ["x"], wanted, continuous=True, weight="w").count() == 0

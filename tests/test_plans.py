@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from stayline.functions.dates import int_to_date
 from stayline.operators import cohort, features, labels, model, pit
 from stayline.plans import dataset, labeling, monitoring, scoring, training
 from stayline.schemas import FEATURES
@@ -200,7 +201,11 @@ def test_known_size_of_a_cohort_decides_the_join(spark, t):
     text = plan(features.txn_features(t.transactions, users, last_cutoff=20010317))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     assert "LessThanOrEqual(transaction_date,20010317)" in text
-    assert "partial_max" in text and "Window" not in text
+    assert "partial_max" in text
+    # The one window merges a user's intervals, which are already a row per cutoff.
+    (window,) = re.findall(r"Window \[.*", text)
+    assert re.search(r"\], \[msno#\d+\], \[feature_cutoff_date#\d+ ASC", window)
+    assert re.search(r"Aggregate\(key(s)?=\[msno#\d+, feature_cutoff_date#", text.split("Window [")[1])
     forced = plan(features.txn_features(t.transactions, users, last_cutoff=20010317, hint="merge"))
     assert "SortMergeJoin" in forced and "BroadcastHashJoin" not in forced
 
@@ -212,6 +217,29 @@ def test_facts_are_a_row_per_user_and_day_before_the_join(t):
         assert re.search(r"Aggregate\(key(s)?=\[msno#\d+, (transaction_date|date)#", below_join)
 
 
+def test_facts_are_not_copied_for_later_cutoffs(spark, t):
+    """After the join there are at most as many rows as user-days and cohort rows, for any number of cutoffs."""
+    days = t.user_logs.select("msno", int_to_date("date").alias("log_dt")).distinct()
+    users = stage(t.user_logs.select("msno").distinct().crossJoin(spark.range(40)).select(
+        "msno", F.date_add(F.lit("1995-01-01").cast("date"), (F.col("id") * 60).cast("int")).alias("feature_cutoff_date")), "many-cutoffs")
+    intervals = pit.in_intervals(days, users, "log_dt")
+    assert intervals.count() <= days.count() + users.count()
+    got = pit.running_totals(intervals.groupBy("msno", "feature_cutoff_date").agg(F.count("log_dt").alias("n"), F.max("log_dt").alias("last")), ["n"], ["last"])
+    pairs = users.join(days, "msno").where("log_dt <= feature_cutoff_date")
+    want = pairs.groupBy("msno", "feature_cutoff_date").agg(F.count("*").alias("n"), F.max("log_dt").alias("last"))
+    assert got.where("n > 0").exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    times = pit.times_counted(days, users, "log_dt", "times").agg(F.sum("times")).first()[0]
+    assert times == pairs.count()
+
+
+def test_renewals_take_one_shuffle_of_payments(t):
+    from stayline.operators.labels import with_renewal
+
+    stored = pit.staged_cohort(cohort.label_cohort(t.transactions, "2001-03"))
+    text = plan(with_renewal(stored, t.transactions))
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text and "partial_collect_set" in text
+
+
 def test_coverage_and_rebuilt_features_bound_their_scans(t):
     from stayline.operators.agreement import log_coverage
 
