@@ -10,7 +10,9 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from stayline.llm import classifier, mixing, queries
 from stayline.llm.batches import Words, table
-from tests.llm.test_dedup_operators import plain_simhash
+from tests.llm.test_dedup_operators import plain_components, plain_fingerprint
+from tests.llm.test_passages import plain_passages
+from tests.llm.test_similar import plain_set, similar
 from tools.compare import compare, oracle_connection
 
 FOLDER = "/root/testdata/sf0.001"
@@ -28,26 +30,40 @@ def test_oracles(spark, folder, name):
     assert compare(spark, oracle_connection(folder), folder, name) is None
 
 
-def plain_line_dedup(rows):
-    """The oracle's rules, read one text after another."""
+def plain_chunks(rows):
+    """Lines of repeated chunks, by (id, line), by the oracle's rules, read one text after another."""
     import hashlib
 
-    seen, out = set(), {}
+    seen, gone = set(), set()
     for doc, text in sorted(rows):
-        kept, chunk, before = [], [], 0
+        chunk, before = [], 0
         lines = text.split("\n")
         for i, line in enumerate(lines):
             value = int(hashlib.md5(line.encode()).hexdigest()[:7], 16)
             chunk.append(line)
             if (before * 1_000_003 + value) % 2_147_483_647 % 3 == 0 or i == len(lines) - 1:
-                if len(chunk) < 2 or tuple(chunk) not in seen:
-                    kept += chunk
+                if len(chunk) > 1 and tuple(chunk) in seen:
+                    gone |= {(doc, k) for k in range(i - len(chunk) + 1, i + 1)}
                 if len(chunk) > 1:
                     seen.add(tuple(chunk))
                 chunk = []
             before = value
-        out[doc] = "\n".join(kept)
-    return out
+    return gone
+
+
+def plain_line_dedup(rows):
+    """Texts less their repeated chunks, long lines and passages."""
+    gone = plain_chunks(rows) | plain_passages(rows)
+    return {d: "\n".join(x for i, x in enumerate(text.split("\n")) if (d, i) not in gone) for d, text in rows}
+
+
+def plain_near_dedup(texts):
+    """The smallest id of each group of texts within 4 bits or of a 5-word similarity of 0.8."""
+    ids = sorted(texts)
+    sets, prints = [plain_set(texts[d]) for d in ids], [plain_fingerprint(texts[d]) for d in ids]
+    pairs = [(i, j) for i in range(len(ids)) for j in range(i)]
+    linked = [(i, j) for i, j in pairs if (prints[i] ^ prints[j]).bit_count() <= 4 or similar(sets[i], sets[j])]
+    return {ids[r] for r in plain_components(len(ids), linked)}
 
 
 def test_pipeline_equals_plain_stages(spark):
@@ -55,8 +71,7 @@ def test_pipeline_equals_plain_stages(spark):
     model = classifier.train(table(spark, FOLDER, "documents"), table(spark, FOLDER, "labels"))
     scores = model.score(classifier.features(Words([d.text or "" for d in docs.values()])))
     texts = plain_line_dedup([(d, r.text) for (d, r), s in zip(docs.items(), scores) if s >= 0.3])
-    groups = plain_simhash(list(texts.items()))
-    texts = {int(d): texts[int(d)] for d, _, component in groups if int(d) == component}
+    texts = {d: texts[d] for d in plain_near_dedup(texts)}
     tokens = Counter()
     for d, text in texts.items():
         tokens[docs[d].source] += max(1, len(re.findall(r"[^\x20\x09-\x0D]+", text)))
