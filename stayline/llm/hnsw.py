@@ -3,9 +3,10 @@
 Vectors are compared within a label (and a length). Equal vectors are one node with a count.
 A label's nodes are dealt by hash into shards of about ``SHARD`` nodes; each shard gets a
 graph whose upper levels hold ever fewer nodes. Then every node queries every shard of its
-label, in blocks: the beam starts at the top level and widens, for the queries whose beam
-is full of links and for the whole block while an audit against brute force finds too few
-links; the widest beam is the whole shard. Nominated pairs are verified by the cosine in
+label, in blocks: the beam starts at the top level; what it finds is followed over neighbours
+that are still similar enough, so a large group is walked through and not searched for. While
+an audit against brute force finds too few links, the block's beams widen; the widest beam
+is the whole shard. Nominated pairs are verified by the cosine in
 double precision. A task sends a count per query and one link per node it has joined, never
 its pairs.
 
@@ -30,6 +31,8 @@ from stayline.session import stage
 
 COSINE = 0.93
 SHARD, QUERIES = 16_384, 1024  # nodes of a graph; queries of a block
+STRAY = 0.03  # by which a node may fall short and still be walked through
+WALK = 1 << 15  # pairs whose neighbours are looked at in one step
 SLACK = 1e-4  # by which single precision may understate a cosine
 
 
@@ -61,7 +64,7 @@ class Graph:
         """Best-first search of one level by all queries in step.
 
         Returns the beam's nodes and similarities, best first, and, given ``at_least``, every
-        (query, node) seen with at least that similarity.
+        (query, node) seen with at least that similarity; and which nodes each query has seen.
         """
         n, near = len(queries), self.near[level]
         seen = np.zeros((n, len(self.x)), bool)
@@ -113,7 +116,40 @@ class Graph:
             keep = max(1, int(fresh.sum(axis=1).max(initial=0)))  # fresh nodes to the front, the rest cut off
             order = np.argsort(~fresh, axis=1, kind="stable")[:, :keep]
             merge(active, np.take_along_axis(nodes, order, 1), np.take_along_axis(found, order, 1))
-        return ids, sims, np.concatenate(hits) if hits else np.zeros((0, 2), np.int64)
+        return ids, sims, np.concatenate(hits) if hits else np.zeros((0, 2), np.int64), seen
+
+    def walk(self, queries: np.ndarray, hits: np.ndarray, seen: np.ndarray, at_least: float) -> np.ndarray:
+        """More (query, node) of at least that similarity: neighbours of what was found, then theirs, as long as they are nearly as similar.
+
+        Links are followed both ways, as pruning may leave a node without any that lead to it. The work is
+        linear in what is found, where a wider beam would begin anew. ``seen`` is kept up to date.
+        """
+        near, more, todo = self.near[0], [], [hits]
+        sources, places = np.nonzero(near >= 0)
+        targets = near[sources, places]
+        sources = sources[np.argsort(targets, kind="stable")]
+        ends = np.concatenate(([0], np.cumsum(np.bincount(targets, minlength=len(self.x)))))
+        while todo:
+            pairs = todo.pop()
+            if len(pairs) > WALK:
+                todo += np.array_split(pairs, -(-len(pairs) // WALK))
+                continue
+            nodes = near[pairs[:, 1]]
+            rows = np.broadcast_to(pairs[:, :1], nodes.shape)
+            rows, nodes = rows[nodes >= 0], nodes[nodes >= 0]
+            sizes = ends[pairs[:, 1] + 1] - ends[pairs[:, 1]]
+            back = np.arange(sizes.sum()) + np.repeat(ends[pairs[:, 1]] - np.cumsum(sizes) + sizes, sizes)
+            rows, nodes = np.concatenate((rows, np.repeat(pairs[:, 0], sizes))), np.concatenate((nodes, sources[back]))
+            fresh = ~seen[rows, nodes]
+            code = np.unique(rows[fresh].astype(np.int64) * len(self.x) + nodes[fresh])
+            rows, nodes = code // len(self.x), code % len(self.x)
+            seen[rows, nodes] = True
+            sims = np.einsum("nd,nd->n", self.x[nodes], queries[rows])
+            found = np.column_stack((rows, nodes))
+            more.append(found[sims >= at_least])
+            if (on := sims >= at_least - STRAY).any():
+                todo.append(found[on])
+        return np.concatenate([hits, *more])
 
     def descend(self, queries: np.ndarray, to: int, width: int = 8) -> np.ndarray:
         """Seeds for level ``to``, from the entry point down."""
@@ -171,7 +207,7 @@ class Graph:
         seeds = np.full((len(batch), 1), self.entry if len(inside) else -1, np.int32)
         for level in range(self.top, -1, -1):
             if len(inside):
-                ids, sims, _ = self.beam(queries, self.shape.build_beam, level, seeds)
+                ids, sims, _, _ = self.beam(queries, self.shape.build_beam, level, seeds)
                 seeds = ids[:, :8]
             else:
                 ids, sims = np.full((len(batch), 1), -1, np.int32), np.full((len(batch), 1), -np.inf, np.float32)
@@ -232,26 +268,19 @@ def search(graph: Graph, queries: np.ndarray, cosine: float) -> np.ndarray:
         a, b = np.nonzero(single[rows] @ graph.x.T >= low)
         return np.column_stack((rows[a], b))
 
-    todo, width, found = np.arange(len(single)), shape.beam, []
-    while len(todo):
-        if width * 4 > n:  # a beam this wide reads the shard anyway
-            found.append(exhaustive(todo))
-            break
-        _, sims, hits = graph.beam(single[todo], width, 0, graph.descend(single[todo], 0), low)
-        counts = np.bincount(hits[:, 0], minlength=len(todo))
+    every, width = np.arange(n_queries := len(single)), shape.beam
+    while n_queries and width * 4 <= n:  # a wider beam reads the shard anyway
+        _, _, hits, seen = graph.beam(single, width, 0, graph.descend(single, 0), low)
+        hits = graph.walk(single, hits, seen, low)
+        counts = np.bincount(hits[:, 0], minlength=n_queries)
         # The audit takes the queries with most links and others evenly.
         half = max(1, shape.audit // 2)
-        audit = np.unique(np.concatenate((np.argsort(-counts, kind="stable")[:half], np.linspace(0, len(todo) - 1, half).astype(int))))
-        true = exhaustive(todo[audit])
-        missed = len(true) - counts[audit].sum()
-        if len(true) and missed > (1 - shape.recall) * len(true):
-            width *= 2
-            continue
-        full = sims[:, -1] >= low  # more links may lie beyond the beam
-        settled = ~full[hits[:, 0]]
-        found.append(np.column_stack((todo[hits[settled, 0]], hits[settled, 1])))
-        todo, width = todo[full], width * 2
-    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        audit = np.unique(np.concatenate((np.argsort(-counts, kind="stable")[:half], np.linspace(0, n_queries - 1, half).astype(int))))
+        true = exhaustive(audit)
+        if len(true) - counts[audit].sum() <= (1 - shape.recall) * len(true):
+            return hits
+        width *= 2
+    return exhaustive(every)
 
 
 def usable(vectors: DataFrame) -> DataFrame:

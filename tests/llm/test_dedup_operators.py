@@ -196,3 +196,4 @@ def test_graph_search_finds_links_with_narrow_beams():
     found[pairs[:, 0], pairs[:, 1]] = True
     true = x @ x.T >= 0.93
     assert (found & true).sum() >= 0.98 * true.sum()
+    assert (found & true)[2400:].sum() == true[2400:].sum()  # the large group is walked through whole
