@@ -23,9 +23,9 @@ import hashlib
 import json
 import re
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +35,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from stayline.llm.batches import documents, small
+from stayline.llm.batches import _mix, documents, small
 from stayline.llm.lookup import looked_up
 from stayline.session import stage
 
-CHUNK = 4 << 20  # characters of text in a chunk row, if it holds more than one text
+CHUNK = 2 << 20  # characters of text in a chunk row, if it holds more than one text
+SLICE = 1 << 20  # bytes of text aligned at a time
+LONG = 4096  # links of a group that are not listed one by one
+REMEMBERED = 200_000  # windows that a task keeps before it begins its memory anew
 # Beyond these characters the two implementations of A could know different Unicode versions.
 UNSURE = re.compile("[^\x00-ɏ]")
 
@@ -67,6 +70,9 @@ class Tokenizers:
         self._pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.b_bytes = [self._piece(self._pieces.id_to_piece(i)) for i in range(self._pieces.get_piece_size())]
         self.a_sizes, self.b_sizes = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
+        # Every id as text, before the next id of its side, the other side, the next group and the next window.
+        ids = list(map(str, range(max(len(self.a_bytes), len(self.b_bytes)))))
+        self.names = np.array([[i + mark for i in ids] for mark in ",|;\n"], object)
         self.a_space, self.b_space = (np.fromiter((t[:1] == b" " for t in x), bool, len(x)) for x in (self.a_bytes, self.b_bytes))
 
     @staticmethod
@@ -120,60 +126,87 @@ class Shared:
         return tokenizers(*self._files.value)
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, one after another."""
+    return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+
+
 class Windows:
     """Memory of window alignments by id tuples, numbered in order of first sight, and the pairs they link."""
 
     def __init__(self, coder: Tokenizers):
         self._coder = coder
-        self._numbers: dict[tuple, int] = {}
+        self._numbers: dict[bytes, int] = {}
         self._pair_numbers: dict[int, int] = {}
         self.texts: list[str] = []
         self.groups, self.links, self._start, self._pair, self._times = array("q"), array("q"), array("q", [0]), array("q"), array("q")
 
-    def number(self, a: tuple[int, ...], b: tuple[int, ...]) -> int:
-        known = self._numbers.get((a, b))
-        return self._align(a, b) if known is None else known
-
-    def _align(self, a: tuple[int, ...], b: tuple[int, ...]) -> int:
-        a_bytes, b_bytes = self._coder.a_bytes, self._coder.b_bytes
-        i = j = a_end = b_end = a_from = b_from = links = 0
-        texts, pairs = [], Counter()
-        while i < len(a):
-            a_end, i = a_end + len(a_bytes[a[i]]), i + 1
-            while b_end < a_end:
-                b_end, j = b_end + len(b_bytes[b[j]]), j + 1
-            if a_end == b_end:
-                own_a, own_b = a[a_from:i], b[b_from:j]
-                a_from, b_from = i, j
-                texts.append(",".join(map(str, own_a)) + "|" + ",".join(map(str, own_b)))
-                links += len(own_a) * len(own_b)
-                if len(own_a) == len(own_b) == 1:
-                    pairs[own_a[0] << 32 | own_b[0]] += 1
-                else:
-                    times_b = Counter(own_b).items()
-                    for x, n in Counter(own_a).items():
-                        for y, m in times_b:
-                            pairs[x << 32 | y] += n * m
-        self.texts.append(";".join(texts))
-        self.groups.append(len(texts))
-        self.links.append(links)
+    def __len__(self) -> int:
+        return len(self.texts)
+
+    def numbers(self, a: np.ndarray, b: np.ndarray, a_spans: np.ndarray, b_spans: np.ndarray) -> np.ndarray:
+        """The numbers of different windows, given as (start, stop) rows into both sides' ids."""
+        known, a_raw, b_raw = self._numbers, a.astype(np.int32).tobytes(), b.astype(np.int32).tobytes()
+        # An id tuple is kept as its packed integers; -1, which is no id, stands between both sides.
+        spans = zip((4 * a_spans).tolist(), (4 * b_spans).tolist())
+        keys = [b"".join((a_raw[i:x], b"\xff\xff\xff\xff", b_raw[j:y])) for (i, x), (j, y) in spans]
+        out = np.array([known.get(k, -1) for k in keys], np.int64)
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            out[new] = np.arange(len(new)) + len(self.texts)
+            known.update((keys[i], n) for i, n in zip(new.tolist(), out[new].tolist()))
+            sides = [(ids[_ranges(spans[new, 0], np.diff(spans[new])[:, 0])], np.diff(spans[new])[:, 0]) for ids, spans in ((a, a_spans), (b, b_spans))]
+            self._learn(*sides[0], *sides[1])
+        return out
+
+    def _learn(self, a: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_sizes: np.ndarray) -> None:
+        """Align windows, whose ids follow one another, by the ends that both sides share."""
+        coder = self._coder
+        i, j = shared_ends(coder, a, b)  # the last tokens of each group
+        a_from, b_from = np.concatenate(([0], i[:-1] + 1)), np.concatenate(([0], j[:-1] + 1))
+        n, m = i + 1 - a_from, j + 1 - b_from
+        last = np.isin(i, np.cumsum(a_sizes) - 1)  # of a window
+        window = np.concatenate(([0], np.cumsum(last)[:-1]))
+
+        pieces = np.empty(len(a) + len(b), object)
+        a_mark, b_mark = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        a_mark[i], b_mark[j] = 1, np.where(last, 3, 2)
+        group_of_a, group_of_b = np.repeat(np.arange(len(i)), n), np.repeat(np.arange(len(i)), m)
+        pieces[np.arange(len(a)) + b_from[group_of_a]] = coder.names[a_mark, a]
+        pieces[np.arange(len(b)) + i[group_of_b] + 1] = coder.names[b_mark, b]
+        self.texts += "".join(pieces.tolist()).split("\n")[:-1]
+        self.groups.frombytes(np.bincount(window, minlength=len(a_sizes)).astype(np.int64).tobytes())
+        links = np.zeros(len(a_sizes), np.int64)
+        np.add.at(links, window, n * m)
+        self.links.frombytes(links.tobytes())
+
+        # Short groups link token by token; a long one has few different ids, and each pair of them once here.
+        short = np.flatnonzero(n * m <= LONG)
+        each = (n * m)[short]
+        place, group = _ranges(np.zeros(len(short), np.int64), each), np.repeat(short, each)
+        codes = [a[a_from[group] + place // m[group]] << 32 | b[b_from[group] + place % m[group]]]
+        owners, times = [window[group]], [np.ones(len(group), np.int64)]
+        for g in np.flatnonzero(n * m > LONG).tolist():
+            (x, p), (y, q) = (np.unique(ids[lo : lo + size], return_counts=True) for ids, lo, size in ((a, a_from[g], n[g]), (b, b_from[g], m[g])))
+            codes.append((x[:, None] << 32 | y[None, :]).ravel())
+            times.append(np.multiply.outer(p, q).ravel())
+            owners.append(np.full(len(codes[-1]), window[g]))
+        code, owner, time = (np.concatenate(x) for x in (codes, owners, times))
+        order = np.argsort(owner, kind="stable")
+        distinct, again = np.unique(code[order], return_inverse=True)
         numbers = self._pair_numbers
-        for pair, n in pairs.items():
-            self._pair.append(numbers.setdefault(pair, len(numbers)))
-            self._times.append(n)
-        self._start.append(len(self._pair))
-        self._numbers[a, b] = len(self.texts) - 1
-        return len(self.texts) - 1
+        self._pair.frombytes(np.array([numbers.setdefault(c, len(numbers)) for c in distinct.tolist()], np.int64)[again].tobytes())
+        self._times.frombytes(time[order].tobytes())
+        self._start.frombytes((np.cumsum(np.bincount(owner, minlength=len(a_sizes))) + self._start[-1]).astype(np.int64).tobytes())
 
-    @property
     def pairs(self) -> np.ndarray:
         return np.fromiter(self._pair_numbers, np.int64, len(self._pair_numbers))
 
     def linked(self, windows: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, pair number, links) for the distinct pairs of each document, in order of both."""
-        start, pair, times = (np.array(x, np.int64) for x in (self._start, self._pair, self._times))
+        start, pair, times = (np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64) for x in (self._start[:], self._pair[:], self._times[:]))
         sizes = start[windows + 1] - start[windows]
-        at = np.arange(sizes.sum()) + np.repeat(start[windows] - np.cumsum(sizes) + sizes, sizes)
+        at = _ranges(start[windows], sizes)
         n = max(1, len(self._pair_numbers))
         code = np.repeat(owner, sizes) * n + pair[at]
         order = np.argsort(code, kind="stable")
@@ -182,38 +215,69 @@ class Windows:
         return code[first] // n, code[first] % n, np.add.reduceat(total, first) if len(first) else total
 
 
-def cut(coder: Tokenizers, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For the tokens of whole documents in a row: the places after each window's last token, in A and in B."""
+def shared_ends(coder: Tokenizers, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the tokens of A and of B that end at the same byte."""
     a_ends, b_ends = np.cumsum(coder.a_sizes[a]), np.cumsum(coder.b_sizes[b])
     at = np.minimum(np.searchsorted(b_ends, a_ends), max(0, len(b) - 1))
     i = np.flatnonzero(b_ends[at] == a_ends) if len(a) else np.zeros(0, np.int64)
-    j = at[i]
+    return i, at[i]
+
+
+def cut(coder: Tokenizers, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the tokens of whole documents in a row: the places after each window's last token, in A and in B."""
+    i, j = shared_ends(coder, a, b)
     marked = (i + 1 == len(a)) | coder.a_space[a[np.minimum(i + 1, len(a) - 1)]] & coder.b_space[b[np.minimum(j + 1, len(b) - 1)]]
     return i[marked] + 1, j[marked] + 1
 
 
+def _starts_and_places(stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each window's first token, and each token's window and place in it."""
+    starts = np.concatenate(([0], stops[:-1]))
+    owner = np.repeat(np.arange(len(stops)), stops - starts)
+    return starts, owner, np.arange(len(owner)) - starts[owner]
+
+
+def numbered(windows: Windows, a: np.ndarray, b: np.ndarray, a_stops: np.ndarray, b_stops: np.ndarray) -> np.ndarray:
+    """The number of each window; equal windows, found by a hash and compared id by id, are looked up once."""
+    if not len(a_stops):
+        return np.zeros(0, np.int64)
+    sides, code = [], np.zeros(len(a_stops), np.uint64)
+    for ids, stops, seed in ((a, a_stops, 1), (b, b_stops, 2)):
+        starts, owner, place = _starts_and_places(stops)
+        sides.append((ids, starts, owner, place))
+        with np.errstate(over="ignore"):
+            code = code * np.uint64(0x9E3779B97F4A7C15) + np.add.reduceat(_mix((ids * 4 + seed).astype(np.uint64) + (place.astype(np.uint64) << np.uint64(32))), starts)
+    _, first, again = np.unique(code, return_index=True, return_inverse=True)
+    same = np.array_equal(np.diff(a_stops, prepend=0), np.diff(a_stops, prepend=0)[first][again])
+    same = same and np.array_equal(np.diff(b_stops, prepend=0), np.diff(b_stops, prepend=0)[first][again])
+    same = same and all(np.array_equal(ids, ids[starts[first[again]][owner] + place]) for ids, starts, owner, place in sides)
+    if not same:  # two different windows share a hash: tell them apart by their ids
+        a_list, b_list, seen = a.tolist(), b.tolist(), {}
+        bounds = zip(*(x.tolist() for x in (sides[0][1], a_stops, sides[1][1], b_stops)))
+        again = np.array([seen.setdefault((tuple(a_list[i:x]), tuple(b_list[j:y])), len(seen)) for i, x, j, y in bounds])
+        first = np.unique(again, return_index=True)[1]
+    spans = [np.column_stack((starts[first], stops[first])) for (_, starts, _, _), stops in zip(sides, (a_stops, b_stops))]
+    return windows.numbers(a, b, *spans)[again]
+
+
 ROW = """chunk string, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>,
     digest array<string>, pairs array<bigint>, holders array<bigint>, ends binary, pair binary, times binary"""
 
 
 class _Chunk:
-    def __init__(self, coder: Tokenizers):
-        self.coder, self.windows, self.size = coder, Windows(coder), 0
+    def __init__(self, coder: Tokenizers, windows: Windows):
+        self.coder, self.windows, self.size = coder, windows, 0
         self.columns: dict[str, list] = {c: [] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "digest")}
         self.owner, self.pair, self.times = [], [], []
 
     def add(self, ids: list, texts: list[str]) -> None:
         coded = [self.coder.both(t) for t in texts]
         base, out = len(self.columns["doc_id"]), self.columns
-        a, b = (np.array([x for c in coded for x in c[k]], np.int64) for k in (0, 1))
+        a, b = (np.fromiter(chain.from_iterable(c[k] for c in coded), np.int64) for k in (0, 1))
         n_a, n_b = (np.array([len(c[k]) for c in coded], np.int64) for k in (0, 1))
         a_stops, b_stops = cut(self.coder, a, b)
-        number, a_list, b_list = self.windows.number, a.tolist(), b.tolist()
-        found, i, j = [], 0, 0
-        for x, y in zip(a_stops.tolist(), b_stops.tolist()):
-            found.append(number(tuple(a_list[i:x]), tuple(b_list[j:y])))
-            i, j = x, y
-        windows = np.array(found, np.int64)
+        windows = numbered(self.windows, a, b, a_stops, b_stops)
+        found = windows.tolist()
         owner = np.searchsorted(np.cumsum(n_a), a_stops)  # documents without tokens own no window
         names, stops = self.windows.texts, np.searchsorted(owner, np.arange(len(ids)), side="right")
         for k, (lo, hi) in enumerate(zip(np.concatenate(([0], stops[:-1])).tolist(), stops.tolist())):
@@ -234,7 +298,8 @@ class _Chunk:
 
     def row(self, name: str) -> pa.RecordBatch:
         owner, pair, times = (np.concatenate(x) for x in (self.owner, self.pair, self.times))
-        pairs = self.windows.pairs
+        pairs, pair = np.unique(pair, return_inverse=True)  # those of this chunk, of all that the task remembers
+        pairs = self.windows.pairs()[pairs]
         ends = np.cumsum(np.bincount(owner, minlength=len(self.columns["doc_id"])))
         lists = {c: pa.array([v], pa.list_(pa.string() if c == "digest" else pa.int64())) for c, v in self.columns.items()}
         whole = pa.list_(pa.int64())
@@ -252,12 +317,12 @@ def align(docs: DataFrame, shared: Shared, chunk: int = CHUNK) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, n = shared.tokenizers, TaskContext.get().partitionId(), 0
-        now = _Chunk(coder)
-        for batch in small(batches):
+        now = _Chunk(coder, Windows(coder))
+        for batch in small(batches, most=SLICE):
             now.add(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
             if now.size >= chunk:
                 yield now.row(f"{part}-{n}")
-                now, n = _Chunk(coder), n + 1
+                now, n = _Chunk(coder, now.windows if len(now.windows) < REMEMBERED else Windows(coder)), n + 1
         if now.columns["doc_id"]:
             yield now.row(f"{part}-{n}")
 

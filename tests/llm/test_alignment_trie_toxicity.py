@@ -49,13 +49,14 @@ def plain_groups(libraries, text):
     if not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
         return []
     ends = [set(np.cumsum([len(t) for t in x]).tolist()) for x in (bytes_a, bytes_b)]
-    groups, common = [], sorted(ends[0] & ends[1])
-    for lo, hi in zip([0, *common], common):
-        own = []
-        for ids, raw in ((ids_a, bytes_a), (ids_b, bytes_b)):
-            stops = np.cumsum([len(t) for t in raw])
-            own.append([i for i, e in zip(ids, stops) if lo < e <= hi])
-        groups.append(own)
+    common = ends[0] & ends[1]
+    groups = [[[], []] for _ in common]
+    for side, (ids, raw) in enumerate(((ids_a, bytes_a), (ids_b, bytes_b))):
+        at = end = 0
+        for i, token in zip(ids, raw):
+            groups[at][side].append(i)
+            end += len(token)
+            at += end in common
     return groups
 
 
@@ -116,16 +117,23 @@ def test_fast_and_described_tokens_agree(shared, libraries):
             assert coder.a_ids([text])[0] == a.encode(text, add_special_tokens=False).ids, (c, text)
 
 
-def test_windows_are_remembered(shared):
-    windows = align.Windows(shared.tokenizers)
-    a, b = shared.tokenizers.both("one two one two one")
-    ends = align.cut(shared.tokenizers, np.array(a), np.array(b))
+def test_windows_are_remembered(shared, monkeypatch):
+    coder = shared.tokenizers
+    a, b = map(np.array, coder.both("one two one two one, two"))
+    ends = align.cut(coder, a, b)
     assert len(ends[0]) >= 5 and ends[0][-1] == len(a) and ends[1][-1] == len(b)
-    first, i, j = [], 0, 0
-    for x, y in zip(*(e.tolist() for e in ends)):
-        first.append(windows.number(tuple(a[i:x]), tuple(b[j:y])))
-        i, j = x, y
-    assert len(windows.texts) == len(set(first)) < len(first)
+    windows = align.Windows(coder)
+    first = align.numbered(windows, a, b, *ends).tolist()
+    assert len(windows) == len(set(first)) < len(first)
+    assert align.numbered(windows, a, b, *ends).tolist() == first and len(windows) == len(set(first))
+    # Windows whose hashes are equal are still told apart, and long groups are listed by their different ids.
+    monkeypatch.setattr(align, "_mix", lambda x: np.zeros(len(x), np.uint64))
+    monkeypatch.setattr(align, "LONG", 1)
+    other = align.Windows(coder)
+    again = align.numbered(other, a, b, *ends).tolist()
+    assert [other.texts[i] for i in again] == [windows.texts[i] for i in first]
+    of = lambda w, found: {(int(w.pairs()[p]), int(n)) for _, p, n in zip(*w.linked(np.array(found), np.zeros(len(found), np.int64)))}
+    assert of(other, again) == of(windows, first)
 
 
 def plain_trie(rows):
