@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from stayline.functions.numbers import ratio
 from stayline.operators.running import running_sums
@@ -55,6 +55,47 @@ def ranking_metrics(scored: DataFrame, k: int = 100, parts: int | None = None) -
     )
 
 
+def ranking_metrics_by(scored: DataFrame, by: list[str], k: int = 100, parts: int | None = None) -> DataFrame:
+    """:func:`ranking_metrics` of every series at once: a row per group of the columns ``by``.
+
+    Input is (msno, score, is_churn) and ``by``, for instance model version and month. All
+    curves come from one pass: (series, score) is grouped and range-partitioned, so neither a
+    series with most of the rows nor many small ones end in one task. NULL names a series too.
+    ``k`` rows of each series are found by a window whose groups are cut to ``k`` rows before
+    the shuffle.
+    """
+    if k <= 0:
+        raise ValueError(f"k must be positive, got {k}")
+    hit = F.col("is_churn").cast("bigint")
+    rows = scored.select(*by, "msno", F.col("score").cast("double").alias("score"), "is_churn")
+    per_score = rows.groupBy(*by, "score").agg(F.sum(hit).alias("tp"), F.sum(1 - hit).alias("fp"))
+    areas = running_sums(per_score, "score", ["tp", "fp"], parts, by).groupBy(*by).agg(
+        F.sum(F.col("tp") * ratio(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp"))).alias("_ap"),
+        F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2)).alias("_auc"),
+        F.sum("tp").alias("_pos"),
+        F.sum("fp").alias("_neg"),
+    )
+    best = Window.partitionBy(*by).orderBy(F.desc("score"), F.asc("msno"))
+    head = rows.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= k).groupBy(*[F.col(c).alias(f"_k_{c}") for c in by]).agg(
+        F.avg("is_churn").alias("_precision"), F.sum(hit).alias("_hits")
+    )
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    pos, neg = F.col("_pos"), F.col("_neg")
+    both = (pos > 0) & (neg > 0)
+    return areas.join(head, same).select(
+        *by,
+        F.when(both, ratio(F.col("_ap"), pos)).alias("auc_pr"),
+        F.when(both, F.try_divide(F.col("_auc"), pos.cast("double") * neg.cast("double"))).alias("auc_roc"),
+        F.col("_precision").alias("precision_at_k"),
+        F.coalesce(ratio(F.col("_hits"), pos), F.lit(0.0)).alias("recall_at_k"),
+        (pos + neg).alias("n_total"),
+        pos.alias("n_churned"),
+        F.lit(k).alias("top_k"),
+    )
+
+
 def cohort_performance(
     predictions: DataFrame, labels: DataFrame, k: int = 100, alert_below: float = 0.45
 ) -> DataFrame:

@@ -23,20 +23,27 @@ def bucketed(df: DataFrame, order: list[str], parts: int | None = None, name: st
     return stage(df.repartitionByRange(n, *order).withColumn("_bucket", F.spark_partition_id()), name)
 
 
-def running_sums(df: DataFrame, order: str, sums: list[str], parts: int | None = None) -> DataFrame:
+def running_sums(df: DataFrame, order: str, sums: list[str], parts: int | None = None, by: list[str] | None = None) -> DataFrame:
     """Add ``cum_<name>`` for each name: the sum over rows with order >= this row's.
 
-    ``order`` must be unique in ``df`` (group by it first).
+    ``order`` must be unique in ``df`` (group by it first), or, given the columns ``by``, in
+    each of their groups; sums then run within a group. A group may be longer than a task
+    should hold, or there may be very many short ones: buckets are ranges of (by, order).
     """
-    rows = bucketed(df, [order], parts, "running")
-    inside = Window.partitionBy("_bucket").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
-    above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    by = by or []
+    rows = bucketed(df, [*by, order], parts, "running")
+    inside = Window.partitionBy(*by, "_bucket").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    above = (Window.partitionBy(*by) if by else Window).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     # One row per bucket, so no more than there are shuffle partitions: a single task is fine.
-    bases = rows.groupBy("_bucket").agg(*[F.sum(s).alias(s) for s in sums]).select(
-        F.col("_bucket").alias("_b"),
+    # With groups, one more for each that begins inside a bucket: these are joined, not broadcast.
+    bases = rows.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(s) for s in sums]).select(
+        F.col("_bucket").alias("_b"), *[F.col(c).alias(f"_by_{c}") for c in by],
         *[F.coalesce(F.sum(s).over(above), F.lit(0)).alias(f"_base_{s}") for s in sums],
     )
-    return rows.join(F.broadcast(bases), F.col("_bucket") == F.col("_b")).select(
+    same = F.col("_bucket") == F.col("_b")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return rows.join(bases if by else F.broadcast(bases), same).select(
         *df.columns, *[(F.col(f"_base_{s}") + F.sum(s).over(inside)).alias(f"cum_{s}") for s in sums]
     )
 

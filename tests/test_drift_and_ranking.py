@@ -130,3 +130,26 @@ def test_candidate_decision(spark):
 def test_top_k_breaks_ties_by_user(spark):
     rows = scored(spark, [(1, 0.5), (0, 0.5), (1, 0.9)])
     assert [r.msno for r in ranking.top_k(rows, 2).collect()] == ["u00002", "u00000"]
+
+
+def test_metrics_of_many_series_equal_those_of_each(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from stayline.operators.ranking import ranking_metrics, ranking_metrics_by
+
+    rng = random.Random(6)
+    rows = [(s, f"u{i}", rng.randrange(12) / 11, int(rng.random() < 0.3)) for s, n in (("big", 300), ("a", 9), ("b", 1), (None, 20)) for i in range(n)]
+    rows += [("all", f"u{i}", 0.5, 1) for i in range(4)]
+    df = spark.createDataFrame(rows, "series string, msno string, score double, is_churn int").repartition(4)
+    got = {r.series: r for r in ranking_metrics_by(df, ["series"], k=5, parts=6).collect()}
+    assert set(got) == {"big", "a", "b", None, "all"}
+    for name, row in got.items():
+        one = ranking_metrics(df.where(F.col("series").eqNullSafe(F.lit(name))), k=5).first().asDict()
+        mine = row.asDict()
+        for c, v in one.items():
+            assert mine[c] == (v if v is None else pytest.approx(v, abs=1e-12)), (name, c)
+    assert ranking_metrics_by(df.limit(0), ["series"]).count() == 0
+    with pytest.raises(ValueError):
+        ranking_metrics_by(df, ["series"], k=0)

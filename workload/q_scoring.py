@@ -341,3 +341,26 @@ def labels_by_sql(t: Tables) -> DataFrame:
         " WHERE array_contains(:months, date_format(anchor_expiry_date, 'yyyy-MM'))",
         {"months": F.array(F.lit("2001-03"), F.lit("2001-05"))},
     )
+
+
+@query(WITH + """
+, s AS (SELECT p.msno, strftime(p.expiry_date, '%Y-%m') AS month, t.is_churn, p.score, p.rival_score FROM sub_predictions p JOIN sub_train t ON t.msno = p.msno)
+, r AS (SELECT 'demo' AS model, month, msno, is_churn, score FROM s UNION ALL SELECT 'rival', month, msno, is_churn, rival_score FROM s)
+, g AS (SELECT model, month, score, sum(is_churn) AS tp, sum(1 - is_churn) AS fp FROM r GROUP BY ALL)
+, c AS (SELECT *, sum(tp) OVER w AS ctp, sum(fp) OVER w AS cfp FROM g WINDOW w AS (PARTITION BY model, month ORDER BY score DESC))
+, a AS (SELECT model, month, sum(tp) AS p, sum(fp) AS n, sum(tp * (CAST(ctp AS DOUBLE) / (ctp + cfp))) AS ap,
+    sum(fp * (ctp - CAST(tp AS DOUBLE) / 2)) AS auc FROM c GROUP BY ALL)
+, k AS (SELECT model, month, avg(is_churn) AS share, sum(is_churn) AS hits FROM (
+    SELECT *, row_number() OVER (PARTITION BY model, month ORDER BY score DESC, msno) AS place FROM r) q WHERE place <= 100 GROUP BY ALL)
+SELECT model, month, CASE WHEN p > 0 AND n > 0 THEN round(ap / p, 8) END AS auc_pr,
+  CASE WHEN p > 0 AND n > 0 THEN round(auc / (CAST(p AS DOUBLE) * n), 8) END AS auc_roc, round(share, 8) AS precision_at_k,
+  coalesce(round(CAST(hits AS DOUBLE) / nullif(p, 0), 8), 0.0) AS recall_at_k, CAST(p + n AS BIGINT) AS n_total, CAST(p AS BIGINT) AS n_churned,
+  100 AS top_k
+FROM a JOIN k USING (model, month)""")
+def metrics_by_model_and_month(t: Tables) -> DataFrame:
+    """Both models' metrics of every expiry month, in one job."""
+    rows = t.predictions.join(t.train.select("msno", "is_churn"), "msno").select(
+        "msno", "is_churn", F.date_format("expiry_date", "yyyy-MM").alias("month"),
+        F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).alias("score")) for m, c in (("demo", "score"), ("rival", "rival_score"))])).alias("s"),
+    )
+    return r8(ranking.ranking_metrics_by(rows.select("msno", "is_churn", "month", "s.*"), ["model", "month"]), *_METRICS)
