@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stayline.functions.numbers import round_half_away
 from stayline.operators import health, labels, model, ranking, reads, splits, tiers
-from stayline.plans.monitoring import run_performance
+from stayline.plans.monitoring import features_of_scored, run_performance
 from stayline.plans.scoring import scored_cohort as plan_scored_cohort
 from stayline.schemas import FEATURES
 from stayline.session import scratch_path, stage
@@ -364,3 +364,16 @@ def metrics_by_model_and_month(t: Tables) -> DataFrame:
         F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).alias("score")) for m, c in (("demo", "score"), ("rival", "rival_score"))])).alias("s"),
     )
     return r8(ranking.ranking_metrics_by(rows.select("msno", "is_churn", "month", "s.*"), ["model", "month"]), *_METRICS)
+
+
+@query(WITH + """
+, rcohort AS (SELECT DISTINCT msno, expiry_date, CAST(expiry_date - INTERVAL 14 DAY AS DATE) AS feature_cutoff_date
+  FROM sub_predictions WHERE scoring_date = DATE '2001-04-17')""" + features_sql("rcohort", "r", "43573.98") + f"""
+SELECT m.msno, c.expiry_date, m.feature_cutoff_date, {", ".join(f"m.{c}" for c in FEATURES)}
+FROM rmatrix m JOIN rcohort c ON c.msno = m.msno AND c.feature_cutoff_date = m.feature_cutoff_date""")
+def features_of_scored_day(t: Tables) -> DataFrame:
+    """The features behind the stored scores of a day, rebuilt with the threshold of their dataset version."""
+    root = scratch_path(t.spark, "dataset")
+    params = t.spark.range(1).select(F.lit(43573.98).alias("p99_secs"), F.lit("v1").alias("dataset_version_id"))
+    params.write.parquet(f"{root}/params")
+    return features_of_scored(t.predictions, "2001-04-17", t.transactions, t.user_logs, t.members, root, "v1")
