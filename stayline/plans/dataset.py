@@ -10,8 +10,9 @@ from stayline.operators.health import split_summary
 from stayline.operators.labels import labels_of_months
 from stayline.operators.pit import staged_cohort
 from stayline.operators.splits import split_3way
+from stayline.schemas import FEATURES
 from stayline.session import stage
-from stayline.sources.writers import write_dataset
+from stayline.sources.writers import write_dataset, write_histograms
 
 
 def labeled_features(
@@ -59,5 +60,6 @@ def build_dataset(
         labeled_features(cohort, txn, logs, members, threshold.scalar(), last), "features"
     )
     write_dataset(split_3way(rows, val_fraction, test_fraction, seed), threshold, root, version)
+    write_histograms(labels.sparkSession, root, version, FEATURES)
     written = labels.sparkSession.read.parquet(f"{root}/rows")
     return split_summary(written.where(F.col("dataset_version_id") == version))

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from stayline.functions.dates import as_int
-from stayline.operators.drift import drift_alerts, feature_drift
+from stayline.operators.drift import drift_alerts, drift_from
 from stayline.operators.features import feature_matrix, with_cutoff
 from stayline.operators.labels import labels_of_months
 from stayline.operators.pit import staged_cohort
@@ -15,15 +15,18 @@ from stayline.operators.ranking import cohort_performance
 from stayline.operators.reads import predictions_for_month, scored_users
 from stayline.schemas import FEATURES
 from stayline.session import stage
-from stayline.sources.readers import dataset_params, drift_baseline
+from stayline.sources.readers import dataset_params, drift_histograms
 
 
 def run_drift(
     current: DataFrame, root: str, version: str, threshold: float = 0.2
 ) -> tuple[DataFrame, DataFrame]:
-    """(psi per feature, alert row) of a scored frame against its model's dataset."""
-    baseline = drift_baseline(current.sparkSession, root, version, FEATURES)
-    psi = stage(feature_drift(baseline, current, FEATURES), "psi")
+    """(psi per feature, alert row) of a scored frame against its model's dataset.
+
+    Of the dataset only its stored histograms are read.
+    """
+    stored = drift_histograms(current.sparkSession, root, version)
+    psi = stage(drift_from(stored, current, FEATURES), "psi")
     return psi, drift_alerts(psi, threshold)
 
 

@@ -122,3 +122,8 @@ def drift_baseline(spark: SparkSession, root: str, version: str, columns: list[s
         .where((F.col("dataset_version_id") == version) & F.col("split").isin("train", "val"))
         .select(*columns)
     )
+
+
+def drift_histograms(spark: SparkSession, root: str, version: str) -> DataFrame:
+    """Ranges and bin counts of the version's baseline: a row per feature."""
+    return spark.read.parquet(f"{root}/histograms").where(F.col("dataset_version_id") == version).drop("dataset_version_id")

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from stayline.operators.checks import duplicate_keys
+from stayline.operators.drift import histograms
 from stayline.session import stage, stage_counted
-from stayline.sources.readers import read_csv
+from stayline.sources.readers import drift_baseline, read_csv
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -153,7 +154,8 @@ def write_dataset(rows: DataFrame, p99: DataFrame, root: str, version: str) -> N
     """Snapshot a split dataset and its winsor threshold under a version id.
 
     ``rows`` carries a ``split`` column; ``p99`` is the one-row threshold frame. The drift
-    baseline is not a copy: it is the train and val partitions (see ``drift_baseline``).
+    baseline is not a copy: it is the train and val partitions (see ``drift_baseline``), and
+    their histograms are stored beside the threshold (see ``write_histograms``).
     """
     (
         rows.withColumn("dataset_version_id", F.lit(version))
@@ -171,3 +173,16 @@ def write_dataset(rows: DataFrame, p99: DataFrame, root: str, version: str) -> N
         .partitionBy("dataset_version_id")
         .parquet(f"{root}/params")
     )
+
+
+def write_histograms(spark: SparkSession, root: str, version: str, columns: list[str], bins: int = 10) -> None:
+    """Store ranges and bin counts of a written version's drift baseline, a row per column."""
+    (
+        histograms(drift_baseline(spark, root, version, columns), columns, bins)
+        .withColumn("dataset_version_id", F.lit(version))
+        .coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dataset_version_id")
+        .parquet(f"{root}/histograms")
+    )

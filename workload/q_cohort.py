@@ -387,9 +387,10 @@ def dataset_roundtrip(t: Tables) -> DataFrame:
 
 
 def drift_of(t: Tables, columns: list[str]) -> DataFrame:
-    # Both sides are read by the drift job: store the split features, as a dataset version does.
+    # As a dataset version does: split features and the baseline's histograms are stored.
     rows = stage(splits.split_3way(train_rows(t), months=TRAIN_MONTHS), "split-features")
-    psi = drift.feature_drift(rows.where("split <> 'test'"), rows.where("split = 'test'"), columns)
+    stored = stage(drift.histograms(rows.where("split <> 'test'"), columns), "histograms")
+    psi = drift.drift_from(stored, rows.where("split = 'test'"), columns)
     return psi.withColumn("psi", round_half_away(F.col("psi"), 8))
 
 
