@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -14,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from stayline.operators.checks import in_unit_interval
 from stayline.operators.labels import class_ratio
+from stayline.operators.ranking import average_precision_by
 from stayline.schemas import CATEGORICAL_FEATURES, FEATURES, require_columns
 
 NUMERIC = [c for c in FEATURES if c not in CATEGORICAL_FEATURES]
@@ -68,15 +72,19 @@ def fit_gbt(
     depth: int = 6,
     patience: int = 50,
     seed: int = 42,
+    stop_on: str = "auc_pr",
 ) -> PipelineModel:
     """Gradient-boosted trees on the train split, cut back to the best number of rounds on the val split.
 
     ``rows`` has the features, ``is_churn`` and ``split``. The positive-class weight is
     retained over churned of the train split unless given. Spark's own early stop has no
-    patience, so all rounds are fitted; one pass over the val split then gives the weighted
-    log loss after each round, and :func:`best_prefix` says where to cut. Without a val
-    split all rounds stay.
+    patience, so all rounds are fitted; one job then gives the average precision of the val
+    split after every round (``stop_on="auc_pr"``), or one pass its weighted log loss
+    (``"log_loss"``), and :func:`best_prefix` says where to cut. Without a val split, or with
+    one class in it, all rounds stay.
     """
+    if stop_on not in ("auc_pr", "log_loss"):
+        raise ValueError(f"unknown measure {stop_on!r}")
     require_columns(rows, FEATURES + ["is_churn", "split"], "rows")
     if scale_pos_weight is None:
         train = rows.where("split = 'train'")
@@ -104,10 +112,42 @@ def fit_gbt(
     if val.isEmpty():
         return fitted
     prepared = PipelineModel(fitted.stages[:-1]).transform(val)
-    keep = best_prefix(list(fitted.stages[-1].evaluateEachIteration(prepared)), patience)
+    if stop_on == "log_loss":
+        losses = list(fitted.stages[-1].evaluateEachIteration(prepared))
+    else:
+        curve = average_precision_by(margins_by_round(fitted.stages[-1], prepared), ["round"]).orderBy("round").collect()
+        if any(r.auc_pr is None for r in curve):
+            return fitted
+        losses = [-r.auc_pr for r in curve]
+    keep = best_prefix(losses, patience)
     return PipelineModel([*fitted.stages[:-1], first_rounds(fitted.stages[-1], keep)])
 
 
+def margins_by_round(model: GBTClassificationModel, prepared: DataFrame) -> DataFrame:
+    """(round, score, is_churn): each row's margin after every number of trees, from one pass.
+
+    Rounds count from 1. ``prepared`` has the assembled ``features``. Rows multiply by the
+    rounds, so whatever follows should first combine equal scores.
+    """
+    # A leaf's number is its place from left to right, the order of the printed predictions.
+    leaves = [[float(v) for v in re.findall(r"Predict: (\S+)", tree.toDebugString)] for tree in model.trees]
+    values = np.zeros((len(leaves), max(map(len, leaves))))
+    for i, (found, weight) in enumerate(zip(leaves, model.treeWeights)):
+        values[i, : len(found)] = np.array(found) * weight
+
+    @F.pandas_udf("array<double>")
+    def margins(places: pd.Series) -> pd.Series:
+        if places.empty:
+            return pd.Series([], dtype=object)
+        at = np.stack(places.to_numpy()).astype(np.int64)
+        return pd.Series(list(np.cumsum(values[np.arange(len(values)), at], axis=1)))
+
+    only_leaves = {model.leafCol: "_leaves", model.predictionCol: "", model.probabilityCol: "", model.rawPredictionCol: ""}
+    rows = model.copy(only_leaves).transform(prepared.select("features", "is_churn"))
+    after = rows.select("is_churn", margins(vector_to_array("_leaves")).alias("_margins"))
+    return after.select(F.posexplode("_margins").alias("_i", "score"), "is_churn").select((F.col("_i") + 1).alias("round"), "score", "is_churn")
+
+
 def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
     """The model of the first ``rounds`` trees."""
     if rounds >= model.getNumTrees:

@@ -16,6 +16,28 @@ def top_k(scored: DataFrame, k: int = 100, then: list[str] | None = None) -> Dat
     return scored.orderBy(F.desc("score"), F.asc("msno"), *(then or [])).limit(k)
 
 
+def _areas(rows: DataFrame, by: list[str], parts: int | None) -> DataFrame:
+    """Per group of ``by``: step-wise average precision and ROC area before division, positives and negatives."""
+    hit = F.col("is_churn").cast("bigint")
+    per_score = rows.groupBy(*by, "score").agg(F.sum(hit).alias("tp"), F.sum(1 - hit).alias("fp"))
+    return running_sums(per_score, "score", ["tp", "fp"], parts, by).groupBy(*by).agg(
+        F.sum(F.col("tp") * ratio(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp"))).alias("_ap"),
+        F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2)).alias("_auc"),
+        F.coalesce(F.sum("tp"), F.lit(0)).alias("_pos"),
+        F.coalesce(F.sum("fp"), F.lit(0)).alias("_neg"),
+    )
+
+
+def average_precision_by(scored: DataFrame, by: list[str], parts: int | None = None) -> DataFrame:
+    """(by, auc_pr) of every series at once, from (score, is_churn) and the columns ``by``.
+
+    auc_pr is NULL for a series without both classes.
+    """
+    rows = scored.select(*by, F.col("score").cast("double").alias("score"), "is_churn")
+    both = (F.col("_pos") > 0) & (F.col("_neg") > 0)
+    return _areas(rows, by, parts).select(*by, F.when(both, ratio(F.col("_ap"), F.col("_pos"))).alias("auc_pr"))
+
+
 def ranking_metrics(scored: DataFrame, k: int = 100, parts: int | None = None) -> DataFrame:
     """One row: auc_pr, auc_roc, precision_at_k, recall_at_k, n_total, n_churned, top_k.
 
@@ -24,17 +46,7 @@ def ranking_metrics(scored: DataFrame, k: int = 100, parts: int | None = None) -
     """
     rows = scored.select("msno", F.col("score").cast("double").alias("score"), "is_churn")
     scored = stage(rows, "scored")  # read twice, and a score may be dear to compute
-    per_score = scored.groupBy("score").agg(
-        F.sum(F.col("is_churn").cast("bigint")).alias("tp"),
-        F.sum(1 - F.col("is_churn").cast("bigint")).alias("fp"),
-    )
-    curve = running_sums(per_score, "score", ["tp", "fp"], parts)
-    areas = curve.agg(
-        F.sum(F.col("tp") * ratio(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp"))).alias("_ap"),
-        F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2)).alias("_auc"),
-        F.coalesce(F.sum("tp"), F.lit(0)).alias("_pos"),
-        F.coalesce(F.sum("fp"), F.lit(0)).alias("_neg"),
-    )
+    areas = _areas(scored, [], parts)
     head = top_k(scored, k).agg(
         F.struct(
             F.avg("is_churn").alias("precision"),
@@ -68,13 +80,7 @@ def ranking_metrics_by(scored: DataFrame, by: list[str], k: int = 100, parts: in
         raise ValueError(f"k must be positive, got {k}")
     hit = F.col("is_churn").cast("bigint")
     rows = scored.select(*by, "msno", F.col("score").cast("double").alias("score"), "is_churn")
-    per_score = rows.groupBy(*by, "score").agg(F.sum(hit).alias("tp"), F.sum(1 - hit).alias("fp"))
-    areas = running_sums(per_score, "score", ["tp", "fp"], parts, by).groupBy(*by).agg(
-        F.sum(F.col("tp") * ratio(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp"))).alias("_ap"),
-        F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2)).alias("_auc"),
-        F.sum("tp").alias("_pos"),
-        F.sum("fp").alias("_neg"),
-    )
+    areas = _areas(rows, by, parts)
     best = Window.partitionBy(*by).orderBy(F.desc("score"), F.asc("msno"))
     head = rows.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= k).groupBy(*[F.col(c).alias(f"_k_{c}") for c in by]).agg(
         F.avg("is_churn").alias("_precision"), F.sum(hit).alias("_hits")

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stayline.operators import drift, ranking
 
@@ -55,6 +56,25 @@ def test_drift_over_columns(spark):
         drift.drift_alerts(psi, 0)
 
 
+def test_stored_histograms_give_the_same_drift(spark, tmp_path):
+    base = spark.range(300).selectExpr("id % 37 / 3D AS a", "IF(id % 5 = 0, NULL, id) AS b", "CAST(NULL AS DOUBLE) AS c", "id % 2 AS half")
+    cur = spark.range(90).selectExpr("id % 11 / 2D AS a", "id - 9 AS b", "1D AS c")
+    names = ["a", "b", "c"]
+    whole = drift.histograms(base, names)
+    whole.write.parquet(str(tmp_path / "h"))
+    stored = spark.read.parquet(str(tmp_path / "h"))
+    want = sorted(map(tuple, drift.feature_drift(base, cur, names).collect()))
+    assert sorted(map(tuple, drift.drift_from(stored, cur, names).collect())) == want and len(want) == 3
+
+    halves = [drift.histograms(base.where(f"half = {i}"), names, ranges=stored) for i in (0, 1)]
+    added = drift.add_histograms(halves[0].unionByName(halves[1]))
+    assert sorted(map(tuple, added.collect())) == sorted(map(tuple, stored.collect()))
+    with pytest.raises(Exception, match="different ranges"):
+        drift.add_histograms(stored.unionByName(stored.withColumn("lo", F.col("lo") - 1))).collect()
+    with pytest.raises(Exception, match="number of bins"):
+        drift.drift_from(stored, cur, names, bins=5).collect()
+
+
 def scored(spark, pairs):
     return spark.createDataFrame(
         [(f"u{i:05d}", float(s), int(y)) for i, (y, s) in enumerate(pairs)], "msno string, score double, is_churn short"

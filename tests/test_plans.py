@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from stayline.functions.dates import int_to_date
-from stayline.operators import cohort, features, labels, model, pit
+from stayline.operators import cohort, features, labels, model, pit, ranking
+from stayline.operators.drift import feature_drift
 from stayline.plans import dataset, labeling, monitoring, scoring, training
 from stayline.schemas import FEATURES
 from stayline.session import scratch_path, stage
@@ -102,6 +103,8 @@ def test_score_store_drift_performance(spark, t, label_store, built, fitted):
     assert a == sorted(map(str, scored.select("msno", *FEATURES).collect()))  # one path for both
 
     psi, alert = monitoring.run_drift(scored, root, "v1")
+    direct = feature_drift(readers.drift_baseline(spark, root, "v1", FEATURES), scored, FEATURES)
+    assert sorted(map(tuple, psi.collect())) == sorted(map(tuple, direct.collect()))
     assert psi.count() == len(FEATURES)
     assert alert.first().n_drifted_features == psi.where("psi > 0.2").count()
 
@@ -280,3 +283,29 @@ def test_a_cut_model_scores_as_its_first_trees(spark):
     cut = model.PipelineModel([*long.stages[:-1], model.first_rounds(long.stages[-1], 2)])
     a, b = (sorted(model.score(rows, m).select("msno", "score").collect()) for m in (cut, short))
     assert a == b
+
+
+def test_rounds_are_ranked_in_one_pass(spark):
+    rows = stage(spark.range(600).select(
+        F.col("id").cast("string").alias("msno"), *[(F.hash("id", F.lit(i)) % 7).cast("int").alias(c) for i, c in enumerate(FEATURES)],
+        (F.hash("id", F.lit(0)) % 7 + F.hash("id", F.lit(99)) % 4 > 0).cast("int").alias("is_churn"),
+        F.when(F.col("id") < 400, "train").otherwise("val").alias("split"),
+    ), "rounds")
+    whole = model.fit_gbt(rows.where("split = 'train'"), rounds=6, depth=2)
+    val = model.PipelineModel(whole.stages[:-1]).transform(model.encode(rows.where("split = 'val'")))
+    margins = model.margins_by_round(whole.stages[-1], val)
+    assert margins.count() == 6 * 200
+    last = sorted(r.score for r in margins.where("round = 6").collect())
+    raw = whole.transform(model.encode(rows.where("split = 'val'"))).select(model.vector_to_array("rawPrediction")[1].alias("m"))
+    assert last == pytest.approx(sorted(r.m for r in raw.collect()), abs=1e-12)
+
+    curve = {r["round"]: r.auc_pr for r in ranking.average_precision_by(margins, ["round"]).collect()}
+    for n in range(1, 7):
+        cut = model.PipelineModel([*whole.stages[:-1], model.first_rounds(whole.stages[-1], n)])
+        want = ranking.ranking_metrics(model.score(rows.where("split = 'val'"), cut)).first().auc_pr
+        assert curve[n] == pytest.approx(want, abs=1e-9)
+    best = max(curve, key=lambda n: (curve[n], -n))
+    assert model.fit_gbt(rows, rounds=6, depth=2).stages[-1].getNumTrees == best
+    assert model.fit_gbt(rows.where("split = 'train' OR is_churn = 1"), rounds=2, depth=2).stages[-1].getNumTrees == 2
+    with pytest.raises(ValueError, match="measure"):
+        model.fit_gbt(rows, stop_on="accuracy")
