@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 # Fixed value: the format of user ids accepted by readers of the prediction store.
 USER_ID_PATTERN = r"^[a-zA-Z0-9_\-+/=]{1,64}$"
 
+# What the stores' value columns may hold.
+TIERS = ["HIGH", "MED", "LOW"]
+LABEL_VALUES = [0, 1]
+MOST_ID_LETTERS = 64
+
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their row count."""
@@ -43,3 +49,21 @@ def count_violations(df: DataFrame, rules: dict[str, Column], keys: list[str]) -
         F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).cast("bigint").alias("n_violations"),
     )
     return rows.unionByName(surplus)
+
+
+def store_rules(df: DataFrame, store: StructType) -> dict[str, Column]:
+    """What a row of ``df`` must not be, by rule name, to enter a store of this schema.
+
+    The rules are about the store's columns that ``df`` has; a NULL breaks its column's
+    ``_null`` rule and no other.
+    """
+    has = [f for f in store.fields if f.name in df.columns]
+    rules = {f"{f.name}_null": F.col(f.name).isNull() for f in has if not f.nullable}
+    domains = {
+        "score": ~F.col("score").between(0.0, 1.0),
+        "risk_tier": ~F.col("risk_tier").isin(TIERS),
+        "is_churn": ~F.col("is_churn").isin(LABEL_VALUES),
+        "msno": F.length("msno") > MOST_ID_LETTERS,
+        "model_version": F.length("model_version") > MOST_ID_LETTERS,
+    }
+    return rules | {f"{f.name}_domain": F.coalesce(domains[f.name], F.lit(False)) for f in has if f.name in domains}

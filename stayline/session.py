@@ -8,7 +8,7 @@ import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def local_session(cores: str = "8", shuffle_partitions: str = "8", memory: str = "8g") -> SparkSession:
@@ -107,6 +107,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """As :func:`stage`, plus the number of rows, counted while they are written."""
+    staged, found = stage_tallied(df, name, {})
+    return staged, found["n"]
+
+
+def stage_tallied(df: DataFrame, name: str, conditions: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """As :func:`stage`, plus ``n`` rows and how many meet each condition, counted while they are written."""
     seen = Observation(name)
-    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
-    return staged, seen.get["n"]
+    staged = stage(df.observe(seen, *tallies(conditions)), name)
+    return staged, seen.get
+
+
+def tallies(conditions: dict[str, Column]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(k) for k, c in conditions.items()]]

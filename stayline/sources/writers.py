@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from stayline.operators.checks import duplicate_keys
+from stayline.operators.checks import duplicate_keys, store_rules
 from stayline.operators.drift import histograms
-from stayline.session import stage, stage_counted
+from stayline.schemas import LABEL_STORE, PREDICTION_STORE
+from stayline.session import stage, stage_tallied, tallies
 from stayline.sources.readers import drift_baseline, read_csv
 
 
@@ -82,6 +83,7 @@ def merge_by_key(
     partition: str,
     add_columns: bool = False,
     staged: bool = False,
+    rules: dict[str, Column] | None = None,
 ) -> int:
     """Insert or replace rows by key in a partitioned Parquet table.
 
@@ -94,6 +96,10 @@ def merge_by_key(
     overwritten while it is being read. The batch is staged too unless it already reads a
     stored table (``staged``). Returns the number of rows upserted; running it twice changes
     nothing.
+
+    ``rules`` are conditions that no row may meet. They are counted in the pass that stages the
+    batch, or the one that counts a staged batch; a broken one is an error before the store is
+    touched.
     """
     if partition not in incoming.columns:
         raise ValueError(f"partition column {partition!r} is not in the batch")
@@ -101,11 +107,15 @@ def merge_by_key(
         raise ValueError(f"partition column {partition!r} must hold days or months")
     spark = incoming.sparkSession
     if staged:
-        n_rows = incoming.count()
+        found = incoming.agg(*tallies(rules or {})).first().asDict()
     else:
-        incoming, n_rows = stage_counted(incoming, "merge-in")
+        incoming, found = stage_tallied(incoming, "merge-in", rules or {})
+    n_rows = found["n"]
     if n_rows == 0:
         return 0
+    broken = {name: found[name] for name in rules or {} if found[name]}
+    if broken:
+        raise ValueError(f"rows of the batch break the rules of {path}: {broken}")
     if not duplicate_keys(incoming, keys).isEmpty():
         raise ValueError(f"duplicate {keys} in the batch")
 
@@ -136,12 +146,14 @@ def upsert_labels(labels: DataFrame, path: str, add_columns: bool = False, stage
     """Merge labels on (msno, anchor_expiry_date), stored by cohort month."""
     # Equal keys have equal anchors and so always meet in the same month partition.
     batch = labels.withColumn("cohort_month", F.date_format("anchor_expiry_date", "yyyy-MM"))
-    return merge_by_key(batch, path, ["msno", "anchor_expiry_date"], "cohort_month", add_columns, staged)
+    rules = store_rules(labels, LABEL_STORE)
+    return merge_by_key(batch, path, ["msno", "anchor_expiry_date"], "cohort_month", add_columns, staged, rules)
 
 
 def upsert_predictions(predictions: DataFrame, path: str, add_columns: bool = False, staged: bool = False) -> int:
     """Merge predictions on (msno, scoring_date), stored by scoring date."""
-    return merge_by_key(predictions, path, ["msno", "scoring_date"], "scoring_date", add_columns, staged)
+    rules = store_rules(predictions, PREDICTION_STORE)
+    return merge_by_key(predictions, path, ["msno", "scoring_date"], "scoring_date", add_columns, staged, rules)
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:

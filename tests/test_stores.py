@@ -80,6 +80,31 @@ def test_merge_loses_no_stored_column(spark):
         writers.merge_by_key(batch, store, ["msno"], "score")
 
 
+@pytest.mark.parametrize("staged", [False, True])
+def test_a_bad_row_leaves_the_store_untouched(spark, staged):
+    store = scratch_path(spark, "t-store")
+    writers.upsert_predictions(predictions(spark, [pred("a", 0.1, 1)]), store)
+    before = sorted(spark.read.parquet(store).inputFiles())
+    good = pred("b", 0.5, 1)
+    bad = {
+        "score_domain": ("b", 1.5, *good[2:]), "score_null": ("b", None, *good[2:]), "risk_tier_domain": ("b", 0.5, "TOP", *good[3:]),
+        "msno_domain": ("u" * 65, *good[1:]), "model_version_null": (*good[:5], None), "expiry_date_null": (*good[:4], None, "m1"),
+    }
+    for rule, row in bad.items():
+        with pytest.raises(ValueError, match=f"'{rule}': 1"):
+            writers.upsert_predictions(predictions(spark, [pred("c", 0.2, 1), row]), store, staged=staged)
+    several = [pred("c", 0.2, 1), ("b", float("nan"), *good[2:]), ("d", -0.1, *good[2:])]
+    with pytest.raises(ValueError, match="'score_domain': 2"):
+        writers.upsert_predictions(predictions(spark, several), store, staged=staged)
+    assert sorted(spark.read.parquet(store).inputFiles()) == before
+    assert writers.upsert_predictions(predictions(spark, [good]), store, staged=staged) == 1
+
+    schema = "msno string, anchor_expiry_date date, feature_cutoff_date date, is_churn short, labeled_date date"
+    label = ("a", D(2017, 3, 5), D(2017, 2, 19), 2, None)
+    with pytest.raises(ValueError, match="labeled_date_null.*is_churn_domain"):
+        writers.upsert_labels(spark.createDataFrame([label], schema), scratch_path(spark, "t-labels"), staged=staged)
+
+
 def test_scope_deletes_what_it_staged(spark):
     with scratch_scope(spark):
         kept, n = stage_counted(spark.range(5), "t-scope")
