@@ -1,7 +1,8 @@
 """WARC archives: a deterministic sharded writer, and a reader of what it committed.
 
-Pages are cut into ranges of ``page_id`` and sorted; each range is one shard, written by one
-task as a series of files that roll at a compressed size. Every record is its own gzip
+Pages are cut into ranges of ``page_id`` by their exact ranks and sorted; each range is one
+shard, written by one task as a series of files that roll at a compressed size. Rows of one
+id, or without any, are ordered by a hash of their content, so a hot id has shards of its own. Every record is its own gzip
 member without a time stamp; headers, ids and digests are made anew from the page, so the
 same pages give the same bytes. A task writes under a temporary name and renames a finished
 file, so a repeated attempt replaces a file by an equal one. A manifest, written by Spark
@@ -25,10 +26,13 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from stayline.operators.running import running_sums
+from stayline.session import stage
 
 SHARD_ROWS = 2048
-CELLS = 16_384  # of the id histogram that sets the shards' bounds; also the most shards
+MOST_SHARDS = 131_072  # their bounds are a constant of the plan; beyond it shards hold more rows each
 ROLL_BYTES = 256 << 20
 DATE = "2000-01-01T00:00:00Z"  # of the headers; a parameter, so that a rerun gives the same bytes
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the format
@@ -43,35 +47,45 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def with_shard(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
-    """The rows with the shard of their page_id's range, and the number of shards.
+def _position(page_id: Column, key: Column, url: Column) -> Column:
+    """Place in the order of the shards: the id, then 40 bits of a hash. Null ids come before all others."""
+    tie = F.when(page_id.isNull(), F.xxhash64(key, url)).otherwise(F.xxhash64(key)).bitwiseAND(F.lit(2**40 - 1))
+    number = F.coalesce(page_id.cast("decimal(20,0)"), F.lit(str(-(2**63) - 1)).cast("decimal(20,0)"))
+    return (number * F.lit(str(2**40)).cast("decimal(13,0)") + tie.cast("decimal(13,0)")).cast("decimal(36,0)")
+
 
-    Bounds come from exact counts in equal cells of the id range: the histogram that the
-    driver reads, and the table of cells that is broadcast, have ``CELLS`` rows at most.
+def shard_bounds(positions: DataFrame, shard_rows: int = SHARD_ROWS) -> list[int]:
+    """The first position ``at`` of every shard, ascending, from exact ranks of all positions.
+
+    Rows of equal positions stay in one shard. At most ``MOST_SHARDS`` numbers reach the driver.
     """
-    low, high, n = rows.agg(F.min("page_id"), F.max("page_id"), F.count("page_id")).first()
-    if not n:
-        return rows.withColumn("shard", F.lit(0)), 1
-    width = max(1, -(-(high - low + 1) // CELLS))
-    cell = F.floor((F.col("page_id") - low) / width).cast("bigint")
-    counts = sorted(rows.where("page_id IS NOT NULL").groupBy(cell.alias("cell")).count().collect())
-    per_shard = max(shard_rows, -(-n // CELLS))
-    shard, held, cells = 0, 0, []
-    for k, c in counts:
-        if held and held + c > per_shard:
-            shard, held = shard + 1, 0
-        held += c
-        cells.append((k, shard))
-    columns = [pa.array(c, t) for c, t in zip(zip(*cells), (pa.int64(), pa.int32()))]
-    ranges = rows.sparkSession.createDataFrame(pa.Table.from_arrays(columns, names=["cell", "shard"]))
-    numbered = rows.withColumn("cell", cell).join(F.broadcast(ranges), "cell", "left").drop("cell")
-    return numbered.withColumn("shard", F.coalesce("shard", F.lit(0))), shard + 1
-
-
-def _open(uri: str) -> tuple[pafs.FileSystem, str]:
-    if uri.startswith("file:/") and not uri.startswith("file:///"):
-        uri = "file:///" + uri[len("file:/") :].lstrip("/")
-    return pafs.FileSystem.from_uri(uri)
+    counted = running_sums(positions.groupBy("at").agg(F.count(F.lit(1)).alias("n")), "at", ["n"])
+    total = positions.count()
+    per_shard = max(shard_rows, -(-total // MOST_SHARDS))
+    rank = F.floor((F.lit(total) - F.col("cum_n")) / per_shard)  # of the rows before this position
+    return sorted(int(r.at) for r in counted.groupBy(rank.alias("shard")).agg(F.min("at").alias("at")).collect())
+
+
+def shard_of(at: Column, bounds: list[int]) -> Column:
+    """Number of the last bound that is not above ``at``, by binary search in a constant array."""
+    firsts = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<decimal(36,0)>")
+    steps = [1 << b for b in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda low, step: F.when(F.get(firsts, low + step) <= at, low + step).otherwise(low),
+    )
+
+
+def _uri(folder: str) -> str:
+    """The name under which Arrow knows a folder of Hadoop's."""
+    if folder.startswith("file:/") and not folder.startswith("file:///"):
+        return "file:///" + folder[len("file:/") :].lstrip("/")
+    scheme, mark, rest = folder.partition("://")
+    return f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else folder
+
+
+def _open(folder: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(_uri(folder))
 
 
 def _clean(value: str) -> str:
@@ -137,21 +151,24 @@ def write_archives(
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce("html", F.lit("")).alias("html"),
-    ).withColumn("key", F.sha2("html", 256))
+    ).withColumn("key", F.unhex(F.sha2("html", 256)))
+    rows = rows.withColumn("at", _position(F.col("page_id"), F.col("key"), F.col("url")))
 
     # First page of each repeated payload, then a marker row for every page that revisits it.
     # Only ids and hashes are shuffled here; a hot payload's rows are split by the skew join.
-    slim = rows.select("page_id", "key")
+    slim = stage(rows.select("page_id", "key", "at"), "warc-pages")
     firsts = slim.groupBy("key").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first")
     markers = slim.join(firsts, "key").where("page_id > first").select(
-        "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "key", "first"
+        "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "key", "at", "first"
     )
     # A marker sorts just before its page, so that payloads are shuffled once.
-    numbered, shards = with_shard(rows.withColumn("first", F.lit(None).cast("bigint")).unionByName(markers), shard_rows)
+    bounds = shard_bounds(slim.select("at"), shard_rows)
+    shards = max(len(bounds), 1)
     sorted_rows = (
-        numbered
+        rows.withColumn("first", F.lit(None).cast("bigint")).unionByName(markers)
+        .withColumn("shard", shard_of(F.col("at"), bounds) if bounds else F.lit(0))
         .repartitionById(shards, "shard")
-        .sortWithinPartitions("shard", "page_id", "key", F.col("first").desc_nulls_last(), "url")
+        .sortWithinPartitions("shard", "at", "page_id", "key", F.col("first").desc_nulls_last(), "url")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -59,6 +59,30 @@ def test_archives_are_deterministic_and_ignore_strays(spark, pages):
     assert warc.write_archives(pages.limit(0), empty).count() == 0 and warc.read_archives(spark, empty).count() == 0
 
 
+def test_shards_follow_the_ids(spark):
+    ids = [*range(20_000), 2**60, -(2**62) - 5, 2**62 + 9, 2**63 - 1, -(2**63)]
+    far = spark.createDataFrame([(i, "u", f"<p>{i % 9000}</p>") for i in ids], "page_id bigint, url string, html string")
+    none = spark.range(5000).selectExpr("CAST(NULL AS BIGINT) AS page_id", "concat('n', id) AS url", "'same' AS html")
+    hot = spark.range(5000).selectExpr("7L AS page_id", "'u' AS url", "concat('hot', id) AS html")
+    pages = far.unionByName(none).unionByName(hot)
+    folder = scratch_path(spark, "warc-test")
+    manifest = warc.write_archives(pages, folder).collect()
+    sizes = {r.shard: 0 for r in manifest}
+    for r in manifest:
+        sizes[r.shard] += r.records
+    assert sum(sizes.values()) == len(ids) + 10_000 and max(sizes.values()) == warc.SHARD_ROWS and len(sizes) == 15
+    got = {r.page_id: r.refers_to for r in warc.read_archives(spark, folder, payloads=False).where("page_id IS NOT NULL AND page_id <> 7").collect()}
+    firsts = {}
+    for i in sorted(ids):
+        firsts.setdefault(i % 9000, i)
+    assert got == {i: None if firsts[i % 9000] == i else firsts[i % 9000] for i in ids if i != 7}
+
+
+def test_folder_names():
+    assert warc._uri("s3a://lake/a/b") == warc._uri("s3://lake/a/b") == "s3://lake/a/b"
+    assert warc._uri("file:/tmp/a") == warc._uri("file:///tmp/a") == "file:///tmp/a" and warc._uri("hdfs://n/a") == "hdfs://n/a"
+
+
 def test_cut_archives_are_refused():
     import io
 
