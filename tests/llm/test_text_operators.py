@@ -71,6 +71,48 @@ def plain_rules(text):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), repeats, len(covered), failed
 
 
+def plain_verdict(text, limits):
+    """Whether the repetition rules, and whether all rules keep a text that passes the base rules."""
+    words = WORD.findall(text)
+    chars = sum(map(len, words))
+    shares = []
+    for n, most in limits.grams:
+        grams = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+        often = Counter(grams)
+        inside = {j for i, g in enumerate(grams) if often[g] > 1 for j in range(i, i + n)}
+        shares.append(sum(len(words[j]) for j in inside) / chars <= most)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    repeats = sum(len(x) for i, x in enumerate(lines) if x in lines[:i])
+    repetition = all(shares) and repeats / len(text) <= limits.line_chars
+    return repetition, repetition and sum(c in "#*$%&|<>" for c in text) <= limits.symbols_per_word * len(words)
+
+
+def test_verdicts_equal_a_plain_version(spark, docs_of):
+    limits = quality_rules.Limits()
+    rng = np.random.default_rng(3)
+
+    def fresh(n):
+        return " ".join(f"w{v}" for v in rng.integers(0, 10**9, n))
+
+    made = {1: fresh(200), 2: fresh(60) + "\n" + fresh(10)}
+    for i, n in enumerate((3, 5, 7, 10)):  # repeats of just one length, in a text of otherwise new words
+        part = fresh(n)
+        made[10 + i] = " ".join(f"{part} {fresh(1)}" for _ in range(7)) + " " + fresh(7 * n)
+        made[20 + i] = f"{part} {fresh(80)} {part}"
+    long = fresh(12)
+    made[30] = f"{long}\n{fresh(50)}\n{long}\n{long}"  # lines
+    made[31] = "\n".join(f"{fresh(8)}\na b" for _ in range(9))  # short lines that no run of words repeats
+    made[32] = "x " * 3 + " ".join("long" * 20 + str(v) for v in range(9)) + " a b c " + fresh(45) + " a b c"
+    made[33] = " ".join(w + "#" for w in fresh(80).split())  # symbols only
+    docs = {d.doc_id: d.text or "" for d in table(spark, "/root/testdata/sf0.001", "documents").collect()}
+    docs = {**{k + 10**6: v for k, v in docs.items()}, **made}
+    got = {r.doc_id: r for r in quality_rules.apply_rules(docs_of(list(docs.items()))).collect()}
+    want = {k: (False, False) if got[k].base_failed else plain_verdict(v, limits) for k, v in docs.items()}
+    assert {k: r.kept for k, r in got.items()} == {k: v[1] for k, v in want.items()}
+    alone = {k for k, v in want.items() if not got[k].base_failed and not v[0] and docs[k].count("#") == 0}
+    assert len(alone) >= 3 and {1, 2, 20, 31} <= {k for k, v in want.items() if v[1]} and not want[33][1] and want[33][0]
+
+
 def test_quality_rules_equal_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     got = {r.doc_id: r for r in entry.queries()["op3_quality_rules"](spark, folder).collect()}
