@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stayline.llm.batches import Words, documents, small
+from stayline.llm.columns import any_columns
 
 FEATURES = (
     "log_words", "mean_length", "length_spread", "symbols_per_word", "marks_per_word", "bars_per_word", "points_per_word",
@@ -261,6 +262,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     )
 
 
+@any_columns
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows, with all their columns, whose text scores at least ``threshold``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stayline.llm.columns import any_columns
 from stayline.session import stage
 
 WINDOW, EVERY = 2, 3
@@ -114,6 +115,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> DataF
     )
 
 
+@any_columns
 def cut_repeats(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> DataFrame:
     """The rows with ``text`` less its repeated chunks, and the extra columns ``__n_lines`` and ``__n_removed``."""
     gone = stage(repeated(docs, window, every), "line-repeats").withColumnRenamed("doc_id", "__id")
@@ -186,6 +188,7 @@ def _run_lines(lines: Column, pairs: Column, long: int) -> Column:
     return F.flatten(F.transform(F.array(pairs), lambda s: F.when(F.size(s) > 0, of(s)).otherwise(none)))
 
 
+@any_columns
 def cut_passages(docs: DataFrame, long: int = LONG) -> DataFrame:
     """The rows with ``text`` less its repeated chunks, its repeated long lines and its repeated passages."""
     gone = stage(repeated(docs), "line-repeats").withColumnRenamed("doc_id", "__id")

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from stayline.llm.columns import any_columns
 from stayline.session import stage
 
 MOST_BLOCKS = 65_536  # of a source; beyond it blocks grow
@@ -168,6 +169,7 @@ def draws(docs: DataFrame, made: Plan, mix: Mix = Mix()) -> DataFrame:
     return read.withColumn("__epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__times") - 1))).withColumn("__turn", turn)
 
 
+@any_columns
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The documents, with all their columns, as often as the mix reads them."""
     return draws(docs, plan(docs, mix), mix).select(*(F.col(f"`{c}`") for c in docs.columns))

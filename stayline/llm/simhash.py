@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stayline.llm.batches import documents, small
+from stayline.llm.columns import any_columns
 from stayline.llm.components import components
 from stayline.session import stage
 
@@ -246,6 +247,7 @@ def _grouped(rows: DataFrame, more: DataFrame | None, code: Covering, block: int
     return rows.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@any_columns
 def keep_one(docs: DataFrame, code: Covering = Covering()) -> DataFrame:
     """The documents, with all their columns, less those that a smaller id of their component stands for.
 
@@ -371,6 +373,7 @@ def similar_links(docs: DataFrame, rows: DataFrame, least: float = SIMILAR, bloc
     )
 
 
+@any_columns
 def keep_one_similar(docs: DataFrame, code: Covering = Covering(), least: float = SIMILAR) -> DataFrame:
     """As :func:`keep_one`, with texts of 5-word Jaccard similarity ``least`` or more linked as well.
 

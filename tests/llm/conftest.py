@@ -24,7 +24,8 @@ def odd_docs(docs_of):
         (7, "same words in both of these rows", "b"), (8, "ünïcödé 日本語 😀   text more", "b"),
     ]
     df = docs_of(rows)
-    for name in ("spans", "n_words", "kept", "score", "fp", "key", "first", "words", "ids", "row", "label", "place", "epoch", "component_id"):
+    taken = "tokens source block order times epochs lines ends bounds left id gone held owner units copy chosen key row kept all_gone of_chunks"
+    for name in (*(f"__{c}" for c in taken.split()), "a.b c", "spans", "n_words", "kept", "score", "fp", "key", "first", "words", "ids", "row", "label", "place", "epoch", "component_id"):
         df = df.selectExpr("*", f"'clash' AS `{name}`")
     return df
 
