@@ -179,3 +179,64 @@ def metrics_sql(scored: str, name: str, k: int = 100) -> str:
     CAST(p + n AS BIGINT) AS n_total, CAST(p AS BIGINT) AS n_churned, {k} AS top_k
   FROM {name}_a)
 """
+
+
+def boosting_sql(features: list[str], categories: list[str], rounds: int, depth: int, bins: int, step: float, l2: float, least: int) -> str:
+    """Boosted trees over ``tsplit``, level by level: every split is a relation, ``boost_splits``; ``boost_margins`` has the sums of leaves."""
+    unit, known = 1 << 20, ", ".join(str(i) for i, c in enumerate(features) if c in categories)
+    values = " UNION ALL ".join(f"SELECT rid, split, {i} AS feature, CAST({c} AS DOUBLE) AS x FROM boost_rows" for i, c in enumerate(features))
+    names = "CASE feature " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(features)) + " END"
+    out = f"""
+, boost_rows AS MATERIALIZED (SELECT row_number() OVER (ORDER BY msno, feature_cutoff_date) AS rid, * FROM tsplit)
+, boost_values AS MATERIALIZED ({values})
+, boost_counts AS (SELECT feature, x, count(*) AS c FROM boost_values WHERE split = 'train' AND x IS NOT NULL GROUP BY ALL)
+, boost_running AS (SELECT *, sum(c) OVER (PARTITION BY feature ORDER BY x) AS upto, sum(c) OVER (PARTITION BY feature) AS n FROM boost_counts)
+, boost_edges AS MATERIALIZED (SELECT feature, x AS edge FROM boost_running WHERE feature NOT IN ({known}) AND upto < n
+    AND (upto * {bins}) // n > ((upto - c) * {bins}) // n)
+, boost_known AS MATERIALIZED (SELECT feature, x AS edge, row_number() OVER (PARTITION BY feature ORDER BY x) - 1 AS bin FROM boost_counts WHERE feature IN ({known}))
+, boost_bins AS MATERIALIZED (
+  SELECT v.rid, v.feature, CASE WHEN any_value(v.x) IS NULL THEN -1 ELSE count(e.edge) END AS bin
+  FROM boost_values v LEFT JOIN boost_edges e ON e.feature = v.feature AND e.edge < v.x WHERE v.feature NOT IN ({known}) GROUP BY v.rid, v.feature
+  UNION ALL SELECT v.rid, v.feature, coalesce(k.bin, -1) FROM boost_values v LEFT JOIN boost_known k ON k.feature = v.feature AND k.edge = v.x
+  WHERE v.feature IN ({known}))
+, boost_weight AS (SELECT CAST(count(*) FILTER (WHERE is_churn = 0) AS DOUBLE) / greatest(count(*) FILTER (WHERE is_churn = 1), 1) AS w
+  FROM tsplit WHERE split = 'train')
+, boost_margins0 AS (SELECT rid, split, is_churn AS y, CAST(0 AS DOUBLE) AS margin FROM boost_rows)"""
+    splits = []
+    for r in range(rounds):
+        out += f"""
+, boost_g{r} AS MATERIALIZED (
+  SELECT rid, CAST(floor((p - y) * wy * {unit}.0 + 0.5) AS BIGINT) AS g, CAST(floor(p * (1.0 - p) * wy * {unit}.0 + 0.5) AS BIGINT) AS h
+  FROM (SELECT rid, y, 1.0 / (1.0 + exp(-margin)) AS p, CASE WHEN y = 1 THEN w ELSE 1.0 END AS wy FROM boost_margins{r}, boost_weight WHERE split = 'train') q)
+, boost_at{r}_0 AS (SELECT rid, 1 AS node FROM boost_rows)"""
+        for level in range(depth):
+            s = f"{r}_{level}"
+            out += f"""
+, boost_sums{s} AS (SELECT node, feature, bin, CAST(sum(g) AS BIGINT) AS g, CAST(sum(h) AS BIGINT) AS h, count(*) AS n
+  FROM boost_at{s} JOIN boost_g{r} USING (rid) JOIN boost_bins USING (rid) WHERE node >= {1 << level} GROUP BY ALL)
+, boost_side{s} AS (SELECT *, CASE WHEN feature IN ({known}) THEN (CAST(g AS DOUBLE) / {unit}) / (CAST(h AS DOUBLE) / {unit} + {l2}) ELSE bin END AS place,
+  sum(g) OVER f AS ag, sum(h) OVER f AS ah, sum(n) OVER f AS an, coalesce(sum(CASE WHEN bin < 0 THEN g END) OVER f, 0) AS mg,
+  coalesce(sum(CASE WHEN bin < 0 THEN h END) OVER f, 0) AS mh, coalesce(sum(CASE WHEN bin < 0 THEN n END) OVER f, 0) AS mn
+  FROM boost_sums{s} WINDOW f AS (PARTITION BY node, feature))
+, boost_cut{s} AS (SELECT node, feature, bin, place, missing_left, CAST(sg + m * mg AS DOUBLE) / {unit} AS lg, CAST(sh + m * mh AS DOUBLE) / {unit} AS lh,
+  sn + m * mn AS n_left, an - sn - m * mn AS n_right, CAST(ag - sg - m * mg AS DOUBLE) / {unit} AS rg, CAST(ah - sh - m * mh AS DOUBLE) / {unit} AS rh,
+  CAST(ag AS DOUBLE) / {unit} AS g, CAST(ah AS DOUBLE) / {unit} AS h, bins
+  FROM (SELECT *, sum(g) OVER c AS sg, sum(h) OVER c AS sh, sum(n) OVER c AS sn, list(bin) OVER c AS bins FROM boost_side{s} WHERE bin >= 0
+    WINDOW c AS (PARTITION BY node, feature ORDER BY place, bin ROWS UNBOUNDED PRECEDING)) q, (VALUES (FALSE, 0), (TRUE, 1)) AS d(missing_left, m))
+, boost_best{s} AS MATERIALIZED (SELECT {r + 1} AS tree, node, feature, bin, bins, missing_left, gain, n_left, n_right,
+  -{step} * lg / (lh + {l2}) AS left_value, -{step} * rg / (rh + {l2}) AS right_value
+  FROM (SELECT *, lg * lg / (lh + {l2}) + rg * rg / (rh + {l2}) - g * g / (h + {l2}) AS gain FROM boost_cut{s} WHERE n_left >= {least} AND n_right >= {least}) q
+  WHERE gain > 1e-6 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, place, bin, missing_left) = 1)
+, boost_at{r}_{level + 1} AS MATERIALIZED (SELECT a.rid, CASE WHEN s.node IS NULL THEN a.node
+    WHEN CASE WHEN b.bin = -1 THEN s.missing_left WHEN s.feature IN ({known}) THEN list_contains(s.bins, b.bin) ELSE b.bin <= list_max(s.bins) END
+    THEN 2 * a.node ELSE 2 * a.node + 1 END AS node
+  FROM boost_at{s} a LEFT JOIN boost_best{s} s USING (node) LEFT JOIN boost_bins b ON b.rid = a.rid AND b.feature = s.feature)"""
+            splits.append(f"SELECT * FROM boost_best{s}")
+        own = " UNION ALL ".join(splits[-depth:])
+        out += f"""
+, boost_margins{r + 1} AS MATERIALIZED (SELECT m.rid, m.split, m.y, m.margin + coalesce(v.value, 0) AS margin
+  FROM boost_margins{r} m JOIN boost_at{r}_{depth} a USING (rid) LEFT JOIN (
+    SELECT 2 * node AS node, left_value AS value FROM ({own}) l UNION ALL SELECT 2 * node + 1, right_value FROM ({own}) l) v ON v.node = a.node)"""
+    return out + f"""
+, boost_splits AS (SELECT *, {names} AS name FROM ({' UNION ALL '.join(splits)}) q)
+, boost_margins AS (SELECT r.msno, r.feature_cutoff_date, r.is_churn, r.split, m.margin FROM boost_margins{rounds} m JOIN boost_rows r USING (rid))"""

@@ -7,14 +7,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stayline.functions.numbers import round_half_away
-from stayline.operators import health, labels, model, ranking, reads, splits, tiers
+from stayline.operators import boosting, health, labels, model, ranking, reads, splits, tiers
 from stayline.plans.monitoring import features_of_scored, run_performance
 from stayline.plans.scoring import scored_cohort as plan_scored_cohort
-from stayline.schemas import FEATURES
+from stayline.schemas import CATEGORICAL_FEATURES, FEATURES
 from stayline.session import scratch_path, stage
 from stayline.sources import writers
 from stayline.sources.readers import read_sql
-from workload.oracle import FEATURE_LIST, WITH, features_sql, metrics_sql
+from workload.oracle import FEATURE_LIST, WITH, boosting_sql, features_sql, metrics_sql
 from workload.q_cohort import LABELED, MONTH, TRAIN_MONTHS, train_labels, train_rows
 from workload.registry import query
 from workload.tables import Tables
@@ -281,6 +281,50 @@ def feature_importance(t: Tables) -> DataFrame:
     return shares.select("feature", (F.col("importance") >= 0).alias("not_negative"), total.alias("sums_to_one"))
 
 
+# Two trees are fitted here and in SQL: the second one follows the leaves of the first.
+BOOSTING = boosting.Boosting(rounds=2, depth=3, bins=16, step=0.3)
+BOOSTED = WITH + boosting_sql(
+    FEATURES, CATEGORICAL_FEATURES, BOOSTING.rounds, BOOSTING.depth, BOOSTING.bins, BOOSTING.step, BOOSTING.l2, BOOSTING.min_rows
+)
+
+
+def _boosted(t: Tables):
+    rows = stage(splits.split_3way(train_rows(t), months=TRAIN_MONTHS), "split-features")
+    return rows, boosting.fit_boosted(rows.where("split <> 'val'"), BOOSTING)
+
+
+@query(BOOSTED + f"""
+SELECT tree, node, name AS feature, CASE WHEN s.feature NOT IN ({", ".join(str(FEATURES.index(c)) for c in CATEGORICAL_FEATURES)}) THEN (
+    SELECT e.edge FROM boost_edges e WHERE e.feature = s.feature
+    AND (SELECT count(*) FROM boost_edges f WHERE f.feature = s.feature AND f.edge < e.edge) = list_max(s.bins)) END AS cut,
+  (SELECT string_agg(CAST(CAST(k.edge AS BIGINT) AS VARCHAR), ',' ORDER BY k.edge) FROM boost_known k WHERE k.feature = s.feature AND list_contains(s.bins, k.bin)) AS left_values,
+  missing_left, round(gain, 6) AS gain, CAST(n_left AS BIGINT) AS n_left, CAST(n_right AS BIGINT) AS n_right, round(left_value, 8) AS left_value, round(right_value, 8) AS right_value
+FROM boost_splits s""")
+def boosted_splits(t: Tables) -> DataFrame:
+    """Every split of the fitted trees, with its gain and the values of its children."""
+    found = boosting.splits_table(*_boosted(t))
+    listed = F.array_join(F.transform("left_values", lambda v: v.cast("bigint").cast("string")), ",")
+    return r8(found.withColumns({"left_values": listed, "gain": round_half_away(F.col("gain"), 6)}), "left_value", "right_value")
+
+
+@query(BOOSTED + """
+SELECT msno, feature_cutoff_date, is_churn, round(1.0 / (1.0 + exp(-margin)), 8) AS score FROM boost_margins WHERE split = 'test'""")
+def boosted_scores(t: Tables) -> DataFrame:
+    """Scores of the test split."""
+    rows, fitted = _boosted(t)
+    scored = boosting.score_boosted(rows.where("split = 'test'"), fitted)
+    return r8(scored.select("msno", "feature_cutoff_date", "is_churn", "score"), "score")
+
+
+@query(BOOSTED + """
+, boost_gain AS (SELECT name, sum(gain) AS gain FROM boost_splits GROUP BY name)
+SELECT f.feature, round(coalesce(g.gain, 0) / (SELECT sum(gain) FROM boost_gain), 8) AS importance
+FROM (SELECT unnest([""" + ", ".join(repr(c) for c in FEATURES) + """]) AS feature) f LEFT JOIN boost_gain g ON g.name = f.feature""")
+def boosted_importance(t: Tables) -> DataFrame:
+    """Each feature's share of the gain of all splits."""
+    return r8(boosting.gain_shares(*_boosted(t)), "importance")
+
+
 @query(WITH + """
 SELECT msno, feature_cutoff_date, round(1 / (1 + exp(-(coalesce(cancel_rate, 0.5) * 4 - CAST(coalesce(n_txn, 0) AS DOUBLE) / 20))), 8) AS score
 FROM tset""")
