@@ -91,26 +91,32 @@ def stitch(parts: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]], len
     out: list[np.ndarray] = []
     start, end, bounds, upto, ids = parts[0]
     settled, used = start, 0  # the text up to ``settled`` is encoded; ``used`` ids of this chunk are out
-    for nxt in parts[1:]:
+    waiting: list[str] = []  # text from ``settled`` to ``end`` that is yet to be split again
+    for i, nxt in enumerate(parts[1:], 1):
         n_start, n_end, n_bounds, n_upto, n_ids = nxt
-        shared = np.intersect1d(bounds, n_bounds, assume_unique=True)
-        shared = shared[(shared > max(settled, n_start)) & (shared <= end - TAIL)] if end < length else shared[shared > settled]
-        if len(shared):
-            cut = int(shared[0])
-            here = int(upto[np.searchsorted(bounds, cut)])
-            out.append(ids[used:here])
-            settled, used = cut, int(n_upto[np.searchsorted(n_bounds, cut)])
-            start, end, bounds, upto, ids = nxt
-        else:
-            # No common boundary: split both chunks' text again, from the last settled boundary on.
-            raw = coder.decode(ids[used:])
-            overlap = end - max(n_start, settled)
-            tail = coder.decode(n_ids).decode()[max(0, settled - n_start) :]
-            text = raw.decode()[: len(raw.decode()) - overlap] + tail if overlap > 0 else raw.decode() + tail
+        if not waiting:
+            shared = np.intersect1d(bounds, n_bounds, assume_unique=True)
+            shared = shared[(shared > max(settled, n_start)) & (shared <= end - TAIL)] if end < length else shared[shared > settled]
+            if len(shared):
+                cut = int(shared[0])
+                here = int(upto[np.searchsorted(bounds, cut)])
+                out.append(ids[used:here])
+                settled, used = cut, int(n_upto[np.searchsorted(n_bounds, cut)])
+                start, end, bounds, upto, ids = nxt
+                continue
+            waiting = [coder.decode(ids[used:]).decode()]
+            split_again = 2 * len(waiting[0])
+        # No common boundary: both chunks' text is split again from the last settled boundary on. A
+        # pre-token may cover many chunks, so this waits until the text is twice what was split last.
+        waiting.append(coder.decode(n_ids).decode()[end - n_start :])
+        end = n_end
+        if end - settled >= split_again or i == len(parts) - 1:
+            text = "".join(waiting)
+            waiting, start, used = [], settled, 0
             bounds = coder.boundaries(text) + settled
             pieces = [coder.encode(text[a - settled : b - settled]) for a, b in zip(np.concatenate(([settled], bounds[:-1])), bounds)]
             upto = np.cumsum([len(p) for p in pieces])
-            ids, start, end, used = np.concatenate(pieces), settled, n_end, 0
+            ids = np.concatenate(pieces)
     out.append(ids[used:])
     return np.concatenate(out)
 

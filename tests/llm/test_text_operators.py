@@ -152,6 +152,18 @@ def test_stitched_chunks_equal_the_library(vocabulary):
         assert bpe.stitch(parts, len(text), coder).tolist() == coder.encoding.encode_ordinary(text), k
 
 
+@pytest.mark.parametrize("unit", ["a", " ", "7", "é"])
+def test_one_long_run_is_split_a_bounded_number_of_times(vocabulary, monkeypatch, unit):
+    coder, split = vocabulary.codec, []
+    text = "before " + unit * 400_000 + " after"
+    parts = [(a, b, *bpe._encode_chunk(text[a:b], a, coder)) for a, b in bpe.chunk_spans(len(text), 4096, 512)]
+    whole = coder.encoding.encode_ordinary(text)
+    plain = coder.boundaries
+    monkeypatch.setattr(coder, "boundaries", lambda t: split.append(len(t)) or plain(t))
+    assert bpe.stitch(parts, len(text), coder).tolist() == whole
+    assert sum(split) <= 4 * len(text)
+
+
 def test_chunked_documents_and_decoding(spark, docs_of, vocabulary):
     texts = ["", "short text", "long words and " * 400, "a" * 5000, " " * 3000 + "x", "日本語 " * 900, "long words and " * 400]
     docs = docs_of([(i, t) for i, t in enumerate(texts)] + [(1, "short text"), (2, texts[2]), (None, texts[2]), (9, None)])
