@@ -8,7 +8,8 @@ a window that holds all of a template of t shingles has similarity of at least
 t / (SIZE - 2), and meets it in some band with probability 1 - (1 - t / (SIZE - 2)) ** BANDS,
 which is over 1 - 1e-8 for the shortest template here; a window that just meets
 ``CONTAINED`` shares no fewer shingles. A retrieved template counts if the window contains at least that share of
-its shingles, counted exactly.
+its shingles, counted exactly, and all that name the license: those with a number and those that begin with a
+word of ``NAMING``. Licenses that differ in a version or one word of their name are so told apart.
 
 Windows that have no rare word of any template (``signal_words``) can't contain enough of
 one, and are skipped before they are sketched; this never changes the result.
@@ -31,20 +32,54 @@ from stayline.llm.batches import documents
 
 SIZE, STRIDE, SHINGLE, BANDS, CONTAINED = 24, 8, 3, 128, 0.85
 
-# The notices by which texts name their license, as the licenses word them.
+# Words after which the GNU licenses differ.
+NAMING = ("gnu", "lesser", "affero")
+
+# The notices by which texts name their license, and passages of licenses that stand in no other
+# one here, as the licenses word them.
 TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0.",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed",
+    ],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+    ],
+    "GPL-3.0": [
+        "This work is licensed under the GNU General Public License, version 3.",
+        "GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "Lesser General Public License as published by the Free Software Foundation, either version 3 of the",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of the",
     ],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3."],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
     "MPL-2.0": ["subject to the terms of the Mozilla Public License, v. 2.0."],
-    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted"],
+    "EPL-2.0": ["made available under the terms of the Eclipse Public License 2.0"],
+    "BSD": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to",
+    ],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose"],
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "Zlib": ["Altered source versions must be plainly marked as such, and must not be misrepresented as being"],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
+    ],
     "CC0-1.0": ["dedicated to the public domain under CC0 1.0 Universal."],
     "CC-BY-4.0": ["Licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
@@ -73,6 +108,11 @@ def needed(shingles: int) -> int:
     return -int(-shingles * CONTAINED // 1)
 
 
+def naming(shingles: list[str]) -> list[str]:
+    """Shingles that a window must have in any case."""
+    return [s for s in shingles if s.split()[0] in NAMING or any(w.isdigit() for w in s.split())]
+
+
 def signal_words() -> list[str]:
     """Words of which every window that contains enough of any template has at least one.
 
@@ -122,9 +162,10 @@ def windows(docs: DataFrame) -> DataFrame:
 
 
 def _templates(spark: SparkSession) -> DataFrame:
-    """(template, license, wanted, needed, sketch): one row per template, whatever the corpus."""
+    """(template, license, wanted, needed, named, sketch): one row per template, whatever the corpus."""
     rows = [
-        f"SELECT {n} AS template, '{name}' AS license, array({', '.join(repr(s) for s in shingles)}) AS wanted, {needed(len(shingles))} AS needed"
+        f"SELECT {n} AS template, '{name}' AS license, array({', '.join(repr(s) for s in shingles)}) AS wanted, {needed(len(shingles))} AS needed,"
+        f" CAST(array({', '.join(repr(s) for s in naming(shingles))}) AS array<string>) AS named"
         for n, name, shingles in template_shingles()
     ]
     table = spark.sql(" UNION ALL ".join(rows))
@@ -139,11 +180,11 @@ def find_licenses(docs: DataFrame) -> DataFrame:
     sketched = windows(docs).withColumn("sketch", _sketch(F.transform("shingles", lambda s: F.xxhash64(s))))
     met = sketched.select("doc_id", "first", "shingles", F.posexplode("sketch").alias("band", "value")).join(bands, ["band", "value"])
     # A window meets a template in several bands; counting shared shingles once more is harmless, as only extremes are kept.
-    checked = met.join(F.broadcast(known.select("template", "license", "wanted", "needed")), "template").withColumn(
+    checked = met.join(F.broadcast(known.select("template", "license", "wanted", "needed", "named")), "template").withColumn(
         "shared", F.size(F.array_intersect("wanted", "shingles"))
     )
     return (
-        checked.where("shared >= needed")
+        checked.where((F.col("shared") >= F.col("needed")) & (F.size(F.array_except("named", "shingles")) == 0))
         .groupBy("doc_id", "license")
         .agg(
             F.max(F.col("shared").cast("double") / F.size("wanted")).alias("containment"),
@@ -155,9 +196,9 @@ def find_licenses(docs: DataFrame) -> DataFrame:
 
 def oracle_sql() -> str:
     """Every window of every text against every template, without sketches."""
-    values = ", ".join(f"('{name}', [{', '.join(repr(s) for s in sh)}], {needed(len(sh))})" for _, name, sh in template_shingles())
+    values = ", ".join(f"('{name}', [{', '.join(repr(s) for s in sh)}], {needed(len(sh))}, CAST([{', '.join(repr(s) for s in naming(sh))}] AS VARCHAR[]))" for _, name, sh in template_shingles())
     return f"""
-    WITH t(license, wanted, needed) AS (VALUES {values}
+    WITH t(license, wanted, needed, named) AS (VALUES {values}
     ), w AS (
       SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+'), lambda x: x <> '') AS words FROM documents
@@ -167,7 +208,7 @@ def oracle_sql() -> str:
         lambda i: array_to_string(words[i:i + {SHINGLE - 1}], ' '))) AS shingles FROM p
     ), m AS (
       SELECT doc_id, license, first, len(list_intersect(wanted, shingles)) AS shared, len(wanted) AS n, needed
-      FROM s, t WHERE list_has_any(shingles, wanted)
+      FROM s, t WHERE list_has_any(shingles, wanted) AND list_has_all(shingles, named)
     )
     SELECT doc_id, license, max(CAST(shared AS DOUBLE) / n) AS containment, count(DISTINCT first) AS n_windows, min(first) AS first_word
     FROM m WHERE shared >= needed GROUP BY doc_id, license

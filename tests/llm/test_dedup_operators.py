@@ -152,6 +152,25 @@ def test_licenses_equal_brute_force(docs_of, odd_docs, no_docs):
     assert licenses.find_licenses(no_docs).count() == 0 and licenses.find_licenses(odd_docs).count() == 0
 
 
+def test_versions_and_siblings_are_told_apart(docs_of):
+    gnu = "This work is licensed under the GNU {} General Public License, version {}."
+    free = "under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or later"
+    texts = {
+        gnu.format("", "2"): {"GPL-2.0"}, gnu.format("", "3"): {"GPL-3.0"}, gnu.format("", "4"): set(),
+        gnu.format("Lesser", "2.1"): {"LGPL-2.1"}, gnu.format("Lesser", "3"): {"LGPL-3.0"}, gnu.format("Lesser", "2"): set(),
+        gnu.format("Affero", "3"): {"AGPL-3.0"}, gnu.format("Library", "2"): set(),
+        free.format("", "2"): {"GPL-2.0"}, free.format("", "3"): {"GPL-3.0"}, free.format("Lesser ", "2.1"): {"LGPL-2.1"},
+        free.format("Lesser ", "3"): {"LGPL-3.0"}, free.format("Affero ", "3"): {"AGPL-3.0"},
+        "Licensed under the Apache License, Version 1.1.": set(), "Licensed under CC BY-NC-SA 4.0.": set(), "Licensed under CC BY-SA 3.0.": set(),
+    }
+    found = licenses.find_licenses(docs_of(list(enumerate(texts)))).collect()
+    for i, (text, wanted) in enumerate(texts.items()):
+        assert {r.license for r in found if r.doc_id == i} == wanted, text
+    alone = [(f"{name}/{k}", text) for name, notices in licenses.TEMPLATES.items() for k, text in enumerate(notices)]
+    found = licenses.find_licenses(docs_of([(i, text) for i, (_, text) in enumerate(alone)])).collect()
+    assert {r.doc_id: r.license for r in found} == {i: name.split("/")[0] for i, (name, _) in enumerate(alone)} and len(found) == len(alone)
+
+
 def test_license_plan_is_native(docs_of):
     for df in (licenses.find_licenses(docs_of([(1, "x")])), lines.cut_repeats(docs_of([(1, "x")]))):
         plan = df._jdf.queryExecution().executedPlan().toString()
