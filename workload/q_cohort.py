@@ -10,7 +10,7 @@ from stayline.operators.pit import staged_cohort
 from stayline.plans.dataset import build_dataset, labeled_features
 from stayline.schemas import FEATURES
 from stayline.session import scratch_path, stage
-from stayline.sources import readers
+from stayline.sources import readers, writers
 from workload.oracle import FEATURE_LIST, WITH, features_sql, day, psi_sql
 from workload.q_profile import stack
 from workload.registry import query
@@ -177,18 +177,29 @@ def cohort_agreement(t: Tables) -> DataFrame:
 
 
 @query(WITH + """
-SELECT count(*) AS matched_users, count(*) FILTER (WHERE d.is_churn = t.is_churn) AS agree,
-  count(*) FILTER (WHERE d.is_churn <> t.is_churn) AS disagree,
-  round(100.0 * count(*) FILTER (WHERE d.is_churn = t.is_churn) / count(*), 4) AS agree_pct,
-  count(*) FILTER (WHERE d.is_churn = 1 AND t.is_churn = 0) AS derived1_train0,
-  count(*) FILTER (WHERE d.is_churn = 0 AND t.is_churn = 1) AS derived0_train1,
-  round(100.0 * avg(d.is_churn), 4) AS derived_churn_pct, round(100.0 * avg(t.is_churn), 4) AS train_churn_pct
-FROM labels03_raw d JOIN sub_train t ON t.msno = d.msno""")
+SELECT derived, official, users, agrees, round(100.0 * users / sum(users) OVER (), 4) AS share_pct,
+  round(100.0 * users / sum(users) OVER (PARTITION BY derived), 4) AS row_pct
+FROM (SELECT d.is_churn AS derived, t.is_churn AS official, d.is_churn = t.is_churn AS agrees, count(*) AS users
+  FROM labels03_raw d JOIN sub_train t ON t.msno = d.msno GROUP BY ALL) q""")
 def label_agreement(t: Tables) -> DataFrame:
     derived = labels.month_labels(t.transactions, MONTH, LABELED, drop_backdated=False)
     return agreement.label_agreement(derived, t.train)
 
 
+@query(WITH + """
+SELECT k.kind, l.* FROM labels03 l, (VALUES ('csv'), ('parquet')) AS k(kind)""")
+def labels_by_source_kind(t: Tables) -> DataFrame:
+    """The month's labels from transactions kept as CSV and as Parquet, through the one loader."""
+    root = scratch_path(t.spark, "sources")
+    writers.write_csv(t.transactions, f"{root}/csv/{readers.CSV_FILES['transactions']}")
+    t.transactions.write.parquet(f"{root}/parquet/transactions")
+    kinds = []
+    for kind in ("csv", "parquet"):
+        txn = readers.load_sources(t.spark, kind, f"{root}/{kind}", ("transactions",))["transactions"]
+        kinds.append(labels.month_labels(txn, MONTH, LABELED).select(F.lit(kind).alias("kind"), "*"))
+    return kinds[0].unionByName(kinds[1])
+
+
 LATEST = """
 , latest AS (
   SELECT DISTINCT ON (x.msno) x.* FROM sub_transactions x SEMI JOIN sub_train USING (msno)
