@@ -16,15 +16,14 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import tiktoken
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -36,18 +35,40 @@ TAIL = 64  # a chunk's boundaries this close to its cut end are not trusted
 
 
 class Codec:
-    """A vocabulary of ranks and the pattern that splits text before merging."""
+    """A vocabulary of ranks and the pattern that splits text before merging.
+
+    Several worker processes of an executor hold one at a time, so each part is made when it
+    is first used: a worker that only decodes has no tokenizer, one that only encodes no tokens.
+    """
 
     def __init__(self, ranks: bytes, pattern: str):
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.pattern = regex.compile(pattern)
-        size = max(table.values()) + 1
-        tokens = [b""] * size
+        self._ranks, self._pattern = ranks, pattern
+
+    def _table(self) -> dict[bytes, int]:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, self._ranks.splitlines())}
+
+    @cached_property
+    def encoding(self) -> tiktoken.Encoding:
+        return tiktoken.Encoding("ranks", pat_str=self._pattern, mergeable_ranks=self._table(), special_tokens={})
+
+    @cached_property
+    def pattern(self) -> regex.Pattern:
+        return regex.compile(self._pattern)
+
+    @cached_property
+    def tokens(self) -> np.ndarray:
+        table = self._table()
+        tokens = [b""] * (max(table.values()) + 1)
         for token, rank in table.items():
             tokens[rank] = token
-        self.tokens = np.array(tokens, object)
-        self.sizes = np.fromiter(map(len, tokens), np.int64, size)
+        return np.array(tokens, object)
+
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        table = self._table()
+        sizes = np.zeros(max(table.values()) + 1, np.int64)
+        sizes[list(table.values())] = list(map(len, table))
+        return sizes
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.encoding.encode_ordinary(text), np.int32)
@@ -150,9 +171,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap:
             )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # ``row`` names a row by its task's partition and place, the same when the task runs again.
+        part, n = TaskContext.get().partitionId(), 0
         for batch in small(batches):
-            for doc, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text"))):
+            for doc, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
                 spans = chunk_spans(len(text), chunk, overlap)
+                row, n = f"{part}-{n}", n + 1
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": pa.array([doc] * len(spans), pa.int64()), "row": [row] * len(spans),
@@ -174,41 +198,27 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap:
                 names=["doc_id", "row", "start", "size", "stop", "bounds", "upto", "ids"],
             )
 
-    def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("start")
+    def join(text: pa.Table) -> pa.Table:
+        text = text.sort_by("start")
+        start, stop, bounds, upto, ids = (text.column(c).to_pylist() for c in ("start", "stop", "bounds", "upto", "ids"))
         parts = [
-            (r.start, r.stop, np.frombuffer(r.bounds, np.int64), np.frombuffer(r.upto, np.int64), np.frombuffer(r.ids, np.int32))
-            for r in pdf.itertuples()
+            (a, b, np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), np.frombuffer(z, np.int32))
+            for a, b, x, y, z in zip(start, stop, bounds, upto, ids)
         ]
-        ids = stitch(parts, int(pdf["size"].iloc[0]), vocabulary.codec)
-        return pd.DataFrame({"doc_id": pdf["doc_id"].iloc[:1].astype("Int64"), "ids": [ids]})
+        whole = stitch(parts, text.column("size")[0].as_py(), vocabulary.codec)
+        return pa.table({"doc_id": text.column("doc_id")[:1], "ids": pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), pa.array(whole))})
 
     short = texts.where(~long_text).mapInArrow(whole, "doc_id bigint, ids array<int>")
     # ``row`` tells repeated rows apart; it lives within this query only.
-    chunks = (
-        texts.where(long_text)
-        .mapInArrow(_numbered, "doc_id bigint, row string, text string")
-        .mapInArrow(cut, "doc_id bigint, row string, start bigint, size bigint, text string")
-    )
+    chunks = texts.where(long_text).mapInArrow(cut, "doc_id bigint, row string, start bigint, size bigint, text string")
     spread = chunks.repartition("row", "start")
     encoded = spread.mapInArrow(
         pieces, "doc_id bigint, row string, start bigint, size bigint, stop bigint, bounds binary, upto binary, ids binary"
     )
-    stitched = encoded.groupBy("row").applyInPandas(join, "doc_id bigint, ids array<int>")
+    stitched = encoded.groupBy("row").applyInArrow(join, "doc_id bigint, ids array<int>")
     return short.unionByName(stitched)
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A name for each row from its task's partition and place, the same when the task runs again."""
-    from pyspark import TaskContext
-
-    part, n = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        names = [f"{part}-{n + i}" for i in range(batch.num_rows)]
-        n += batch.num_rows
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), batch.column("text")], names=["doc_id", "row", "text"])
-
-
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", raw: str = "raw") -> DataFrame:
     """The rows with the column ``raw``: the bytes of the ids, one after another (null for null ids)."""
 

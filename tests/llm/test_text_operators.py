@@ -3,8 +3,11 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -176,6 +179,20 @@ def test_chunked_documents_and_decoding(spark, docs_of, vocabulary):
         assert list(r.ids) == vocabulary.codec.encoding.encode_ordinary(bytes(r.raw).decode())
 
 
+def test_a_worker_holds_only_what_it_uses(docs_of, vocabulary):
+    """Executors hold several workers: one that decodes makes no tokenizer, and none loads pandas."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        coder = bpe.Codec(f.read(), public_tokenizers.PATTERN)
+    ids = vocabulary.codec.encode("short text")
+    assert coder.decode(ids) == b"short text" and "encoding" not in vars(coder)
+    loaded = subprocess.run(
+        [sys.executable, "-c", "import sys, stayline.llm.bpe; print('pandas' in sys.modules)"], capture_output=True, text=True, cwd=Path(__file__).parents[2]
+    )
+    assert loaded.stdout.strip() == "False", loaded.stderr
+    plan = bpe.encode(docs_of([(1, "long words and " * 4000)]), vocabulary)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 3 and "InPandas" not in plan
+
+
 def test_bpe_query_digests(spark, vocabulary):
     folder = "/root/testdata/sf0.001"
     got = {r.doc_id: r for r in entry.queries()["op4_byte_bpe"](spark, folder).collect()}
