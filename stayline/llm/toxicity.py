@@ -4,20 +4,21 @@ Words are lower-cased runs of letters, digits and non-ASCII characters. Two mode
 counted, of the toxic and of the ordinary labelled rows:
 
 * a word's chance in a class is its discounted count in the class, plus the class's
-  discounted mass times a backoff chance that both classes share: the share of the word in
-  the (word, document) pairs of all labelled rows, so a word counts by the texts it occurs
-  in, as Kneser-Ney counts contexts;
+  discounted mass times a backoff chance that both classes share: the word's share of the
+  distinct (context, word) pairs of all labelled rows, a context being the word before or a
+  text's begin. All pairs of both classes are counted for it, those seen once too;
 * a word after another has its discounted pair count, plus the pair model's rest times the
   word's chance.
 
 Expressions whose document counts show no difference between the classes (a likelihood-ratio
 statistic below ``Fit.evidence``), rare ones above all, keep only what the classes share, so
-they add nothing; pairs enter if toxic rows hold them ``Fit.least_pair`` times. A text's score
+they add nothing; pairs enter if the rows of a class hold them ``Fit.least_pair`` times. With
+``Fit.contexts`` off, texts stand in for contexts, and only pairs of toxic rows are counted. A text's score
 compares its two log-likelihoods, divided by a power of its length, through a logistic curve.
 
 All labelled rows that are neither held out nor in the calibration fold are counted, at any
 size, in shuffled tables; expressions are named by 64-bit hashes. Documents meet the table by
-the keys of their chunks (``lookup``). Only two filters of ``FILTER_BITS`` are broadcast: they
+the keys of their chunks (``lookup``). Only filters of ``FILTER_BITS`` are broadcast: they
 spare most keys the shuffle and change no result. The curve (three numbers) is fitted to a
 sample of at most ``Fit.rows`` labelled rows of the calibration fold, taken by a hash of the id.
 
@@ -47,13 +48,17 @@ FILTER_BITS = 1 << 25  # 4 MB, whatever the corpus
 PROBES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)  # fixed odd numbers
 SLICE = 4 << 20  # bytes of text counted at a time
 FOLDS, CALIBRATION = 5, 1  # fold 0 is held out
+START = 0  # stands for the word before a text's first
 
 _KEPT = bytes(c if chr(c).isalnum() or c >= 0x80 else 0x20 for c in range(256))
 
 
 @dataclass(frozen=True)
 class Fit:
-    """``rows``: the most rows that the curve is fitted to; ``evidence``: 10.83 is met by chance once in a thousand."""
+    """``rows``: the most rows that the curve is fitted to; ``evidence``: 10.83 is met by chance once in a thousand.
+
+    ``contexts``: back off by the distinct words before a word, counted over all pairs.
+    """
 
     rows: int = 20_000
     discount: float = 0.75
@@ -61,6 +66,10 @@ class Fit:
     least_pair: int = 2
     powers: tuple[float, ...] = (0.25, 0.5, 0.75, 1.0)
     ridge: float = 1e-3
+    contexts: bool = False
+
+
+KNESER_NEY = Fit(contexts=True)
 
 
 class Tokens:
@@ -147,15 +156,68 @@ def _by_document(keys: np.ndarray, text_of: np.ndarray) -> np.ndarray:
     return out
 
 
-COUNTS = "key bigint, first bigint, second bigint, n_t bigint, n_o bigint, d_t bigint, d_o bigint"
+SUMS = ("n_t", "n_o", "d_t", "d_o")
+FOUND = "first bigint, second bigint, n_t bigint, n_o bigint, d_t bigint, d_o bigint, w_t bigint, w_o bigint"
+COUNTS = "key bigint, first bigint, second bigint, n_t bigint, n_o bigint, d_t bigint, d_o bigint, contexts bigint"
 
 
 def count_expressions(rows: DataFrame, p: Fit = Fit()) -> DataFrame:
     """Stored counts of the words and of the admitted pairs of ``rows`` (text, toxic).
 
     ``n_t`` and ``n_o`` are occurrences in toxic and ordinary rows, ``d_t`` and ``d_o`` rows;
-    ``first`` and ``second`` are the words of a pair, null for a word.
+    ``first`` and ``second`` are the words of a pair, null for a word. ``contexts`` is what a
+    word's backoff share is counted in: the distinct words before it, a text's begin among
+    them, or the rows without ``p.contexts``.
     """
+    admitted = None if p.contexts else _toxic_pairs(rows, p)
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches, most=SLICE):
+            tokens = Tokens(batch.column("text").to_pylist())
+            is_toxic = batch.column("toxic").to_numpy().astype(float)
+            new, (at, key) = _by_document(tokens.keys, tokens.text_of), tokens.pairs()
+            if admitted is None:
+                begin = np.flatnonzero(np.diff(tokens.text_of, prepend=-1))
+                first, place = np.concatenate((tokens.keys[at], np.full(len(begin), START, np.int64))), np.concatenate((at + 1, begin))
+                found = [(pair_key(first, tokens.keys[place]), first, place)]
+            else:
+                at, key = at[keep := passes(admitted.value, key)], key[keep]
+                found = [(tokens.keys, None, np.arange(len(tokens.keys))), (key, tokens.keys[at], at + 1)]
+            for keys, first, place in found:
+                owner = tokens.text_of[place]
+                t, once, w = is_toxic[owner], _by_document(keys, owner), new[place]
+                distinct, one, sums = _summed(keys, t, 1 - t, t * once, (1 - t) * once, t * w, (1 - t) * w)
+                words = [pa.nulls(len(distinct), pa.int64()) if first is None else pa.array(first[one]), pa.array(tokens.keys[place[one]])]
+                yield pa.RecordBatch.from_arrays([*words, *map(pa.array, sums)], names=[x.split()[0] for x in FOUND.split(", ")])
+
+    found = rows.select("text", "toxic").mapInArrow(counts, FOUND).groupBy("first", "second")
+    sums = found.agg(*[F.sum(c).alias(c) for c in ("n_t", "n_o", "w_t", "w_o", "d_t", "d_o")])
+    if not p.contexts:
+        kept = sums.where(F.col("first").isNull() | (F.col("n_t") >= p.least_pair)).select("first", "second", *SUMS, (F.col("d_t") + F.col("d_o")).alias("contexts"))
+        return stage(kept.mapInArrow(_keyed, COUNTS), "expressions")
+    # Each occurrence of a word ends one pair, the first one in a text too (``w_t`` and ``w_o``), so words are sums of
+    # pairs. Both branches read all sums and filter no grouped column, so that they share one shuffle of the pairs.
+    words = sums.groupBy("second").agg(
+        F.sum("n_t").alias("n_t"), F.sum("n_o").alias("n_o"), F.sum("w_t").alias("d_t"), F.sum("w_o").alias("d_o"),
+        F.count_if(F.col("d_t") + F.col("d_o") > 0).alias("contexts"),
+    )
+    most = F.greatest("n_t", "n_o") * (F.coalesce("first", F.lit(START)) != START).cast("bigint") + F.least(F.col("w_t") + F.col("w_o"), F.lit(0))
+    pairs = sums.where(most >= p.least_pair).select("first", "second", *SUMS, F.lit(None).cast("bigint").alias("contexts"))
+    kept = words.select(F.lit(None).cast("bigint").alias("first"), "second", *SUMS, "contexts").unionByName(pairs)
+    return stage(kept.mapInArrow(_keyed, COUNTS), "expressions")
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the keys of their words or pairs."""
+    for batch in batches:
+        first, second, *others = batch.columns
+        word, second = first.is_null().to_numpy(zero_copy_only=False), second.to_numpy()
+        key = np.where(word, second, pair_key(first.fill_null(START).to_numpy(), second))
+        yield pa.RecordBatch.from_arrays([pa.array(key), first, pa.array(second, mask=word), *others], names=[x.split()[0] for x in COUNTS.split(", ")])
+
+
+def _toxic_pairs(rows: DataFrame, p: Fit) -> Broadcast[np.ndarray]:
+    """A filter of the pairs that toxic rows hold often enough."""
 
     def toxic_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches, most=SLICE):
@@ -164,25 +226,7 @@ def count_expressions(rows: DataFrame, p: Fit = Fit()) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"key": distinct, "n": n})
 
     toxic = rows.where("toxic = 1").select("text").mapInArrow(toxic_pairs, "key bigint, n bigint")
-    admitted = key_filter(toxic.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= p.least_pair))
-
-    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches, most=SLICE):
-            tokens = Tokens(batch.column("text").to_pylist())
-            is_toxic = batch.column("toxic").to_numpy().astype(float)
-            at, key = tokens.pairs()
-            keep = passes(admitted.value, key)
-            at, key = at[keep], key[keep]
-            for keys, text_of, pair in ((tokens.keys, tokens.text_of, False), (key, tokens.text_of[at], True)):
-                t, once = is_toxic[text_of], _by_document(keys, text_of)
-                distinct, place, sums = _summed(keys, t, 1 - t, t * once, (1 - t) * once)
-                none = pa.nulls(len(distinct), pa.int64())
-                words = [pa.array(tokens.keys[at[place] + i]) for i in (0, 1)] if pair else [none, none]
-                yield pa.RecordBatch.from_arrays([pa.array(distinct), *words, *map(pa.array, sums)], names=[x.split()[0] for x in COUNTS.split(", ")])
-
-    found = rows.select("text", "toxic").mapInArrow(counts, COUNTS).groupBy("key", "first", "second")
-    sums = found.agg(*[F.sum(c).alias(c) for c in ("n_t", "n_o", "d_t", "d_o")])
-    return stage(sums.where(F.col("first").isNull() | (F.col("n_t") >= p.least_pair)), "expressions")
+    return key_filter(toxic.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= p.least_pair))
 
 
 def _evidence(t: Column, o: Column, all_t: int, all_o: int) -> Column:
@@ -205,12 +249,12 @@ def expression_values(counts: DataFrame, all_t: int, all_o: int, p: Fit = Fit())
     """
     words = counts.where("first IS NULL")
     total = words.agg(
-        *[F.sum(c).alias(c) for c in ("n_t", "n_o")], F.sum(F.col("d_t") + F.col("d_o")).alias("held"),
+        *[F.sum(c).alias(c) for c in ("n_t", "n_o")], F.sum("contexts").alias("held"),
         F.count_if(F.col("n_t") > 0).alias("kinds_t"), F.count_if(F.col("n_o") > 0).alias("kinds_o"),
     ).first()
     if not (total.n_t and total.n_o):
         return counts.select("key", F.lit(0.0).alias("value")).limit(0)
-    shared = (F.col("d_t") + F.col("d_o")) / F.lit(float(total.held))
+    shared = F.col("contexts") / F.lit(float(total.held))
     tells = (_evidence(F.col("d_t"), F.col("d_o"), all_t, all_o) >= p.evidence).alias("tells")
 
     def less(n: str) -> Column:
@@ -347,7 +391,7 @@ def differences(docs: DataFrame, values: DataFrame) -> DataFrame:
     return stage(ready.mapInArrow(run, "doc_id bigint, n_words bigint, difference double"), "differences")
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, p: Fit = Fit(), threshold: float = 0.5) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, p: Fit = KNESER_NEY, threshold: float = 0.5) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row, learnt from the labelled rows of the other folds."""
     marked = stage(labelled(labels), "toxic-labels")
     learnt = marked.where(fold() > CALIBRATION)

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -290,6 +291,55 @@ def test_toxic_differences_equal_plain_models(spark):
     assert values.where("abs(value) > 0.5").count() > 3
 
 
+def test_kneser_ney_backs_off_by_contexts_of_all_pairs(spark):
+    """Distinct words before a word, pairs of ordinary rows and pairs seen once all count, and enter the values."""
+    rng = random.Random(6)
+    rows = [("calm sea " * rng.randint(0, 2) + " ".join(rng.choice(["good", "day", "sea", "vile", "rat"]) for _ in range(rng.randint(0, 6))), 0) for _ in range(60)]
+    rows += [("you vile rat " + " ".join(rng.choice(["good", "rat", "vile"]) for _ in range(rng.randint(0, 6))), 1) for _ in range(25)]
+    p = toxicity.Fit(evidence=3.0, contexts=True)
+    counts = toxicity.count_expressions(spark.createDataFrame(rows, "text string, toxic int").repartition(3), p)
+    n, d, before = [Counter(), Counter()], [Counter(), Counter()], defaultdict(set)
+    for text, toxic in rows:
+        words = plain_words(text)
+        pairs = list(zip(words, words[1:]))
+        n[toxic].update(words + pairs)
+        d[toxic].update(set(words) | set(pairs))
+        for u, w in zip([None, *words], words):
+            before[w].add(u)
+    name = lambda w: int(np.array([xxhash.xxh64_intdigest(w)], np.uint64).view(np.int64)[0])
+    key = lambda x: name(x) if isinstance(x, str) else int(toxicity.pair_key(*(np.array([name(w)]) for w in x))[0])
+    kept = {x for x in n[0] | n[1] if isinstance(x, str) or max(n[0][x], n[1][x]) >= p.least_pair}
+    got = {r.key: r for r in counts.collect()}
+    assert {key(x) for x in kept} == set(got)
+    for x in kept:
+        r = got[key(x)]
+        assert (r.n_t, r.n_o, r.d_t, r.d_o) == (n[1][x], n[0][x], d[1][x], d[0][x])
+        assert r.contexts == (len(before[x]) if isinstance(x, str) else None)
+    assert any(not n[1][x] for x in kept if not isinstance(x, str))
+
+    size, held = (60, 25), sum(map(len, before.values()))
+    total, kinds = ([f(n[k][w] for w in before if n[k][w]) for k in (0, 1)] for f in (sum, lambda c: len(list(c))))
+
+    def tells(x):
+        cells = [(d[k][x], (d[0][x] + d[1][x]) * size[k] / 85) for k in (0, 1)]
+        cells += [(size[k] - d[k][x], (85 - d[0][x] - d[1][x]) * size[k] / 85) for k in (0, 1)]
+        return 2 * sum(a * math.log(a / e) for a, e in cells if a) >= p.evidence
+
+    def alone(w, k):
+        shared = len(before[w]) / held
+        return max(n[k][w] - p.discount, 0) / total[k] + p.discount * kinds[k] / total[k] * shared if tells(w) else shared
+
+    told = [x for x in kept if not isinstance(x, str) and tells(x)]
+    led = [{u: sum(max(n[k][x] - p.discount, 0) for x in told if x[0] == u) for u, _ in told} for k in (0, 1)]
+    rest = lambda u, k: 1 - led[k].get(u, 0) / n[k][u] if n[k][u] else 1.0
+    want = {key(w): math.log(alone(w, 1) / alone(w, 0) * rest(w, 1) / rest(w, 0)) for w in before if tells(w) or w in led[0]}
+    for u, w in told:
+        part = [(max(n[k][u, w] - p.discount, 0) / n[k][u] if n[k][u] else 0.0) / (rest(u, k) * alone(w, k)) + 1 for k in (0, 1)]
+        want[key((u, w))] = math.log(part[1] / part[0])
+    assert {r.key: r.value for r in toxicity.expression_values(counts, 25, 60, p).collect()} == pytest.approx(want, abs=1e-9)
+    assert any(want[key(x)] < 0 for x in told if not n[1][x])  # a pair that only ordinary rows hold
+
+
 def test_toxicity_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.1"
     scored = entry.queries()["op11_toxicity"](spark, folder)
