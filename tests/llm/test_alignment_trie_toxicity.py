@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -340,6 +341,28 @@ def test_kneser_ney_backs_off_by_contexts_of_all_pairs(spark):
     assert any(want[key(x)] < 0 for x in told if not n[1][x])  # a pair that only ordinary rows hold
 
 
+def test_pairs_with_equal_counts_and_second_word_stand_together():
+    class Rows:
+        """Keeps the function that counts."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            raise StopIteration
+
+    rows, words = Rows(), random.Random(3).choices([f"w{i}" for i in range(90)], k=4000)
+    with pytest.raises(StopIteration):
+        toxicity.count_expressions(rows, toxicity.KNESER_NEY)
+    texts = [" ".join(words[i : i + 40]) for i in range(0, 4000, 40)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "toxic": pa.array([i % 2 for i in range(len(texts))], pa.int32())})
+    (found,) = rows.run(iter([batch]))
+    alike = list(zip(*[found.column(c).to_pylist() for c in found.schema.names if c != "first"]))
+    assert sum(a != b for a, b in zip(alike, alike[1:])) == len(set(alike)) - 1
+    assert found.num_rows == len(set(zip(found.column("first").to_pylist(), found.column("second").to_pylist())))
+
+
 def test_toxicity_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.1"
     scored = entry.queries()["op11_toxicity"](spark, folder)
