@@ -162,3 +162,36 @@ def test_null_rates(make, one_cohort):
     assert len(rates) == 20
     assert rates["n_txn"] == (0.5, "transaction") and rates["log_days"] == (1.0, "usage")
     assert rates["tenure_days"] == (0.5, "member")
+
+
+def test_most_users_in_one_pass_as_by_joins(spark, make, skewed):
+    """Both ways give equal rows, also for NULL keys, repeated cohort rows and users on one side only."""
+    txn, cohort = skewed
+    rng = random.Random(11)
+    absent = lambda df: df.withColumn("msno", F.expr("nullif(msno, 'absent')"))
+    txn = absent(txn.unionByName(make.txn([("absent", 20170210, 20170312, 1), ("only paid", 20170210, 20170312, 0)])))
+    logs = make.logs(
+        [(rng.choice(["hot", "absent", "only used", f"u{i % 50}"]), 20170201 + rng.randrange(28), rng.choice([None, 50.5, 9e4 * rng.random()])) for i in range(900)]
+    )
+    members = make.members([("hot", 20100101), ("hot", 20110101), ("u2", 20170305), ("absent", 20100101)])
+    odd = [(None, D(2017, 2, 10)), ("u4", None), ("u6", D(2017, 3, 10)), ("nobody", D(2017, 3, 10)), ("u8", D(2016, 1, 1)), ("hot", D(2017, 2, 14))]
+    rows = cohort.union(spark.createDataFrame(odd, cohort.schema)).selectExpr("length(msno) AS size", "*", "msno AS txn_dt")
+    logs, members = absent(logs), absent(members)
+    for last in (None, 20170305):
+        args = rows, txn, logs, members, 43573.98, last
+        joined, passed = features.feature_matrix(*args), features.feature_matrix(*args, most_users=True)
+        assert passed.columns == joined.columns and passed.dtypes == joined.dtypes
+        assert sorted(map(str, passed.collect())) == sorted(map(str, joined.collect()))
+
+
+def test_logs_are_read_once_for_the_threshold(spark, make, one_cohort):
+    logs = make.logs([("u", 20170201 + i, 100.0 * i) for i in range(20)])
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(_):
+        seen.add(1)
+        return True
+
+    assert features.p99_secs(logs.where(counted("total_secs")), one_cohort("u")).first().p99_secs == pytest.approx(1881.0)
+    assert seen.value == 20

@@ -235,6 +235,18 @@ def test_facts_are_not_copied_for_later_cutoffs(spark, t):
     assert times == pairs.count()
 
 
+def test_training_features_meet_in_one_sort(t):
+    """Payments, usage and cohort rows of labeled users share a shuffle and a window; only members are joined."""
+    users = pit.staged_cohort(labels.month_labels(t.transactions, "2001-03", "2001-05-01"))
+    text = plan(dataset.labeled_features(users, t.transactions, t.user_logs, t.members, 43573.98))
+    assert text.count("Window [") == 1 and text.count("Join ") == 1
+
+
+def test_renewals_are_found_without_a_sort_of_days(t):
+    stored = pit.staged_cohort(cohort.label_cohort(t.transactions, "2001-03"))
+    assert "Window" not in plan(labels.next_renewals(stored, t.transactions))
+
+
 def test_renewals_take_one_shuffle_of_payments(t):
     from stayline.operators.labels import with_renewal
 
