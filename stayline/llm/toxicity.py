@@ -30,9 +30,11 @@ classes every text has the same score. Columns besides ``doc_id`` and ``text`` a
 
 from __future__ import annotations
 
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,7 @@ from stayline.session import stage
 FILTER_BITS = 1 << 25  # 4 MB, whatever the corpus
 PROBES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)  # fixed odd numbers
 SLICE = 4 << 20  # bytes of text counted at a time
+PIECE = 1 << 15  # rows of counts handed on at a time
 FOLDS, CALIBRATION = 5, 1  # fold 0 is held out
 START = 0  # stands for the word before a text's first
 
@@ -76,14 +79,15 @@ class Tokens:
     """The words of some texts, as hashes in text order."""
 
     def __init__(self, texts: list[str]):
-        lists = [t.lower().encode().translate(_KEPT).split() for t in texts]
-        self.counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = list(chain.from_iterable(lists))
-        numbers = {w: i for i, w in enumerate(dict.fromkeys(flat))}
+        numbers: dict[bytes, int] = defaultdict(count().__next__)  # a word seen first gets the next number
+        ids, self.counts = array("i"), np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):  # one text's words at a time; all others are only numbers
+            words = text.lower().encode().translate(_KEPT).split()
+            ids.extend(map(numbers.__getitem__, words))
+            self.counts[i] = len(words)
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in numbers), np.uint64, len(numbers))
-        ids = np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat))
-        self.keys = hashes[ids].view(np.int64)
-        self.text_of = np.repeat(np.arange(len(lists)), self.counts)
+        self.keys = hashes[np.asarray(ids)].view(np.int64)
+        self.text_of = np.repeat(np.arange(len(texts)), self.counts)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Place of the first word, and key, of every two neighbouring words of a text."""
@@ -141,10 +145,10 @@ def labelled(labels: DataFrame) -> DataFrame:
     return usable.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
-def _summed(keys: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Distinct keys, a place of each, and sums of the weights."""
+def _counted(keys: np.ndarray, *which: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys, a place of each, and at how many of the places marked in each of ``which`` they stand."""
     distinct, first, number = np.unique(keys, return_index=True, return_inverse=True)
-    return distinct, first, [np.bincount(number, w, len(distinct)).astype(np.int64) for w in weights]
+    return distinct, first, [np.bincount(number[w], minlength=len(distinct)) for w in which]
 
 
 def _by_document(keys: np.ndarray, text_of: np.ndarray) -> np.ndarray:
@@ -174,7 +178,7 @@ def count_expressions(rows: DataFrame, p: Fit = Fit()) -> DataFrame:
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches, most=SLICE):
             tokens = Tokens(batch.column("text").to_pylist())
-            is_toxic = batch.column("toxic").to_numpy().astype(float)
+            is_toxic = batch.column("toxic").to_numpy() == 1
             new, (at, key) = _by_document(tokens.keys, tokens.text_of), tokens.pairs()
             if admitted is None:
                 begin = np.flatnonzero(np.diff(tokens.text_of, prepend=-1))
@@ -186,12 +190,15 @@ def count_expressions(rows: DataFrame, p: Fit = Fit()) -> DataFrame:
             for keys, first, place in found:
                 owner = tokens.text_of[place]
                 t, once, w = is_toxic[owner], _by_document(keys, owner), new[place]
-                distinct, one, sums = _summed(keys, t, 1 - t, t * once, (1 - t) * once, t * w, (1 - t) * w)
+                distinct, one, sums = _counted(keys, t, ~t, t & once, ~t & once, t & w, ~t & w)
                 second = tokens.keys[place[one]]
                 words = [pa.nulls(len(distinct), pa.int64()) if first is None else pa.array(first[one]), pa.array(second)]
                 out = pa.RecordBatch.from_arrays([*words, *map(pa.array, sums)], names=[x.split()[0] for x in FOUND.split(", ")])
                 # Neighbours with the same counts and second word: the shuffle's codec then leaves out much of a row.
-                yield out if first is None else out.take(pa.array(np.lexsort((second, *sums))))
+                order = None if first is None else np.lexsort((second, *sums))
+                # Handed on in pieces, as the JVM holds a whole batch outside its heap.
+                for start in range(0, len(distinct), PIECE):
+                    yield out.slice(start, PIECE) if order is None else out.take(pa.array(order[start : start + PIECE]))
 
     found = rows.select("text", "toxic").mapInArrow(counts, FOUND).groupBy("first", "second")
     sums = found.agg(*[F.sum(c).alias(c) for c in ("n_t", "n_o", "w_t", "w_o", "d_t", "d_o")])
@@ -225,7 +232,7 @@ def _toxic_pairs(rows: DataFrame, p: Fit) -> Broadcast[np.ndarray]:
     def toxic_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches, most=SLICE):
             _, key = Tokens(batch.column("text").to_pylist()).pairs()
-            distinct, _, (n,) = _summed(key, np.ones(len(key)))
+            distinct, _, (n,) = _counted(key, np.ones(len(key), bool))
             yield pa.RecordBatch.from_pydict({"key": distinct, "n": n})
 
     toxic = rows.where("toxic = 1").select("text").mapInArrow(toxic_pairs, "key bigint, n bigint")

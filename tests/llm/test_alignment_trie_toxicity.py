@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -363,6 +364,40 @@ def test_pairs_with_equal_counts_and_second_word_stand_together():
     assert found.num_rows == len(set(zip(found.column("first").to_pylist(), found.column("second").to_pylist())))
 
 
+def test_counting_holds_no_text_as_words_and_hands_on_small_batches(monkeypatch):
+    class Rows:
+        """Keeps the function that counts."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            raise StopIteration
+
+    rows, words = Rows(), random.Random(4).choices([f"word{i}" for i in range(500)], k=100_000)
+    texts = [" ".join(words[i : i + 1000]) for i in range(0, 100_000, 1000)]
+    tracemalloc.start()
+    tokens = toxicity.Tokens(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(words)  # a bytes object a word takes more
+    assert tokens.keys.view(np.uint64).tolist() == [xxhash.xxh64_intdigest(w) for w in words]
+    assert tokens.counts.tolist() == [1000] * 100 and tokens.text_of.tolist() == [i // 1000 for i in range(100_000)]
+
+    monkeypatch.setattr(toxicity, "PIECE", 1000)
+    with pytest.raises(StopIteration):
+        toxicity.count_expressions(rows, toxicity.KNESER_NEY)
+    batch = pa.RecordBatch.from_pydict({"text": texts, "toxic": pa.array([i % 2 for i in range(len(texts))], pa.int32())})
+    found = list(rows.run(iter([batch])))
+    assert {x.num_rows for x in found[:-1]} == {1000} and 0 < found[-1].num_rows <= 1000
+    of_text = [["", *t.split()] for t in texts]
+    want = Counter((i % 2, a, b) for i, t in enumerate(of_text) for a, b in zip(t, t[1:]))
+    key = {w: xxhash.xxh64_intdigest(w) for w in set(words)} | {"": toxicity.START}
+    got = {(r["first"] % 2**64, r["second"] % 2**64): (r["n_t"], r["n_o"]) for x in found for r in x.to_pylist()}
+    assert got == {(key[a], key[b]): (want[1, a, b], want[0, a, b]) for _, a, b in want}
+
+
 def test_toxicity_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.1"
     scored = entry.queries()["op11_toxicity"](spark, folder)
