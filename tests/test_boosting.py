@@ -104,6 +104,34 @@ def test_any_partitioning_gives_the_same_model(rows):
     assert one == many and one.trees
 
 
+def test_of_two_children_the_smaller_is_summed(rows, monkeypatch):
+    asked, summed, siblings = [], boosting.level_sums, boosting.with_siblings
+
+    def level_sums(rows, node, nodes):
+        asked.append((rows, node, nodes))
+        return summed(rows, node, nodes)
+
+    def with_siblings(sums, nodes, parents):
+        rows, node, _ = asked[-1]
+        every = sorted(nodes + [n ^ 1 for n in nodes])
+        want = summed(rows, node, every).toPandas()
+        got = siblings(sums, nodes, parents)
+        assert sorted(got.itertuples(index=False, name=None)) == sorted(want.itertuples(index=False, name=None))
+        assert set(got.dtypes[["g", "h", "n"]].map(str)) == {"int64"}
+        return got
+
+    monkeypatch.setattr(boosting, "level_sums", level_sums)
+    monkeypatch.setattr(boosting, "with_siblings", with_siblings)
+    train = rows.where("split = 'train'").withColumn("is_churn", F.when(F.col("id") % 50 == 0, 1).otherwise(F.col("is_churn")))
+    model = boosting.fit_boosted(train, Boosting(rounds=1, depth=3, bins=8, min_rows=5), NAMES, KINDS)
+    levels = [nodes for *_, nodes in asked]
+    assert levels[0] == [1] and len(levels) == 3 and all(levels)
+    assert [sorted(n // 2 for n in nodes) for nodes in levels[1:]] == [sorted(n for n in model.trees[0] if n.bit_length() == k) for k in (1, 2)]
+    for n in levels[1] + levels[2]:
+        split = model.trees[0][n // 2]
+        assert (split.n_left, split.n_right)[n % 2] == min(split.n_left, split.n_right)
+
+
 def test_missing_values_choose_their_side(spark):
     data = [(None if i % 3 == 0 else float(i % 10), int(i % 3 == 0 or i % 10 > 6), "train") for i in range(300)]
     rows = spark.createDataFrame(data, "a double, is_churn int, split string")
