@@ -15,9 +15,10 @@ blocks and any retry of tasks.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property, partial
+from itertools import groupby
 from operator import add
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark import RDD, SparkContext, StorageLevel, TaskContext
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.serializers import BatchedSerializer, CPickleSerializer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 
 from stayline.session import scratch_root, stage
 
@@ -38,6 +39,7 @@ CODES = 256
 LEAST_GAIN = 1e-12
 BLOCKS_A_TASK = 64
 NODES_A_JOB = 256
+HERE_ROWS = 1 << 20  # with margins and residuals about 22 MB
 CHECKPOINT_EVERY = 10
 MASKED_LEVELS = 3  # levels of few nodes are walked node by node, deeper ones row by row
 
@@ -195,27 +197,57 @@ def pack_rows(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[pa.
             yield block(positive, whole)
 
 
-def _one_by_one(rdd: RDD) -> RDD:
-    """Elements are pickled singly, so that frames of blocks can be zipped as they are."""
-    return rdd._reserialize(BatchedSerializer(CPickleSerializer(), 1))
+def as_block(row: Row) -> tuple[int, bool, int, bytes]:
+    return row.key, row.positive, row.n, bytes(row.codes)
 
 
-def dealt(blocks: DataFrame) -> RDD:
-    """(key, positive, n, codes) of the stored blocks, dealt evenly; each task's in the order of their keys.
+Places = dict[int, tuple[int, int]]
 
-    The keys are a number per 65,536 rows. A lost partition is read again in the same order.
+
+def places(blocks: DataFrame) -> tuple[Places, int, int]:
+    """Of each stored block the number of its joined block and its order, from its key; and the joined blocks and rows in all.
+
+    Each task that packs rows leaves up to two short blocks; those of one label are joined up to a
+    block's length. A number per 65,535 rows or short block comes to the driver.
     """
-    keys = [(not r.positive, r.key) for r in blocks.select("key", "positive").collect()]
-    if not keys:
-        raise ValueError("empty train split")
+    found: Places = {}
+    joined, held, last, rows = 0, 0, None, 0
+    for i, (label, key, n) in enumerate(sorted((not r.positive, r.key, r.n) for r in blocks.select("key", "positive", "n").collect())):
+        if label != last or held + n > BLOCK:
+            joined, held, last = joined + 1, 0, label
+        held, rows = held + n, rows + n
+        found[key] = (joined - 1, i)
+    return found, joined, rows
+
+
+def joined_blocks(own: Iterable[tuple], place: Places) -> Iterator[tuple]:
+    """Blocks in their order, with short ones joined. A block keeps the key of its first part."""
+    for _, parts in groupby(sorted(own, key=lambda b: place[b[0]][1]), key=lambda b: place[b[0]][0]):
+        key, positive, n, codes = next(parts)
+        if more := list(parts):
+            codes = np.concatenate([block_codes((key, positive, n, codes)), *map(block_codes, more)], axis=1).tobytes()
+            n += sum(b[2] for b in more)
+        yield key, positive, n, codes
+
+
+def dealt(blocks: DataFrame, place: Places, joined: int) -> RDD:
+    """The joined blocks, dealt evenly. A lost partition is read again in the same order."""
     # A task waits for its worker longer than it counts a few blocks: one wave of tasks, or whole waves of full ones.
     cores = blocks.sparkSession.sparkContext.defaultParallelism
-    tasks = min(len(keys), cores * -(-len(keys) // (cores * BLOCKS_A_TASK)))
-    place = {key: i for i, (_, key) in enumerate(sorted(keys))}
-    rows = blocks.rdd.map(lambda r: (place[r.key], (r.key, r.positive, r.n, bytes(r.codes))))
-    return _one_by_one(
-        rows.partitionBy(tasks, lambda i: i % tasks).mapPartitions(lambda own: (b for _, b in sorted(own, key=lambda kb: kb[0])))
-    )
+    tasks = min(joined, cores * -(-joined // (cores * BLOCKS_A_TASK)))
+    rows = blocks.rdd.map(lambda r: (place[r.key][0], as_block(r)))
+    return rows.partitionBy(tasks, lambda i: i % tasks).mapPartitions(lambda own: joined_blocks((b for _, b in own), place))
+
+
+def first_margin(block: tuple) -> tuple:
+    """(key, positive, margins, squares) before any tree."""
+    return block[0], block[1], bytes(8 * block[2]), None
+
+
+def distances(margin: tuple, *drawn) -> tuple:
+    """(positive, residuals, squares) of a block, from its margins."""
+    key, positive, values, squares = margin
+    return positive, residuals(key, positive, np.frombuffer(values, np.float64), *drawn).tobytes(), squares
 
 
 def residuals(key: int, positive: bool, margin: np.ndarray, round_: int, row_share: float, seed: int) -> np.ndarray:
@@ -418,58 +450,114 @@ def leaf_values(tree: Tree, params: Growth) -> np.ndarray:
     return np.where(w > 0, s / np.where(w > 0, w, 1.0), 0.0)
 
 
-def grown(blocks: DataFrame, layout: Layout, params: Growth) -> tuple[list[Tree], list[float]]:
-    """Trees and their weights. Margins are kept as blocks, and go to the checkpoint folder from time to time."""
-    sc = blocks.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(scratch_root(blocks.sparkSession))
-    keep = partial(RDD.persist, storageLevel=StorageLevel.MEMORY_AND_DISK)
-    codes = keep(dealt(blocks))
-    margins = keep(_one_by_one(codes.map(lambda b: (b[0], b[1], bytes(8 * b[2]), None))))
-    trees, weights, stored, old = [], [], None, []
-
-    def collect(q: RDD, tree: Tree, nodes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        parts = codes.zip(q).mapPartitions(partial(sums_of_task, walk=Walk(tree, layout), nodes=nodes, layout=layout))
-        return parts.treeReduce(_added) if parts.getNumPartitions() > BLOCKS_A_TASK else parts.reduce(_added)
-
-    for round_ in range(params.rounds + 1):
-        # The residuals of the round after the last are not needed, but the squares that come with them.
-        same = (round_, params.row_share, params.seed)
-        q = keep(_one_by_one(margins.map(lambda m, same=same: (m[1], residuals(m[0], m[1], np.frombuffer(m[2], np.float64), *same).tobytes(), m[3]))))
+class Here:
+    """Blocks and margins in the memory of one task."""
+
+    def __init__(self, blocks: list[tuple], layout: Layout, params: Growth):
+        self.blocks, self.layout, self.params = blocks, layout, params
+        self.margins = [first_margin(b) for b in blocks]
+
+    def begin(self, round_: int) -> None:
+        self.drawn = (round_, self.params.row_share, self.params.seed)
+        self.left = [distances(m, *self.drawn) for m in self.margins]
+
+    def sums(self, walk: Walk, nodes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        return next(sums_of_task(zip(self.blocks, self.left), walk, nodes, self.layout))
+
+    def move(self, walk: Walk, values: np.ndarray) -> None:
+        self.margins = [moved(pair, walk, values, *self.drawn) for pair in zip(self.blocks, self.margins)]
+
+    def squares(self) -> np.ndarray:
+        return sum(m[3] for m in self.margins)
+
+
+class Spread:
+    """Blocks, margins and residuals as frames in Spark's storage; margins go to the checkpoint folder from time to time."""
+
+    def __init__(self, blocks: DataFrame, place: Places, joined: int, layout: Layout, params: Growth):
+        self.sc, self.layout, self.params = blocks.sparkSession.sparkContext, layout, params
+        if not self.sc.getCheckpointDir():
+            self.sc.setCheckpointDir(scratch_root(blocks.sparkSession))
+        self.codes = self._kept(dealt(blocks, place, joined))
+        self.margins, self.old, self.stored = self._kept(self.codes.map(first_margin)), [], None
+
+    @staticmethod
+    def _kept(rdd: RDD) -> RDD:
+        # Elements are pickled singly, so that frames can be zipped as they are.
+        return rdd._reserialize(BatchedSerializer(CPickleSerializer(), 1)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def begin(self, round_: int) -> None:
+        self.drawn = (round_, self.params.row_share, self.params.seed)
+        if round_ and round_ % CHECKPOINT_EVERY == 0:
+            self.margins.checkpoint()
+        self.left = self._kept(self.margins.map(lambda m, drawn=self.drawn: distances(m, *drawn)))
+        self.pairs = self.codes.zip(self.left)
+        self.tasks = self.pairs.getNumPartitions()
+
+    def sums(self, walk: Walk, nodes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        parts = self.pairs.mapPartitions(partial(sums_of_task, walk=walk, nodes=nodes, layout=self.layout))
+        return parts.treeReduce(_added) if self.tasks > BLOCKS_A_TASK else parts.reduce(_added)
+
+    def move(self, walk: Walk, values: np.ndarray) -> None:
+        # The sums of this round have stored its margins, so those before are no longer needed.
+        self._drop(self.old)
+        if self.margins.is_checkpointed:
+            _forget(self.sc, self.stored)
+            self.stored = self.margins.getCheckpointFile()
+        self.old = [self.margins, self.left]
+        args = (walk, values, *self.drawn)
+        self.margins = self._kept(self.codes.zip(self.margins).map(lambda pair: moved(pair, *args)))
+
+    def squares(self) -> np.ndarray:
+        found = self.margins.map(lambda m: m[3]).reduce(add)
+        self._drop([self.codes, self.margins, *self.old])
+        _forget(self.sc, self.stored)
+        return found
+
+    @staticmethod
+    def _drop(frames: list[RDD]) -> None:
+        for rdd in frames:
+            rdd.unpersist()
+
+
+def boosted(store: Here | Spread, layout: Layout, params: Growth) -> tuple[list[Tree], list[float]]:
+    """The trees and their weights. A tree's squares come with the first sums of the next one."""
+    trees, weights = [], []
+    for round_ in range(params.rounds):
+        store.begin(round_)
         came: list = []
 
         def sums(tree: Tree, nodes: list[int]) -> list[np.ndarray]:
             out = []
             for i in range(0, len(nodes), NODES_A_JOB):
-                whole, squares = collect(q, tree, nodes[i : i + NODES_A_JOB])
+                whole, squares = store.sums(Walk(tree, layout), nodes[i : i + NODES_A_JOB])
                 came.append(squares)
                 out += list(np.moveaxis(whole, 2, 0))
             return out
 
-        if round_ == params.rounds:
-            trees[-1].squares = margins.map(lambda m: m[3]).reduce(add)
-        else:
-            trees.append(grow(sums, layout, params, round_))
-            weights.append(1.0 if round_ == 0 else params.step)
-            if round_:
-                trees[-2].squares = came[0]
-        for rdd in old:
-            rdd.unpersist()
-        if margins.is_checkpointed:
-            _forget(sc, stored)
-            stored = margins.getCheckpointFile()
-        old = [margins, q]
-        if round_ < params.rounds:
-            args = (Walk(trees[-1], layout), weights[-1] * leaf_values(trees[-1], params), *same)
-            margins = keep(_one_by_one(codes.zip(margins).map(lambda pair, args=args: moved(pair, *args))))
-            if (round_ + 1) % CHECKPOINT_EVERY == 0 and round_ + 1 < params.rounds:
-                margins.checkpoint()
-    for rdd in (codes, *old):
-        rdd.unpersist()
-    _forget(sc, stored)
+        trees.append(grow(sums, layout, params, round_))
+        weights.append(params.step if round_ else 1.0)
+        if round_:
+            trees[-2].squares = came[0]
+        store.move(Walk(trees[-1], layout), weights[-1] * leaf_values(trees[-1], params))
+    trees[-1].squares = store.squares()
     return trees, weights
 
 
+def grown(blocks: DataFrame, layout: Layout, params: Growth) -> tuple[list[Tree], list[float]]:
+    """Trees of the stored blocks: a few are one task's work, which saves a job a level; else each level is a job over all."""
+    place, joined, rows = places(blocks)
+    if not joined:
+        raise ValueError("empty train split")
+    if rows > HERE_ROWS:
+        return boosted(Spread(blocks, place, joined, layout, params), layout, params)
+
+    def whole(rows: Iterator) -> Iterator[tuple[list[Tree], list[float]]]:
+        yield boosted(Here(list(joined_blocks(map(as_block, rows), place)), layout, params), layout, params)
+
+    return blocks.rdd.coalesce(1).mapPartitions(whole).collect()[0]
+
+
 def _added(a: tuple, b: tuple) -> tuple:
     return a[0] + b[0], a[1] + b[1]
 

@@ -32,6 +32,7 @@ def test_trees_are_those_of_spark(spark, monkeypatch):
     """With all rows and features in every tree nothing is drawn, and features of few values are cut alike."""
     rows = stage(rows_of(spark, 4000), "plain")
     want = spark_fit(rows, 0.7, 4, 4)
+    monkeypatch.setattr(growing, "HERE_ROWS", 0)
     monkeypatch.setattr(model, "ROW_SHARE", 1.0)
     monkeypatch.setattr(model, "FEATURE_SHARE", "1.0")
     got = model.fit_gbt(rows, scale_pos_weight=0.7, rounds=4, depth=4)
@@ -50,6 +51,7 @@ def test_trees_are_those_of_spark(spark, monkeypatch):
 def test_the_fit_does_not_sum_every_feature_of_every_row(spark, monkeypatch):
     """Spark's own fit does, for each level of each tree."""
     monkeypatch.setattr(GBTClassifier, "_fit", lambda *_: pytest.fail("Spark's own fit"))
+    monkeypatch.setattr(growing, "HERE_ROWS", 0)
     seen = []
     first = growing.grow
 
@@ -72,16 +74,17 @@ def test_the_fit_does_not_sum_every_feature_of_every_row(spark, monkeypatch):
 
 
 def test_a_fit_is_the_same_however_blocks_are_dealt(spark, monkeypatch):
-    monkeypatch.setattr(growing, "BLOCK", 500)
+    """One task with all blocks, jobs over all blocks, and jobs for one node each give the same trees, to the last bit."""
     monkeypatch.setattr(growing, "CHECKPOINT_EVERY", 2)
-    rows = stage(rows_of(spark, 4000), "dealt")
-    texts = []
-    for most in (64, 1):  # blocks a task
-        monkeypatch.setattr(growing, "BLOCKS_A_TASK", most)
-        monkeypatch.setattr(growing, "NODES_A_JOB", most)
-        texts.append(model.fit_gbt(rows, rounds=5, depth=3).stages[-1].toDebugString.split("\n", 1)[1])
-    assert texts[0] == texts[1]
-    assert texts[0] != model.fit_gbt(rows, rounds=5, depth=3, seed=7).stages[-1].toDebugString.split("\n", 1)[1]
+    rows = stage(rows_of(spark, 4000, 7), "dealt")
+    found = []
+    for here, nodes in ((4000, 256), (0, 256), (0, 1)):
+        monkeypatch.setattr(growing, "HERE_ROWS", here)
+        monkeypatch.setattr(growing, "NODES_A_JOB", nodes)
+        fit = model.fit_gbt(rows, rounds=5, depth=3).stages[-1]
+        found.append((fit.toDebugString.split("\n", 1)[1], [t._java_obj.rootNode().leftChild().impurity() for t in fit.trees]))
+    assert found[0] == found[1] == found[2]
+    assert found[0][0] != model.fit_gbt(rows, rounds=5, depth=3, seed=7).stages[-1].toDebugString.split("\n", 1)[1]
 
 
 LAYOUT = growing.Layout(((-1.0, 0.5, 2.0), (-3.0, -1.0)), (3, 40), -1.0)
@@ -134,6 +137,19 @@ def test_deep_walks_and_many_nodes(spark):
         assert (growing.Walk(tree, LAYOUT).nodes(codes) == want).all() and len(set(want)) >= min(2**depth, 20)
 
 
+def test_short_blocks_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(growing, "BLOCK", 10)
+    rng = np.random.default_rng(1)
+    rows = [(k, bool(k % 2), n, rng.integers(0, 9, (3, n)).astype(np.uint8)) for k, n in ((7, 4), (3, 10), (1, 5), (4, 6), (9, 2), (2, 3))]
+    df = spark.createDataFrame([(k, p, n, bytearray(c.tobytes())) for k, p, n, c in rows], "key bigint, positive boolean, n int, codes binary")
+    place, joined, total = growing.places(df)
+    assert (joined, total) == (4, 30)
+    got = sorted(growing.dealt(df, place, joined).collect())
+    codes = {k: c for k, _, _, c in rows}
+    want = [(1, True, 5, [1]), (2, False, 9, [2, 4]), (3, True, 10, [3]), (7, True, 6, [7, 9])]
+    assert got == [(k, p, n, np.concatenate([codes[j] for j in parts], axis=1).tobytes()) for k, p, n, parts in want]
+
+
 def test_sums_of_full_blocks_are_exact():
     n = growing.BLOCK
     codes = np.zeros((len(LAYOUT.packs), n), np.uint8)
